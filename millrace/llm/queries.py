@@ -6,16 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import decontaminate, licences, order, pii, preference, simhash, subword
 from millrace.llm.common import table
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op1_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm.simhash import op3_near_duplicates
+    return simhash.op3_near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.format_pairs(preference.neighbour_pairs(table(spark, sf_dir, "conversations")))
+
+
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.materialise(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
 
-    return op3_near_duplicates(table(spark, sf_dir, "documents"))
+def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.encode(table(spark, sf_dir, "documents"), digest=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": op1_personal_data,
     "op3_simhash": op3_simhash,
+    "op4_preference": op4_preference,
+    "op5_training_order": op5_training_order,
+    "op7_decontamination": op7_decontamination,
+    "op8_licences": op8_licences,
+    "op10_subword": op10_subword,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_preference": preference.ORACLE, "op8_licences": licences.oracle()}
