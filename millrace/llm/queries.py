@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, licences, order, pii, preference, simhash, subword
+from millrace.llm import decontaminate, licences, order, pii, preference, simhash, subword, suffix
 from millrace.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op1_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.op2_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op3_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_preference": op4_preference,
     "op5_training_order": op5_training_order,
