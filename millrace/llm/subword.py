@@ -1,16 +1,19 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 The model file is read once per Python worker, from a path that every worker can open (a parameter).  Pieces never
-cross from other text into a space, so a text is cut there and equal chunks share one segmentation per key.
+cross from other text into a space, nor in most vocabularies between letters and other characters, so a text is cut
+there and equal chunks share one segmentation per key.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
-CHUNK = re.compile(r" *[^ ]+| +")
-#: Entries of each of the two cache generations of a worker (about 60 MB each).
-CACHE = 200_000
+#: Where no piece joins a letter to another character, words and marks are cut apart; else at spaces only.
+FINE, COARSE = re.compile(r" *(?:[^\W\d_¹²³]+|(?:[\d_¹²³]|[^\w ])+)| +"), re.compile(r" *[^ ]+| +")
+#: Entries of each of the two cache generations of a worker (about 200 MB each).
+CACHE = 800_000
 MASK = (1 << 64) - 1
 
 
@@ -52,8 +56,7 @@ class Pieces:
     def __init__(self, path: str):
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = sp.get_piece_size()
-        self.rank: dict[str, float] = {}
-        self.ids: dict[str, int] = {}
+        ids: dict[str, int] = {}
         self.bytes = [0] * 256
         self.text: list[bytes] = []
         for i in range(self.size):
@@ -64,8 +67,12 @@ class Pieces:
             elif sp.is_control(i) or sp.is_unknown(i):
                 self.text.append(b"")
             else:
-                self.rank[piece], self.ids[piece] = -sp.get_score(i), i
+                ids[piece] = i
                 self.text.append(piece.encode())
+        order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in ids.values()}, reverse=True))}
+        self.chunks = (FINE if all(len(FINE.findall(p)) <= 1 for p in ids) else COARSE).findall
+        self.ids = ids.get
+        self.rank = {p: order[sp.get_score(i)] for p, i in ids.items()}.get
 
     def segment(self, chunk: str, dropout: float, key: int) -> bytes:
         """Ids of ``chunk`` as little-endian int32.
@@ -75,46 +82,47 @@ class Pieces:
         """
         n, rank = len(chunk), self.rank
         end, before = list(range(1, n + 1)), list(range(-1, n))  # end of the part at i (0: merged away); start of the part before it
-        agenda = []
-        for i in range(n - 1):
-            r = rank.get(chunk[i : i + 2])
-            if r is not None:
-                agenda.append((r, i, i + 1, i + 2))
+        bits = (n + 1).bit_length()
+        low, two = (1 << bits) - 1, 2 * bits  # an entry packs score rank, start and end: one integer orders the agenda
+        agenda = [r << two | i << bits | i + 2 for i, pair in enumerate(map(add, chunk, chunk[1:])) if (r := rank(pair)) is not None]
         if agenda:
-            heapq.heapify(agenda)
+            heapify(agenda)
             limit = int(dropout * 2**64)
             salt = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"), key) if limit else 0
             while agenda:
-                _, a, m, b = heapq.heappop(agenda)
-                if end[a] != m or m >= n or end[m] != b:
+                x = heappop(agenda)
+                a, b = x >> bits & low, x & low
+                m = end[a]
+                if not m or m >= b or end[m] != b:
                     continue
                 if limit and ((salt ^ (a * 0x9E3779B97F4A7C15) ^ (b * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93 & MASK) < limit:
                     continue
                 end[a], end[m] = b, 0
                 if b < n:
                     before[b] = a
-                    r = rank.get(chunk[a : end[b]])
+                    z = end[b]
+                    r = rank(chunk[a:z])
                     if r is not None:
-                        heapq.heappush(agenda, (r, a, b, end[b]))
+                        heappush(agenda, r << two | a << bits | z)
                 if a:
                     p = before[a]
-                    r = rank.get(chunk[p:b])
+                    r = rank(chunk[p:b])
                     if r is not None:
-                        heapq.heappush(agenda, (r, p, a, b))
+                        heappush(agenda, r << two | p << bits | b)
         out, i, ids = [], 0, self.ids
         while i < n:
-            piece = chunk[i : end[i]]
-            got = ids.get(piece)
+            z = end[i]
+            got = ids(chunk[i:z])
             if got is None:
-                out += [self.bytes[c] for c in piece.encode("utf-8", "surrogatepass")]
+                out += [self.bytes[c] for c in chunk[i:z].encode("utf-8", "surrogatepass")]
             else:
                 out.append(got)
-            i = end[i]
-        return np.array(out, "<i4").tobytes()
+            i = z
+        return array("i", out).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
         """The text; the space that encoding puts in front is taken off."""
-        return b"".join([self.text[i] for i in ids.tolist()]).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.text.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
 _loaded: dict = {}
@@ -132,13 +140,13 @@ def encoder(path: str, dropout: float, seed: int, variants: int):
     if key not in _loaded:
         pieces = load(path)
         _loaded[key] = [Cached(lambda c, v=v: pieces.segment(c, dropout, (seed * 0x9E3779B1 + v) & MASK), max(1000, CACHE // variants)) for v in range(variants)]
-    caches = _loaded[key]
+    caches, chunks = _loaded[key], load(path).chunks
 
     def run(text: str | None, doc) -> bytes:
         if not text:
             return b""
         cache = caches[xxhash.xxh64_intdigest(str(doc), seed) % variants] if variants > 1 else caches[0]
-        return b"".join(map(cache.__getitem__, CHUNK.findall(" " + text)))
+        return b"".join(map(cache.__getitem__, chunks(" " + text)))
 
     return run
 
