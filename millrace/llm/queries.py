@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, licences, order, pii, preference, simhash, subword, suffix
+from millrace.llm import decontaminate, licences, neighbours, order, pii, preference, resample, simhash, subword, suffix
 from millrace.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.materialise(table(spark, sf_dir, "documents"))
 
 
+def op6_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +42,10 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.encode(table(spark, sf_dir, "documents"), digest=True)
 
@@ -48,8 +56,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_preference": op4_preference,
     "op5_training_order": op5_training_order,
+    "op6_resampling": op6_resampling,
     "op7_decontamination": op7_decontamination,
     "op8_licences": op8_licences,
+    "op9_neighbours": op9_neighbours,
     "op10_subword": op10_subword,
 }
 ORACLE: dict[str, str] = {"op4_preference": preference.ORACLE, "op8_licences": licences.oracle()}
