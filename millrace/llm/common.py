@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,5 +38,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package where they can't find it by their path: elsewhere than in its own folder, the
+    driver sends it along once a session."""
+    root = Path(__file__).resolve().parents[2]
+    here = {Path(p or ".").resolve() for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":"))}
+    if root in here or spark.conf.get("spark.millrace.shipped", "") == spark.sparkContext.applicationId:
+        return
+    with tempfile.TemporaryDirectory() as tmp:
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{tmp}/millrace", "zip", root, "millrace"))
+    spark.conf.set("spark.millrace.shipped", spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -210,14 +210,17 @@ def _apply(docs: DataFrame, model: Model, text: str, schema: T.StructType, make)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [make(t or "", [s[:4] for s in candidates(t) if s[3] or model.keeps(s[0], s[4])]) for t in b.column(b.num_columns - 1).to_pylist()]
+            rows = [make(t, [s[:4] for s in candidates(t) if s[3] or model.keeps(s[0], s[4])]) for t in b.column(b.num_columns - 1).to_pylist()]
             cols = [pa.array([r[i] for r in rows], f) for i, f in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], names=names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], names=out.names)
 
-    rest = docs.drop(text)
-    kinds = [{"string": pa.string(), "bigint": pa.int64()}.get(f.dataType.simpleString()) or pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])) for f in schema]
-    names = [*rest.columns, *schema.names]
-    return docs.select(*[F.col(f"`{c}`") for c in rest.columns], F.col(text).alias("_text")).mapInArrow(run, T.StructType([*rest.schema, *schema]))
+    rest = [c for c in docs.columns if c != text]
+    spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
+    kinds = [pa.string() if f.dataType == T.StringType() else spans for f in schema]
+    # Numbered names: the caller's can't clash with ours.
+    src = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.col(f"`{text}`").alias("t"))
+    out = T.StructType([*src.schema[:-1], *[T.StructField(f"n{i}", f.dataType) for i, f in enumerate(schema)]])
+    return src.mapInArrow(run, out).toDF(*rest, *schema.names)
 
 
 def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -230,8 +233,10 @@ def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
 def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of ``docs``; found spans become ``[EMAIL]`` and so on, null text stays null; overlapping spans merge."""
 
-    def make(t: str, spans: list) -> tuple:
+    def make(t: str | None, spans: list) -> tuple:
         out, at = [], 0
+        if t is None:
+            return (None,)
         for a, b, k in sorted((a, b, k) for k, a, b, _ in spans):
             if b > at:
                 if a >= at:
@@ -239,10 +244,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 at = b
         return ("".join(out) + t[at:],)
 
-    marked = docs.withColumn("_null", F.col(text).isNull())
-    out = _apply(marked, model, text, T.StructType().add("_new", "string"), make)
-    return out.select(*[F.when(~F.col("_null"), F.col("_new")).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
-
+    return _apply(docs, model, text, T.StructType().add(text, "string"), make).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_personal_data(docs: DataFrame) -> DataFrame:

@@ -180,7 +180,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, lanes:
     """
     got = near_duplicates(docs, shingle, similar_radius(similarity, 64 * lanes), lanes, choose=2, index_radius=6)
     stay = got.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("lanes").alias("_lanes")).dropDuplicates(["_id"])
-    return docs.dropDuplicates(["doc_id"]).join(stay, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    return docs.dropDuplicates(["doc_id"]).join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
 
 
 def op3_near_duplicates(docs: DataFrame) -> DataFrame:
