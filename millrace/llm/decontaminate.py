@@ -58,7 +58,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """``(doc_id, item_id, start, n_words, similarity)``: the most similar window of each document for each item.
 
     Similarity is the weighted Jaccard measure of five-word shingles with their counts as weights, and at least 0.8;
-    ties go to the earlier window.  A window has as many words as the item and is cut at the document's ends.  Items of
+    ties go to the earlier window.  A window has as many words as the item; a document with fewer is one window.  Items of
     fewer than five words match as a whole.  Texts that are null or have no word match nothing; rows that share an id,
     null ids too, count as one document or item whose best match is given; other columns are ignored.
     """
@@ -80,8 +80,8 @@ def _matches(src: DataFrame, items: DataFrame, k: int) -> DataFrame:
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     hits = src.select("d", F.size("wh").alias("size"), F.posexplode(shingles(F.col("wh"), k)).alias("p", "h")).join(known, "h")
-    start = F.greatest(F.lit(0), F.col("p") - F.col("q"))
-    width = F.least(F.col("size"), F.col("p") - F.col("q") + F.col("n")) - start
+    start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("size") - F.col("n")))
+    width = F.least(F.col("size"), F.col("n"))
     places = hits.select("d", "n", start.alias("start"), width.alias("width")).distinct()
     places = written(places.groupBy("d").agg(F.collect_list(F.struct("start", "width", "n")).alias("w")).select(F.col("d").alias("e"), "w"), "windows")
     at = src.join(places, F.col("d").eqNullSafe(F.col("e"))).select("d", shingles(F.col("wh"), k).alias("all"), "w")
@@ -108,4 +108,4 @@ def _matches(src: DataFrame, items: DataFrame, k: int) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows that share an id go or stay together."""
     bad = written(contamination(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
