@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Where no piece joins a letter to another character, words and marks are cut apart; else at spaces only.
 FINE, COARSE = re.compile(r" *(?:[^\W\d_¹²³]+|(?:[\d_¹²³]|[^\w ])+)| +"), re.compile(r" *[^ ]+| +")
-#: Entries of each of the two cache generations of a worker (about 200 MB each).
-CACHE = 800_000
+#: Entries of each of the two cache generations of a worker (about 60 MB each).
+CACHE = 240_000
 MASK = (1 << 64) - 1
 
 
@@ -39,9 +39,7 @@ class Cached(dict):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
+        value = self.old.get(key) or self.make(key)
         if len(key) <= 64:  # long chunks hardly recur
             if len(self) >= self.limit:
                 self.old = dict(self)
