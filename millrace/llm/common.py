@@ -40,13 +40,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Give Python workers this package where they can't find it by their path: elsewhere than in its own folder, the
-    driver sends it along once a session."""
+    driver sends it along once a session, from a file of its own that stays for executors to fetch."""
     root = Path(__file__).resolve().parents[2]
     here = {Path(p or ".").resolve() for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":"))}
     if root in here or spark.conf.get("spark.millrace.shipped", "") == spark.sparkContext.applicationId:
         return
-    with tempfile.TemporaryDirectory() as tmp:
-        spark.sparkContext.addPyFile(shutil.make_archive(f"{tmp}/millrace", "zip", root, "millrace"))
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/millrace", "zip", root, "millrace"))
     spark.conf.set("spark.millrace.shipped", spark.sparkContext.applicationId)
 
 
