@@ -65,14 +65,15 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4, lanes: i
     return src.mapInArrow(run, src.drop("_text").schema.add("lanes", T.ArrayType(T.LongType())))
 
 
-def plan_blocks(n: int, radius: int, guarantee: bool = True, choose: int | None = None) -> list[int]:
+def plan_blocks(n: int, radius: int, spare: int = 0) -> list[int]:
     """Masks of the block tables for ``n`` fingerprints.
 
     64 bits are cut into ``radius + choose`` blocks: two fingerprints that differ in at most ``radius`` bits agree on
     at least ``choose`` blocks, so they share the key of one table.  ``choose`` grows with ``n`` until a key has as
-    many values as there are fingerprints, which keeps chance buckets small at every size.
+    many values as there are fingerprints, which keeps chance buckets small at every size.  ``spare`` bits fewer make
+    buckets that much larger and tables fewer.
     """
-    choose = choose or next((c for c in range(1, 13) if 64 * c / (radius + c) >= math.log2(max(2, n)) + 1), 12)
+    choose = next((c for c in range(1, 13) if 64 * c / (radius + c) >= math.log2(max(2, n)) + 1 - spare), 12)
     blocks = radius + choose
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
     parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
@@ -148,7 +149,7 @@ def link(nodes: DataFrame, radius: int, tables: list[int]) -> DataFrame:
     return some.repartition(parts, "grp").sortWithinPartitions("grp").mapInArrow(_link(radius), "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, choose: int | None = None, index_radius: int | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: int = 1, index_radius: int | None = None, spare: int = 0, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs`` with its fingerprint and the smallest id it reaches through links: ``(id, lanes, component_id)``.
 
     ``lanes`` fingerprints of 64 bits each are compared together (``radius`` bits in all); the block tables cut lane 0
@@ -159,7 +160,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
     fp = cut(fingerprints(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")), "_t", shingle, lanes, ("_id",)))
     fp = fp.withColumn("node", F.col("lanes")[0] if lanes == 1 else F.xxhash64("lanes"))
     nodes = cut(fp.groupBy("node").agg(F.min("_id").alias("least"), F.first("lanes").alias("lanes")))
-    tables = plan_blocks(nodes.count(), radius if index_radius is None else index_radius, choose=choose)
+    tables = plan_blocks(nodes.count(), radius if index_radius is None else index_radius, spare)
     roots = components(link(nodes, radius, tables))
     named = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id")).select(F.col("root").bitwiseXOR(F.lit(0)).alias("r"), "component_id")
@@ -178,7 +179,7 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, lanes:
     The similarity is read off ``lanes * 64`` bits; the tables cover all of radius 6 on lane 0, and beyond that radius
     most pairs too (measured in the tests).  Repeated rows and rows that share the smallest id are one document.
     """
-    got = near_duplicates(docs, shingle, similar_radius(similarity, 64 * lanes), lanes, choose=2, index_radius=6)
+    got = near_duplicates(docs, shingle, similar_radius(similarity, 64 * lanes), lanes, index_radius=6, spare=6)
     stay = got.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("lanes").alias("_lanes")).dropDuplicates(["_id"])
     return docs.dropDuplicates(["doc_id"]).join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
 
