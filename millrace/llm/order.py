@@ -12,6 +12,7 @@ import base64
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import shared_dir
-from millrace.llm.subword import Cached
 
 RANKS = os.environ.get("BPE_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: The pattern that splits text before the merges of the rank file (fixed value of that vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_OF_TEXT = 50256
-CHUNK = re.compile(r"\s*\S+|\s+")
-SPACES = re.compile(r"\s\s")
+#: Look-ahead makes the splitter slow and matters only where white space follows white space.
+AHEAD, SPACES = r"|\s+(?!\S)", re.compile(r"\s\s")
 LENGTH, ROWS = 512, 16384
-CACHE = 400_000
 
 
 def feistel(x: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
@@ -56,23 +55,14 @@ _loaded: dict = {}
 
 
 def _tokenizer(ranks: str):
-    """This worker's ``text -> ids as little-endian uint16``; equal to encoding the text as a whole."""
+    """This worker's ``text -> ids``."""
     if ranks not in _loaded:
         import tiktoken
 
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        whole = Cached(lambda c: np.array(enc(c), "<u2").tobytes(), CACHE // 4)
-        after = Cached(lambda w: np.array(enc(" " + w), "<u2").tobytes(), CACHE)
-
-        def run(text: str) -> bytes:
-            if SPACES.search(text) or text[:1].isspace() or text[-1:].isspace():
-                return b"".join(map(whole.__getitem__, CHUNK.findall(text)))  # pieces never run from other text into white space
-            first, *rest = text.split(" ")
-            return (whole[first] if first else b"") + b"".join(map(after.__getitem__, rest))
-
-        _loaded[ranks] = run
+        exact, fast = (tiktoken.Encoding("own", pat_str=p, mergeable_ranks=table, special_tokens={}).encode_ordinary for p in (PATTERN, PATTERN.replace(AHEAD, "")))
+        _loaded[ranks] = lambda text: exact(text) if SPACES.search(text) else fast(text)
     return _loaded[ranks]
 
 
@@ -109,7 +99,7 @@ def materialise(docs: DataFrame, text: str = "text", length: int = LENGTH, rows:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, total = _tokenizer(ranks), {}
         for run, t in _runs(batches):
-            total[run] = total.get(run, 0) + (len(enc(t)) // 2 if t else 0) + 1
+            total[run] = total.get(run, 0) + (len(enc(t)) if t else 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in total], pa.string()), pa.array([r for _, r in total], pa.int64()), pa.array(total.values(), pa.int64())], names=["file", "row", "n"])
 
     base, at = {}, 0
@@ -149,7 +139,7 @@ def materialise(docs: DataFrame, text: str = "text", length: int = LENGTH, rows:
                 yield from flush(True)
                 now, start = run, offsets.value[run][0]
             if t:
-                held += enc(t)
+                held += array("H", enc(t)).tobytes()
             held += end
             if len(held) > 1 << 21:
                 yield from flush(False)
