@@ -129,6 +129,16 @@ def _edges(node: np.ndarray, lanes: np.ndarray, starts: np.ndarray, radius: int)
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u), pa.int64()), pa.array(np.concatenate(v), pa.int64())], names=["u", "v"])
 
 
+def _blocks(rows: DataFrame, counts: DataFrame, *key: str) -> DataFrame:
+    """``rows`` of the buckets in ``counts(bucket, n)``, once for each pair of blocks they are in: column ``grp``."""
+    counts = counts.select(F.col("bucket").bitwiseXOR(F.lit(0)).alias("b"), "n")
+    size = F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.col("n") / 16))
+    some = rows.join(counts, F.col("bucket") == F.col("b")).withColumn("g", F.ceil(F.col("n") / size).cast("int"))
+    some = some.withColumn("c", F.pmod(F.xxhash64("node", F.lit(7)), F.col("g")).cast("int"))
+    some = some.withColumn("x", F.explode(F.expr("sequence(0, g - 1)")))
+    return some.withColumn("grp", F.xxhash64(*key, F.least("c", "x"), F.greatest("c", "x")))
+
+
 def link(nodes: DataFrame, radius: int, tables: list[int]) -> DataFrame:
     """Edges ``(u, v)`` that span the components of ``nodes(node long, lanes array<long>)`` under Hamming distance.
 
@@ -138,13 +148,8 @@ def link(nodes: DataFrame, radius: int, tables: list[int]) -> DataFrame:
     """
     rows = nodes.select("node", "lanes", F.posexplode(F.array(*[F.col("lanes")[0].bitwiseAND(F.lit(m)) for m in tables])).alias("tab", "key"))
     rows = rows.select("node", "lanes", F.xxhash64("tab", "key").alias("bucket"), "tab", "key")
-    counts = rows.groupBy("bucket").count().filter("count > 1").select(F.col("bucket").bitwiseXOR(F.lit(0)).alias("b"), F.col("count").alias("n"))
-    size = F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.col("n") / 16))
-    some = rows.join(counts, F.col("bucket") == F.col("b")).withColumn("g", F.ceil(F.col("n") / size).cast("int"))
-    some = some.withColumn("c", F.pmod(F.xxhash64("node", F.lit(7)), F.col("g")).cast("int"))
-    some = some.withColumn("x", F.explode(F.expr("sequence(0, g - 1)")))
-    group = F.xxhash64("tab", "key", F.least("c", "x"), F.greatest("c", "x"))
-    some = some.select(group.alias("grp"), "node", "lanes")
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    some = _blocks(rows, counts, "tab", "key").select("grp", "node", "lanes")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return some.repartition(parts, "grp").sortWithinPartitions("grp").mapInArrow(_link(radius), "u bigint, v bigint")
 
@@ -168,20 +173,137 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
     return fp.join(named, F.col("node") == F.col("n"), "left").select(F.col("_id").alias(id_col), "lanes", "node", "component_id")
 
 
-def similar_radius(similarity: float, bits: int) -> int:
-    """Expected differing bits of two shingle multisets with this Jaccard similarity."""
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+#: Tables of the similarity join and min-hashes that make a key: a pair of similarity 0.8 shares none of them with probability (1 - 0.8^4)^24 = 3e-6.
+TABLES, ROWS = 24, 4
+#: Tables that are tried first; the rest only compare what these haven't joined yet.
+FIRST = 4
+_FLIP, _ODD = (np.random.default_rng(11 + i).integers(1 << 63, size=(TABLES * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for i in range(2))
+
+
+def elements(text: str | None, shingle: int) -> np.ndarray:
+    """The shingle multiset of a text as sorted distinct longs: the i-th occurrence of a shingle is an element of its own."""
+    h = np.sort(shingle_hashes(text, shingle))
+    if len(h):
+        new = np.r_[True, h[1:] != h[:-1]]
+        nth = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        h = np.unique(np.where(nth > 0, _mix(h + nth.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), h))
+    return h
+
+
+def table_keys(h: np.ndarray) -> list[int]:
+    """A key for each table, made of ROWS min-hashes; no elements have no keys."""
+    if not len(h):
+        return []
+    least = np.full(TABLES * ROWS, np.iinfo(np.uint64).max)
+    for i in range(0, len(h), 2048):
+        least = np.minimum(least, ((h[None, i : i + 2048] ^ _FLIP) * _ODD).min(1))
+    least, key = least.reshape(TABLES, ROWS), np.arange(TABLES, dtype=np.uint64)
+    for r in range(ROWS):
+        key = _mix(key ^ least[:, r])
+    return key.view(np.int64).tolist()
+
+
+def _alike(values: np.ndarray, starts: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Edges that span the components of one block under exact Jaccard similarity; the sets lie end to end in ``values``."""
+    size = np.diff(starts)
+    _, values = np.unique(values, return_inverse=True)
+    mark = np.zeros(values.max() + 1, np.int64)
+    left, out, queue = np.arange(1, len(size)), [], [0]
+    while len(left):
+        if not queue:
+            queue.append(int(left[0]))
+            left = left[1:]
+        at = queue.pop()
+        mine = values[starts[at] : starts[at + 1]]
+        mark[mine] = 1
+        both = np.add.reduceat(mark[values], starts[:-1])[left]
+        mark[mine] = 0
+        near = both >= similarity * (size[at] + size[left] - both) - 1e-9
+        out += [(at, int(x)) for x in left[near]]
+        queue += left[near].tolist()
+        left = left[~near]
+    return out
+
+
+def _join_alike(similarity: float):
+    def edges(node: list, sets: list) -> tuple[list, list]:
+        kept = dict(zip(node, sets))  # a node counts once
+        node, sets = list(kept), list(kept.values())
+        found = _alike(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]), similarity) if len(node) > 1 else []
+        return [node[a] for a, _ in found], [node[b] for _, b in found]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, node, sets = None, [], []
+        for b in batches:
+            u, v = [], []
+            ends, values = b.column(2).offsets.to_numpy(), b.column(2).values.to_numpy(zero_copy_only=False)
+            for i, (g, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if g != last:
+                    x, y = edges(node, sets)
+                    u, v, last, node, sets = u + x, v + y, g, [], []
+                node.append(n)
+                sets.append(values[ends[i] : ends[i + 1]].copy())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        x, y = edges(node, sets)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["u", "v"])
+
+    return run
+
+
+def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``(_id, _hash, node, root)`` for every row of ``docs(doc_id, text)``: rows of one root are joined by links of this
+    exact weighted Jaccard similarity of word shingles.
 
-def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, lanes: int = 4) -> DataFrame:
+    Candidates share the key of one of TABLES min-hash tables, whatever the number of rows; each is verified on the
+    shingles themselves.  Rows of equal shingles are one node; texts without words are one node, too.
+    """
+    text = F.coalesce(docs["text"], F.lit(""))
+    src = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, key = [], []
+            for t in b.column(2).to_pylist():
+                h = elements(t, shingle)
+                node.append(xxhash.xxh64_intdigest(h.tobytes()))
+                key.append(table_keys(h))
+            node = np.array(node, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array(key, pa.list_(pa.int64()))], names=["_id", "_hash", "node", "keys"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [elements(t, shingle).view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64()))], names=["node", "elements"])
+
+    fp = cut(src.mapInArrow(keys, src.drop("_text").schema.add("node", "long").add("keys", T.ArrayType(T.LongType()))))
+    nodes = cut(fp.groupBy("node").agg(F.min("_hash").alias("_hash"), F.first("keys").alias("keys")))
+    parts, edges, roots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), None, None
+    for low, high in ((0, FIRST), (FIRST, TABLES)):
+        known = nodes.withColumn("root", F.col("node")) if roots is None else nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", F.col("node")))
+        rows = known.select("node", "_hash", "root", F.explode(F.slice("keys", low + 1, high - low)).alias("bucket"))
+        counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+        some = cut(_blocks(rows, counts.filter("r != s"), "bucket").select("grp", "node", "_hash"))
+        need = some.select("_hash", F.col("node").alias("_node")).distinct()
+        texts = src.join(need, "_hash").select(F.col("_node").alias("node"), "_text")
+        got = texts.mapInArrow(sets, "node bigint, elements array<bigint>").groupBy("node").agg(F.first("elements").alias("elements"))
+        some = some.select("grp", "node").join(got, "node").select("grp", "node", "elements")
+        new = cut(some.repartition(parts, "grp").sortWithinPartitions("grp").mapInArrow(_join_alike(similarity), "u bigint, v bigint"))
+        edges = new if edges is None else edges.unionByName(new)
+        roots = components(edges)
+    return fp.join(roots, "node", "left").select("_id", "_hash", "node", F.coalesce("root", F.col("node")).alias("root"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without near copies: of each group the row with the smallest ``doc_id`` stays.
 
-    The similarity is read off ``lanes * 64`` bits; the tables cover all of radius 6 on lane 0, and beyond that radius
-    most pairs too (measured in the tests).  Repeated rows and rows that share the smallest id are one document.
+    Rows are told apart by id and text: rows equal in both are one document, rows that only share an id (or have none)
+    aren't.  Null ids come last; ties go to the smaller hash of the text.
     """
-    got = near_duplicates(docs, shingle, similar_radius(similarity, 64 * lanes), lanes, index_radius=6, spare=6)
-    stay = got.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("lanes").alias("_lanes")).dropDuplicates(["_id"])
-    return docs.dropDuplicates(["doc_id"]).join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash")
+    stay = similar(docs, shingle, similarity).groupBy("root").agg(F.min(order).alias("m")).select("m._id", "m._hash")
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    left = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]) & (text == stay["_hash"]), "left_semi")
+    return left.dropDuplicates(["doc_id", "text"])
 
 
 def op3_near_duplicates(docs: DataFrame) -> DataFrame:

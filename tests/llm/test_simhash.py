@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 import xxhash
@@ -102,3 +103,31 @@ def test_one_of_each_group_stays(spark):
     left = {r.doc_id for r in S.keep_one(spark.createDataFrame(docs + copies, "doc_id long, text string")).collect()}
     assert {i for i, _ in docs} <= left
     assert len(left) - len(docs) <= 0.05 * len(copies)
+
+
+def jaccard(a, b, k=5):
+    a, b = (Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) for w in (a, b))
+    return sum((a & b).values()) / sum((a | b).values())
+
+
+@pytest.mark.parametrize("first", [S.FIRST, 1])
+def test_copies_at_the_similarity_go(spark, monkeypatch, first):
+    """At exactly 0.8 every copy goes, just below it every one stays; the tables don't depend on the number of rows."""
+    monkeypatch.setattr(S, "FIRST", first)
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    docs, gone = [], set()
+    for i in range(300):
+        w = [word() for _ in range(94)]  # 90 shingles
+        at = 2 if i % 2 else 3
+        v = [word() if at <= j <= at + 5 or j == 50 and i % 2 == 0 else x for j, x in enumerate(w)]
+        v = v[:90] if i % 3 else v
+        docs += [(i, " ".join(w)), (1000 + i, " ".join(v))]
+        gone |= {1000 + i} if jaccard(w, v) >= 0.8 else set()
+    for i in range(300, 500):
+        w = [word() for _ in range(94)]  # ten shingles differ: 80 of 100
+        docs += [(i, " ".join(w)), (1000 + i, " ".join([*w[:4], word(), *w[5:60], word(), *w[61:]]))]
+        assert abs(jaccard(docs[-2][1].split(), docs[-1][1].split()) - 0.8) < 1e-9
+        gone.add(1000 + i)
+    left = {r.doc_id for r in S.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert left == {i for i, _ in docs} - gone
