@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact weighted-shingle check.
 
-DataFrame functions only.  A window that shares no shingle with any item has similarity zero, so only windows that
-line up with an item on some shared shingle are fingerprinted; nothing within the similarity is lost by that.
+DataFrame functions only.  Windows start at every word; those are fingerprinted that hold as many shingles of items as the
+similarity needs at least, whatever their order.  That count bounds the similarity from above, so nothing is lost by it.
 """
 
 from __future__ import annotations
@@ -75,18 +75,32 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     return best.select(F.col("d").alias(doc_id), "item_id", (-F.col("b.s")).alias("start"), F.col("b.n").alias("n_words"), F.col("b.similarity").alias("similarity"))
 
 
+def _starts(k: int) -> Column:
+    """Starts of the windows of ``width`` words that hold enough of the sorted shingle places ``p``.
+
+    Similarity s of a window with m shingles and an item with i takes s / (1 + s) * (m + i) common ones.  The windows
+    whose first place is ``p[j]`` start after ``p[j - 1]``, so no start comes twice.
+    """
+    need = f"cast(ceil({SIMILARITY / (1 + SIMILARITY)!r}D * (width - {k} + 1 + n - {k} + 1) - 1e-9) as int)"
+    low = f"greatest(0, p[j + {need} - 1] - width + {k}, if(j > 0, p[greatest(j - 1, 0)] + 1, 0))"
+    high = "least(p[j], size - width)"
+    each = f"transform(sequence(0, size(p) - {need}), j -> if({low} <= {high}, sequence({low}, {high}), cast(array() as array<int>)))"
+    return F.expr(f"if(size(p) >= {need}, flatten({each}), cast(array() as array<int>))")
+
+
 def _matches(src: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    known = items.select("n", F.posexplode("sh").alias("q", "h")).distinct()
+    known = items.select("n", F.explode("sh").alias("h")).distinct()
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    hits = src.select("d", F.size("wh").alias("size"), F.posexplode(shingles(F.col("wh"), k)).alias("p", "h")).join(known, "h")
-    start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("size") - F.col("n")))
-    width = F.least(F.col("size"), F.col("n"))
-    places = hits.select("d", "n", start.alias("start"), width.alias("width")).distinct()
-    places = written(places.groupBy("d").agg(F.collect_list(F.struct("start", "width", "n")).alias("w")).select(F.col("d").alias("e"), "w"), "windows")
-    at = src.join(places, F.col("d").eqNullSafe(F.col("e"))).select("d", shingles(F.col("wh"), k).alias("all"), "w")
-    at = at.select("d", "all", F.explode("w").alias("w")).filter(F.col("w.start") + F.col("w.width") - k < F.size("all"))
-    at = at.select("d", F.col("w.start").alias("start"), F.col("w.n").alias("n"), F.slice("all", F.col("w.start") + 1, F.greatest(F.lit(0), F.col("w.width") - k + 1)).alias("ws"))
+    src = src.withColumn("r", F.xxhash64("wh"))
+    hits = src.select("d", "r", F.size("wh").alias("size"), F.posexplode(shingles(F.col("wh"), k)).alias("p", "h")).join(known, "h")
+    places = hits.groupBy("d", "r", "size", "n").agg(F.sort_array(F.collect_set("p")).alias("p"))
+    places = places.withColumn("width", F.least("size", "n")).withColumn("w", _starts(k)).filter("size(w) > 0")
+    places = places.groupBy("d", "r").agg(F.flatten(F.collect_list(F.expr("transform(w, s -> named_struct('start', s, 'width', width, 'n', n))"))).alias("w"))
+    places = written(places.select(F.col("d").alias("e"), F.col("r").alias("f"), "w"), "windows")
+    at = src.join(places, F.col("d").eqNullSafe(F.col("e")) & (F.col("r") == F.col("f"))).select("d", shingles(F.col("wh"), k).alias("all"), "w")
+    at = at.select("d", "all", F.explode("w").alias("w"))
+    at = at.select("d", F.col("w.start").alias("start"), F.col("w.n").alias("n"), F.slice("all", F.col("w.start") + 1, F.col("w.width") - k + 1).alias("ws"))
     at = at.withColumn("fp", simhash("ws"))
 
     blocks = _blocks()

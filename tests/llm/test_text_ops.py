@@ -107,6 +107,25 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.contamination(df.limit(0), bench).count() == 0 and decontaminate.contamination(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_swapped_sentences(spark):
+    """Items whose parts stand in another order have no shingle of their size's windows at its own offset."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    items = [(i, " ".join(word() for _ in range(rnd.choice([40, 55, 90])))) for i in range(20)]
+    docs = []
+    for i, t in items:
+        w = t.split(" ")
+        half = len(w) // 2
+        docs.append((i, " ".join([*(word() for _ in range(60)), *w[half:], *w[:half], *(word() for _ in range(i * 3))])))
+        docs.append((100 + i, " ".join([*(word() for _ in range(i)), *w[half:], word(), word(), *w[:half]])))
+        docs.append((200 + i, " ".join([*w[: len(w) // 3], *(word() for _ in range(30))])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    want = brute_leaks(docs, items)
+    assert len(want) >= 20 and set(got) <= set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in got)
+    assert {p for p, s in want.items() if s >= 0.84} <= set(got) and len(got) >= 0.95 * len(want)
+
+
 def test_decontamination_null_and_shared_ids(spark):
     item = "one two three four five six seven"
     d = spark.createDataFrame([(None, f"x {item} y"), (1, item), (1, "else"), (1, item)], "doc_id long, text string")
