@@ -2,7 +2,8 @@
 
 The model file is read once per Python worker, from a path that every worker can open (a parameter).  Pieces never
 cross from other text into a space, nor in most vocabularies between letters and other characters, so a text is cut
-there and equal chunks share one segmentation per key.
+there.  Every occurrence of a chunk draws its own skips, keyed by document and place; what is kept per chunk is only
+what no draw changes: the segmentation for a given set of skipped merges, and the merges that it tries.
 """
 
 from __future__ import annotations
@@ -48,6 +49,17 @@ class Cached(dict):
         return value
 
 
+def draw(x: int) -> int:
+    """64 random bits of a key; ``draws`` is the same for an array."""
+    x = x * 0xD6E8FEB86659FD93 & MASK
+    return (x ^ x >> 32) * 0xA0761D6478BD642F & MASK
+
+
+def draws(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ x >> np.uint64(32)) * np.uint64(0xA0761D6478BD642F)
+
+
 class Pieces:
     """A SentencePiece BPE vocabulary with byte fallback; a space stands for the word mark, so a literal mark is plain text."""
 
@@ -75,9 +87,24 @@ class Pieces:
     def segment(self, chunk: str, dropout: float, key: int) -> bytes:
         """Ids of ``chunk`` as little-endian int32.
 
-        The agenda holds candidate merges by score, then position.  One that is popped is skipped if a hash of key,
-        chunk and its place falls below ``dropout``; its two parts may still merge with their other neighbours.
+        The agenda holds candidate merges by score, then position.  One that is popped is skipped if a hash of key
+        and its place falls below ``dropout``; its two parts may still merge with their other neighbours.
         """
+        limit = int(dropout * 2**64)
+        return self._run(chunk, (lambda c: draw(key ^ c) < limit) if limit else None)
+
+    def trace(self, chunk: str, skips: tuple[int, ...] = ()) -> tuple[bytes, bytes]:
+        """Ids of ``chunk`` if of the merges tried just those of ``skips`` are skipped, and the codes of all tried, as uint64."""
+        tried: list[int] = []
+
+        def skip(code: int) -> bool:
+            tried.append(code)
+            return code in skips
+
+        ids = self._run(chunk, skip)
+        return ids, array("Q", tried).tobytes()
+
+    def _run(self, chunk: str, skip) -> bytes:
         n, rank = len(chunk), self.rank
         end, before = list(range(1, n + 1)), list(range(-1, n))  # end of the part at i (0: merged away); start of the part before it
         bits = (n + 1).bit_length()
@@ -85,15 +112,13 @@ class Pieces:
         agenda = [r << two | i << bits | i + 2 for i, pair in enumerate(map(add, chunk, chunk[1:])) if (r := rank(pair)) is not None]
         if agenda:
             heapify(agenda)
-            limit = int(dropout * 2**64)
-            salt = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"), key) if limit else 0
             while agenda:
                 x = heappop(agenda)
                 a, b = x >> bits & low, x & low
                 m = end[a]
                 if not m or m >= b or end[m] != b:
                     continue
-                if limit and ((salt ^ (a * 0x9E3779B97F4A7C15) ^ (b * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93 & MASK) < limit:
+                if skip and skip((a * 0x9E3779B97F4A7C15 ^ b * 0xC2B2AE3D27D4EB4F) & MASK):
                     continue
                 end[a], end[m] = b, 0
                 if b < n:
@@ -132,28 +157,60 @@ def load(path: str) -> Pieces:
     return _loaded[path]
 
 
-def encoder(path: str, dropout: float, seed: int, variants: int):
+def occurrence_keys(doc, n: int, seed: int, variants: int = 0) -> np.ndarray:
+    """Keys of the ``n`` chunks of a document, by its id and their places; with ``variants``, one of so many streams for all."""
+    base = np.uint64(xxhash.xxh64_intdigest(str(doc), seed & MASK))
+    if variants:
+        base = np.uint64(xxhash.xxh64_intdigest(str(int(base) % variants), seed & MASK))
+    return draws(base + np.arange(n, dtype=np.uint64) * np.uint64(0 if variants else 0x9E3779B97F4A7C15))
+
+
+def encoder(path: str, dropout: float, seed: int, variants: int = 0):
     """``(text, doc key) -> ids as bytes`` for this worker."""
-    key = (path, dropout, seed, variants)
-    if key not in _loaded:
-        pieces = load(path)
-        _loaded[key] = [Cached(lambda c, v=v: pieces.segment(c, dropout, (seed * 0x9E3779B1 + v) & MASK), max(1000, CACHE // variants)) for v in range(variants)]
-    caches, chunks = _loaded[key], load(path).chunks
+    pieces, limit = load(path), int(dropout * 2**64)
+    if ("traces", path) not in _loaded:
+        _loaded["traces", path] = Cached(pieces.trace, CACHE // 2), Cached(lambda k: pieces.trace(*k), CACHE // 2)
+    (whole, some), chunks = _loaded["traces", path], pieces.chunks
+
+    def skipped(chunk: str, key: int) -> bytes:
+        """The same as ``segment``: follows the draws from one set of skips to the next."""
+        skips, at = (), 0
+        ids, codes = whole[chunk]
+        while len(chunk) <= 24 and len(skips) <= 3:
+            codes = array("Q", codes)
+            for i in range(at, len(codes)):
+                if draw(key ^ codes[i]) < limit and codes[i] not in skips:
+                    break
+            else:
+                return ids
+            skips, at = (*skips, codes[i]), i + 1
+            ids, codes = some[chunk, skips]
+        return pieces.segment(chunk, dropout, key)
 
     def run(text: str | None, doc) -> bytes:
         if not text:
             return b""
-        cache = caches[xxhash.xxh64_intdigest(str(doc), seed) % variants] if variants > 1 else caches[0]
-        return b"".join(map(cache.__getitem__, chunks(" " + text)))
+        parts = chunks(" " + text)
+        got = list(map(whole.__getitem__, parts))
+        out = [g[0] for g in got]
+        if limit:
+            keys = occurrence_keys(doc, len(parts), seed, variants)
+            at = np.repeat(np.arange(len(parts)), np.fromiter([len(g[1]) for g in got], np.int64, len(got)) // 8)
+            codes = np.frombuffer(b"".join([g[1] for g in got]), np.uint64)
+            hit = np.unique(at[draws(keys[at] ^ codes) < np.uint64(min(limit, MASK))])  # whose first try skips something
+            for i, key in zip(hit.tolist(), keys[hit].tolist()):
+                out[i] = skipped(parts[i], key)
+        return b"".join(out)
 
     return run
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 2, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 0, digest: bool = False) -> DataFrame:
     """``(id, ids array<int>)`` for every row, or with ``digest`` ``(id, n_tokens, ids_sha256, lossless)``.
 
-    A merge is skipped with probability ``dropout``, by a hash keyed with ``seed`` and one of ``variants`` streams that
-    the id selects: equal input gives equal ids on every run and cluster, and other seeds give other segmentations.
+    A merge is skipped with probability ``dropout``, by a hash keyed with ``seed``, the id and the place in the text:
+    every occurrence of a word is drawn anew, equal input gives equal ids on every run and cluster, and other seeds give
+    other segmentations.  With ``variants``, only that many streams, one of which the id selects, are told apart.
     Null and empty texts give no ids; whole texts are encoded; null ids and repeated rows stay.
     """
 

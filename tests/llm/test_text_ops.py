@@ -159,6 +159,27 @@ def test_subword_round_trip_and_seeds(spark):
     assert subword.encode(docs.limit(0)).count() == 0
 
 
+def test_every_occurrence_is_drawn_anew():
+    """Segmentations of a word vary between documents and places, and equal those of the plain agenda with the same keys."""
+    p, text = subword.load(subword.MODEL), " ".join(["international understanding"] * 50)
+    enc = subword.encoder(subword.MODEL, 0.1, 7)
+    parts, seen = p.chunks(" " + text), Counter()
+    for doc in range(200):
+        keys = subword.occurrence_keys(doc, len(parts), 7).tolist()
+        got = [p.segment(c, 0.1, k) for c, k in zip(parts, keys)]
+        assert enc(text, doc) == b"".join(got)
+        seen.update((c.strip(), g) for c, g in zip(parts, got))
+    assert all(sum(w == x for w, _ in seen) > 30 for x in ("international", "understanding"))
+    _, tried = p.trace(" international")  # draws of one occurrence are independent: none falls below the rate as often as that
+    keys = np.concatenate([subword.occurrence_keys(doc, 100, 7) for doc in range(200)])
+    low = subword.draws(keys[:, None] ^ np.frombuffer(tried, np.uint64)[None, :]) < np.uint64(int(0.1 * 2**64))
+    assert abs((~low.any(1)).mean() - 0.9 ** low.shape[1]) < 0.015 and abs(low.mean() - 0.1) < 0.003
+    for rate in (0.3, 1.0):
+        for t in ODD:
+            parts = p.chunks(" " + t)
+            assert subword.encoder(subword.MODEL, rate, 3)(t, 5) == (b"".join(p.segment(c, rate, k) for c, k in zip(parts, subword.occurrence_keys(5, len(parts), 3).tolist())) if t else b"")
+
+
 def test_skipped_merges_follow_the_rate():
     p = subword.load(subword.MODEL)
     words = ["information", "international", "understanding", "development"]
