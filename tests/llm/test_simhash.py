@@ -131,3 +131,13 @@ def test_copies_at_the_similarity_go(spark, monkeypatch, first):
         gone.add(1000 + i)
     left = {r.doc_id for r in S.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
     assert left == {i for i, _ in docs} - gone
+
+
+def test_rows_are_decided_by_id_and_text(spark):
+    """Rows that share an id, or have none, are no copies of each other; the unique text never goes for the copy's."""
+    one, two, three = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "seven eight nine ten eleven twelve")
+    rows = [(None, one), (3, one), (None, two), (None, three), (None, three), (7, one), (7, "red green blue white black pink")]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+        assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(3, one), (0, two), (0, three), (7, "red green blue white black pink")])
