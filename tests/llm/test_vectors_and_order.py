@@ -14,22 +14,29 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def exact(rows, every, k):
-    x = {i: np.array(v, float) for i, v in rows}
-    out = {}
-    for q in x:
+    """Per query row: its best other rows of the same length, as ``(query id, [(id, score)])``."""
+    x, out = [(i, np.array(v, float)) for i, v in rows], []
+    for n, (q, v) in enumerate(x):
         if q % every == 0:
-            score = {i: float(x[q] @ v / (np.linalg.norm(x[q]) * np.linalg.norm(v))) for i, v in x.items() if i != q}
-            out[q] = sorted(score.items(), key=lambda s: (-round(s[1], 12), s[0]))[:k]
+            score = [(i, float(v @ w / (np.linalg.norm(v) * np.linalg.norm(w)))) for m, (i, w) in enumerate(x) if m != n and len(v) == len(w)]
+            out.append((q, sorted(score, key=lambda s: (-round(s[1], 12), s[0]))[:k]))
     return out
 
 
-def test_recall(spark):
-    v = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
-    want = exact([(r.vec_id, r.embedding) for r in v.collect()], 50, 5)
+def results(df):
+    """``(query id, [(id, score)])`` for ids that one row has."""
     got = {}
-    for r in neighbours.nearest(v).orderBy("query_id", "rank").collect():
+    for r in df.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
         assert len(got[r.query_id]) == r.rank
+    return got
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall(spark, folder):
+    v = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    want = dict(exact([(r.vec_id, r.embedding) for r in v.collect()], 50, 5))
+    got = results(neighbours.nearest(v))
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in w}) for q, w in want.items())
     assert set(got) == set(want) and hits >= 0.9 * 5 * len(want)
     assert all(math.isclose(s, dict(want[q]).get(i, s), abs_tol=1e-12) for q, g in got.items() for i, s in g)
@@ -40,16 +47,22 @@ def test_copies_ties_and_bad_vectors(spark, monkeypatch, block):
     monkeypatch.setattr(neighbours, "BLOCK", block)
     rng = np.random.default_rng(2)
     rows = [(i, [1.0, 2.0, 0.0, 1.0]) for i in range(0, 120)] + [(i, rng.normal(size=4).round(3).tolist()) for i in range(120, 160)]
-    bad = [(900, None), (950, [0.0] * 4), (901, [1.0, None, 0.0, 0.0]), (902, [float("nan"), 0.0, 0.0, 1.0]), (903, [float("inf"), 0.0, 0.0, 1.0]), (None, [1.0, 0.0, 0.0, 0.0]), (904, []), (50, [1.0, 2.0, 0.0, 1.0])]
+    rows += [(50, [1.0, 2.0, 0.0, 1.0]), (100, [3.0, -1.0, 2.0, 0.5]), (161, [3.0, -1.0, 2.0, 0.5]), (162, [6.0, -2.0, 4.0, 1.0])]  # shared ids, and a direction twice
+    rows += [(1000, [1.0, 2.0, 3.0]), (1001, [1.0, 2.0, 3.1]), (1002, [-1.0, -2.0, -3.0]), (1050, [1.0])]  # other lengths
+    bad = [(900, None), (950, [0.0] * 4), (901, [1.0, None, 0.0, 0.0]), (902, [float("nan"), 0.0, 0.0, 1.0]), (903, [float("inf"), 0.0, 0.0, 1.0]), (None, [1.0, 0.0, 0.0, 0.0]), (904, [])]
     d = spark.createDataFrame([(i, v, 7) for i, v in rows + bad], "vec_id long, embedding array<float>, rank int")
-    got = {}
-    for r in neighbours.nearest(d, probes=8).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append(r.vec_id)
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in neighbours.nearest(d, recall=1.0).collect())
     want = exact([(i, np.array(v, np.float32)) for i, v in rows], 50, 5)
-    assert got == {q: [i for i, _ in w] for q, w in want.items()}
+    assert got == sorted((q, n, i) for q, w in want for n, (i, _) in enumerate(w, 1))
     assert neighbours.nearest(d.limit(0)).count() == 0
-    assert neighbours.nearest(d.filter("vec_id = 50")).count() == 0
-    assert neighbours.nearest(d.filter("vec_id in (50, 51)")).count() == 1
+    assert neighbours.nearest(d.filter("vec_id = 1050")).count() == 0
+    assert neighbours.nearest(d.filter("vec_id in (51, 1000, 1001, 1002, 0)")).count() == 3
+
+
+def test_few_candidates_all_come(spark):
+    d = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, -1.0]), (4, [0.5, 0.5])], "vec_id long, embedding array<float>")
+    assert [i for i, _ in results(neighbours.nearest(d))[0]] == [4, 2, 3, 1]
+    assert [i for i, _ in results(neighbours.nearest(d.filter("vec_id < 2")))[0]] == [1]
 
 
 def test_cutoff_is_exact(spark):
