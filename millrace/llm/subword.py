@@ -2,8 +2,8 @@
 
 The model file is read once per Python worker, from a path that every worker can open (a parameter).  Pieces never
 cross from other text into a space, nor in most vocabularies between letters and other characters, so a text is cut
-there.  Every occurrence of a chunk draws its own skips, keyed by document and place; what is kept per chunk is only
-what no draw changes: the segmentation for a given set of skipped merges, and the merges that it tries.
+there.  Every occurrence of a chunk draws its own skips, keyed by document and place.  The agendas of many chunks run in
+step on arrays; what is kept per chunk is only what no draw changes.
 """
 
 from __future__ import annotations
@@ -24,18 +24,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import ship
+
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Where no piece joins a letter to another character, words and marks are cut apart; else at spaces only.
 FINE, COARSE = re.compile(r" *(?:[^\W\d_¹²³]+|(?:[\d_¹²³]|[^\w ])+)| +"), re.compile(r" *[^ ]+| +")
-#: Entries of each of the two cache generations of a worker (about 60 MB each).
-CACHE = 240_000
+#: Chunks that a worker holds (about 100 MB); beyond, it starts anew.
+CACHE = 400_000
+#: Longer chunks are segmented one by one; rows and chunks that are looked at together.
+LONG, ROWS, SLICE = 24, 200, 50_000
+#: Rank of a pair that doesn't merge.
+NEVER = 1 << 40
 MASK = (1 << 64) - 1
 
 
 class Cached(dict):
     """``make(key)``, kept for at least the last ``limit`` distinct keys; memory is bounded by two generations."""
 
-    def __init__(self, make, limit: int = CACHE):
+    def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -82,7 +88,91 @@ class Pieces:
         order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in ids.values()}, reverse=True))}
         self.chunks = (FINE if all(len(FINE.findall(p)) <= 1 for p in ids) else COARSE).findall
         self.ids = ids.get
-        self.rank = {p: order[sp.get_score(i)] for p, i in ids.items()}.get
+        rank = {p: order[sp.get_score(i)] for p, i in ids.items()}
+        self.rank = rank.get
+        # For many chunks at once: symbols are piece numbers, then single characters of pieces that aren't pieces.
+        symbol = ids | {c: self.size + i for i, c in enumerate(sorted(set("".join(ids)) - set(ids)))}
+        self.first = np.full(0x110000, -1, np.int64)
+        for c, i in symbol.items():
+            if len(c) == 1:
+                self.first[ord(c)] = i
+        pairs = [(a, b, rank[p], ids[p]) for p in ids for i in range(1, len(p)) if (a := symbol.get(p[:i])) is not None and (b := symbol.get(p[i:])) is not None]
+        left, right, ranks, whole = np.array(pairs, np.int64).T if pairs else np.zeros((4, 0), np.int64)
+        self.bits = max(4, (2 * len(pairs)).bit_length())
+        self.key, self.at = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        self.pair_rank, self.pair_piece = np.r_[ranks, NEVER], np.r_[whole, 0]
+        left = left << 32 | right
+        slot, todo = self._slot(left), np.arange(len(left))
+        while len(todo):  # each free slot takes one of those that want it; the others move on
+            free = todo[self.key[slot[todo]] < 0]
+            self.key[slot[free]] = left[free]
+            self.at[slot[free]] = free
+            todo = todo[self.key[slot[todo]] != left[todo]]
+            slot[todo] = slot[todo] + 1 & (1 << self.bits) - 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Numbers of the merges of neighbouring symbols; the last number stands for none."""
+        key = left << 32 | right
+        slot, out, todo = self._slot(key), np.full(len(key), len(self.pair_rank) - 1), np.arange(len(key))
+        while len(todo):
+            got = self.key[slot[todo]]
+            hit = got == key[todo]
+            out[todo[hit]] = self.at[slot[todo[hit]]]
+            todo = todo[~hit & (got >= 0)]
+            slot[todo] = slot[todo] + 1 & (1 << self.bits) - 1
+        return out
+
+    def known(self, chunk: str) -> bool:
+        """Whether ``together`` can take a chunk: not too long, and made of characters that are pieces."""
+        return len(chunk) <= LONG and all(map(self.ids, chunk))
+
+    def together(self, chunks: list[str], keys: np.ndarray | None = None, limit: int = 0) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """``segment`` for many chunks in step: the best merge of each agenda is popped, then the next of each.
+
+        Without keys nothing is skipped and the codes of the merges tried come too: in order, with where each chunk's begin.
+        """
+        n = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        m, width = len(chunks), int(n.max(initial=1))
+        inside = np.arange(width) < n[:, None]
+        symbol = np.full((m, width), -1, np.int64)
+        symbol[inside] = self.first[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        end, before = (np.tile(np.arange(x, width + x, dtype=np.int64), (m, 1)) for x in (1, -1))
+        merge = np.full((m, width), len(self.pair_rank) - 1)
+        both = inside[:, 1:] if width > 1 else inside[:, :0]
+        merge[:, :-1][both] = self.pair(symbol[:, :-1][both], symbol[:, 1:][both])
+        rank, alive, live, tried = self.pair_rank[merge], inside.copy(), np.arange(m), []
+        while len(live):
+            best = rank[live]
+            a = best.argmin(1)
+            some = best[np.arange(len(live)), a] < NEVER
+            live, a = live[some], a[some]
+            mid = end[live, a]
+            z = end[live, mid]
+            code = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ z.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+            row = live
+            if keys is None:
+                tried.append((row, code))
+            else:
+                skip = draws(keys[row] ^ code) < np.uint64(min(limit, MASK))
+                rank[row[skip], a[skip]] = NEVER
+                row, a, mid, z = (x[~skip] for x in (row, a, mid, z))
+            piece = self.pair_piece[merge[row, a]]
+            symbol[row, a], end[row, a], alive[row, mid] = piece, z, False
+            rank[row, a] = rank[row, mid] = NEVER
+            on = z < n[row]
+            before[row[on], z[on]] = a[on]
+            for r, at, x, y in ((row[on], a[on], piece[on], symbol[row[on], z[on]]), (r := row[a > 0], p := before[r, a[a > 0]], symbol[r, p], piece[a > 0])):
+                merge[r, at] = got = self.pair(x, y)
+                rank[r, at] = self.pair_rank[got]
+        ids = symbol[alive].astype("<i4").tobytes()
+        cut = np.r_[0, np.cumsum(alive.sum(1))] * 4
+        cut = cut.tolist()
+        row, code = (np.concatenate(x) for x in zip(*tried)) if tried else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        code = code[np.argsort(row, kind="stable")]
+        return [ids[x:y] for x, y in zip(cut, cut[1:])], code, np.r_[0, np.cumsum(np.bincount(row, minlength=m))]
 
     def segment(self, chunk: str, dropout: float, key: int) -> bytes:
         """Ids of ``chunk`` as little-endian int32.
@@ -93,17 +183,6 @@ class Pieces:
         limit = int(dropout * 2**64)
         return self._run(chunk, (lambda c: draw(key ^ c) < limit) if limit else None)
 
-    def trace(self, chunk: str, skips: tuple[int, ...] = ()) -> tuple[bytes, bytes]:
-        """Ids of ``chunk`` if of the merges tried just those of ``skips`` are skipped, and the codes of all tried, as uint64."""
-        tried: list[int] = []
-
-        def skip(code: int) -> bool:
-            tried.append(code)
-            return code in skips
-
-        ids = self._run(chunk, skip)
-        return ids, array("Q", tried).tobytes()
-
     def _run(self, chunk: str, skip) -> bytes:
         n, rank = len(chunk), self.rank
         end, before = list(range(1, n + 1)), list(range(-1, n))  # end of the part at i (0: merged away); start of the part before it
@@ -157,72 +236,110 @@ def load(path: str) -> Pieces:
     return _loaded[path]
 
 
-def occurrence_keys(doc, n: int, seed: int, variants: int = 0) -> np.ndarray:
-    """Keys of the ``n`` chunks of a document, by its id and their places; with ``variants``, one of so many streams for all."""
+def occurrence_keys(doc, n: int, seed: int) -> np.ndarray:
+    """Keys of the ``n`` chunks of a document, by its id and their places."""
     base = np.uint64(xxhash.xxh64_intdigest(str(doc), seed & MASK))
-    if variants:
-        base = np.uint64(xxhash.xxh64_intdigest(str(int(base) % variants), seed & MASK))
-    return draws(base + np.arange(n, dtype=np.uint64) * np.uint64(0 if variants else 0x9E3779B97F4A7C15))
-
-
-def encoder(path: str, dropout: float, seed: int, variants: int = 0):
-    """``(text, doc key) -> ids as bytes`` for this worker."""
-    pieces, limit = load(path), int(dropout * 2**64)
-    if ("traces", path) not in _loaded:
-        _loaded["traces", path] = Cached(pieces.trace, CACHE // 2), Cached(lambda k: pieces.trace(*k), CACHE // 2)
-    (whole, some), chunks = _loaded["traces", path], pieces.chunks
-
-    def skipped(chunk: str, key: int) -> bytes:
-        """The same as ``segment``: follows the draws from one set of skips to the next."""
-        skips, at = (), 0
-        ids, codes = whole[chunk]
-        while len(chunk) <= 24 and len(skips) <= 3:
-            codes = array("Q", codes)
-            for i in range(at, len(codes)):
-                if draw(key ^ codes[i]) < limit and codes[i] not in skips:
-                    break
-            else:
-                return ids
-            skips, at = (*skips, codes[i]), i + 1
-            ids, codes = some[chunk, skips]
-        return pieces.segment(chunk, dropout, key)
-
-    def run(text: str | None, doc) -> bytes:
-        if not text:
-            return b""
-        parts = chunks(" " + text)
-        got = list(map(whole.__getitem__, parts))
-        out = [g[0] for g in got]
+    return draws(base + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+class Chunks:
+    """What no draw changes, kept by a worker for the chunks that it met: the ids if nothing is skipped, and the codes of the
+    merges tried.  So a batch's draws are looked at together, and only chunks that skip a merge are segmented again."""
+
+    def __init__(self, pieces: Pieces, limit: int = CACHE):
+        self.pieces, self.limit = pieces, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {"": 0}
+        self.ids: list[bytes] = [b""]
+        self.codes, self.start = np.empty(0, np.uint64), np.zeros(2, np.int64)
+
+    def add(self, chunks: list[str]) -> None:
+        codes, start = [self.codes], [self.start]
+        for part in _by_size(np.fromiter(map(len, chunks), np.int64, len(chunks))):
+            some = [chunks[i] for i in part.tolist()]
+            self.number.update(zip(some, range(len(self.ids), len(self.ids) + len(some))))
+            ids, code, ends = self.pieces.together(some)
+            self.ids += ids
+            start.append(ends[1:] + start[-1][-1])
+            codes.append(code)
+        self.codes, self.start = np.concatenate(codes), np.concatenate(start)
+
+    def segment(self, parts: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
+        """``Pieces.segment`` for each chunk with its key."""
+        if len(self.ids) > self.limit:
+            self.clear()
+        limit, known = int(dropout * 2**64), self.pieces.known
+        new = dict.fromkeys(parts).keys() - self.number.keys()
+        odd = {c for c in new if not known(c)}
+        self.add([c for c in new if c not in odd])
+        one = [i for i, c in enumerate(parts) if c in odd] if odd else []
+        number = np.fromiter(map(self.number.get, [c if c not in odd else "" for c in parts] if odd else parts), np.int64, len(parts))
+        out = list(map(self.ids.__getitem__, number.tolist()))
+        for i in one:
+            out[i] = self.pieces.segment(parts[i], dropout, int(keys[i]))
         if limit:
-            keys = occurrence_keys(doc, len(parts), seed, variants)
-            at = np.repeat(np.arange(len(parts)), np.fromiter([len(g[1]) for g in got], np.int64, len(got)) // 8)
-            codes = np.frombuffer(b"".join([g[1] for g in got]), np.uint64)
-            hit = np.unique(at[draws(keys[at] ^ codes) < np.uint64(min(limit, MASK))])  # whose first try skips something
-            for i, key in zip(hit.tolist(), keys[hit].tolist()):
-                out[i] = skipped(parts[i], key)
-        return b"".join(out)
+            size = self.start[number + 1] - self.start[number]
+            owner = np.repeat(np.arange(len(parts)), size)
+            place = np.arange(len(owner)) + np.repeat(self.start[number] - np.cumsum(size) + size, size)
+            hit = np.flatnonzero(draws(keys[owner] ^ self.codes[place]) < np.uint64(min(limit, MASK)))
+            again = owner[hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]] if len(hit) else hit
+            for part in _by_size(np.fromiter((len(parts[i]) for i in again.tolist()), np.int64, len(again))):
+                at = again[part]
+                for i, ids in zip(at.tolist(), self.pieces.together([parts[i] for i in at.tolist()], keys[at], limit)[0]):
+                    out[i] = ids
+        return out
+
+
+def _by_size(size: np.ndarray) -> Iterator[np.ndarray]:
+    """Indices of chunks of similar length."""
+    for low, high in ((0, 5), (5, 9), (9, 14), (14, LONG)):
+        some = np.flatnonzero((size > low) & (size <= high))
+        if len(some):
+            yield some
+
+
+def encoder(path: str, dropout: float, seed: int):
+    """``(texts, doc keys) -> ids of each as bytes`` for this worker."""
+    pieces = load(path)
+    if ("chunks", path) not in _loaded:
+        _loaded["chunks", path] = Chunks(pieces)
+    held, chunks = _loaded["chunks", path], pieces.chunks
+
+    def run(texts: list, docs: list) -> list[bytes]:
+        parts, keys, ends = [], [np.empty(0, np.uint64)], [0]
+        for text, doc in zip(texts, docs):
+            own = chunks(" " + text) if text else []
+            parts += own
+            keys.append(occurrence_keys(doc, len(own), seed))
+            ends.append(len(parts))
+        keys, out = np.concatenate(keys), []
+        for i in range(0, len(parts), SLICE):
+            out += held.segment(parts[i : i + SLICE], keys[i : i + SLICE], dropout)
+        return [b"".join(out[a:z]) for a, z in zip(ends, ends[1:])]
 
     return run
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 0, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model: str = MODEL, dropout: float = 0.1, seed: int = 7, digest: bool = False) -> DataFrame:
     """``(id, ids array<int>)`` for every row, or with ``digest`` ``(id, n_tokens, ids_sha256, lossless)``.
 
     A merge is skipped with probability ``dropout``, by a hash keyed with ``seed``, the id and the place in the text:
     every occurrence of a word is drawn anew, equal input gives equal ids on every run and cluster, and other seeds give
-    other segmentations.  With ``variants``, only that many streams, one of which the id selects, are told apart.
-    Null and empty texts give no ids; whole texts are encoded; null ids and repeated rows stay.
+    other segmentations.  Null and empty texts give no ids; whole texts of any length are encoded; null ids and repeated
+    rows stay; other columns are ignored; no rows give none.
     """
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pieces = encoder(model, dropout, seed, variants), load(model)
+        enc, pieces = encoder(model, dropout, seed), load(model)
         for b in batches:
-            keys, texts = b.column(0), b.column(1)
-            for at in range(0, b.num_rows, 1000):
-                part = [enc(t, k) for t, k in zip(texts.slice(at, 1000).to_pylist(), keys.slice(at, 1000).to_pylist())]
-                key = keys.slice(at, 1000)
+            for at in range(0, b.num_rows, ROWS):
+                key, texts = b.column(0).slice(at, ROWS), b.column(1).slice(at, ROWS).to_pylist()
+                part = enc(texts, key.to_pylist())
                 if digest:
-                    same = [pieces.decode(np.frombuffer(p, "<i4")) == (t or "") for p, t in zip(part, texts.slice(at, 1000).to_pylist())]
+                    same = [pieces.decode(np.frombuffer(p, "<i4")) == (t or "") for p, t in zip(part, texts)]
                     cols = [pa.array([len(p) // 4 for p in part], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in part]), pa.array(same)]
                 else:
                     ends = np.cumsum([0] + [len(p) // 4 for p in part]).astype(np.int32)
@@ -244,5 +361,6 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids: str = "ids", model:
             text = [pieces.decode(np.array(x, np.int32)) if x else "" for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=[id_col, "text"])
 
+    ship(encoded.sparkSession)
     src = encoded.select(F.col(id_col).alias(id_col), F.col(ids).alias("ids"))
     return src.mapInArrow(run, T.StructType([src.schema[0], T.StructField("text", T.StringType())]))

@@ -140,10 +140,10 @@ ODD = ["", " ", "  a  b ", "x\n\ty\x00z", "▁ literal ▁▁", "é漢字🙂 mi
 
 def test_subword_without_dropout_is_the_library():
     sp = sentencepiece.SentencePieceProcessor(model_file=subword.MODEL)
-    enc = subword.encoder(subword.MODEL, 0.0, 1, 1)
+    enc = subword.encoder(subword.MODEL, 0.0, 1)
     texts = duckdb.sql(f"select text from '{FOLDER}/documents.parquet' limit 60").fetchall()
     for (t,) in texts + [(t,) for t in ODD if "▁" not in t]:
-        assert np.frombuffer(enc(t, 1), "<i4").tolist() == sp.encode(t)
+        assert np.frombuffer(enc([t], [1])[0], "<i4").tolist() == sp.encode(t)
 
 
 def test_subword_round_trip_and_seeds(spark):
@@ -159,6 +159,27 @@ def test_subword_round_trip_and_seeds(spark):
     assert subword.encode(docs.limit(0)).count() == 0
 
 
+def plain_segments(p, chunk, key, rate):
+    """Brute force: again and again, of all neighbouring parts that may merge and aren't skipped, those of lowest rank, then leftmost, merge."""
+    cuts, limit = list(range(len(chunk) + 1)), int(rate * 2**64)
+    skipped = lambda a, b: subword.draw(key ^ (a * 0x9E3779B97F4A7C15 ^ b * 0xC2B2AE3D27D4EB4F) & subword.MASK) < limit
+    while found := [(r, a, m) for a, m, b in zip(cuts, cuts[1:], cuts[2:]) if (r := p.rank(chunk[a:b])) is not None and not skipped(a, b)]:
+        cuts.remove(min(found)[2])
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        out += [p.ids(chunk[a:b])] if p.ids(chunk[a:b]) is not None else [p.bytes[c] for c in chunk[a:b].encode()]
+    return np.array(out, "<i4").tobytes()
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_segments_against_brute_force(rate):
+    p, enc = subword.load(subword.MODEL), subword.encoder(subword.MODEL, rate, 9)
+    texts = [t for (t,) in duckdb.sql(f"select text from '{FOLDER}/documents.parquet' limit 40").fetchall()] + [t for t in ODD if len(t) < 1000] + ["internationalisationsmassnahmenkatalog " * 3, "ßéx🙂 é漢"]
+    for doc, (t, got) in enumerate(zip(texts, enc(texts, list(range(len(texts)))))):
+        parts = p.chunks(" " + t) if t else []
+        assert got == b"".join(plain_segments(p, c, int(k), rate) for c, k in zip(parts, subword.occurrence_keys(doc, len(parts), 9)))
+
+
 def test_every_occurrence_is_drawn_anew():
     """Segmentations of a word vary between documents and places, and equal those of the plain agenda with the same keys."""
     p, text = subword.load(subword.MODEL), " ".join(["international understanding"] * 50)
@@ -167,17 +188,17 @@ def test_every_occurrence_is_drawn_anew():
     for doc in range(200):
         keys = subword.occurrence_keys(doc, len(parts), 7).tolist()
         got = [p.segment(c, 0.1, k) for c, k in zip(parts, keys)]
-        assert enc(text, doc) == b"".join(got)
+        assert enc([text], [doc]) == [b"".join(got)]
         seen.update((c.strip(), g) for c, g in zip(parts, got))
     assert all(sum(w == x for w, _ in seen) > 30 for x in ("international", "understanding"))
-    _, tried = p.trace(" international")  # draws of one occurrence are independent: none falls below the rate as often as that
+    _, tried, _ = p.together([" international"])  # draws of one occurrence are independent: none falls below the rate as often as that
     keys = np.concatenate([subword.occurrence_keys(doc, 100, 7) for doc in range(200)])
-    low = subword.draws(keys[:, None] ^ np.frombuffer(tried, np.uint64)[None, :]) < np.uint64(int(0.1 * 2**64))
+    low = subword.draws(keys[:, None] ^ tried[None, :]) < np.uint64(int(0.1 * 2**64))
     assert abs((~low.any(1)).mean() - 0.9 ** low.shape[1]) < 0.015 and abs(low.mean() - 0.1) < 0.003
     for rate in (0.3, 1.0):
         for t in ODD:
             parts = p.chunks(" " + t)
-            assert subword.encoder(subword.MODEL, rate, 3)(t, 5) == (b"".join(p.segment(c, rate, k) for c, k in zip(parts, subword.occurrence_keys(5, len(parts), 3).tolist())) if t else b"")
+            assert subword.encoder(subword.MODEL, rate, 3)([t], [5])[0] == (b"".join(p.segment(c, rate, k) for c, k in zip(parts, subword.occurrence_keys(5, len(parts), 3).tolist())) if t else b"")
 
 
 def test_skipped_merges_follow_the_rate():
