@@ -1,14 +1,17 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
-Both models are bags of hashed words and word pairs, with add-one smoothing.  A text's log weight is the sum over its n-grams of the
-log ratio of the target model to the raw model; adding Gumbel noise, keyed by id, and keeping the k largest draws k
-texts without replacement in proportion to their weights.
+Both models are bags of hashed words and word pairs, with add-one smoothing; a text's log ratio is the sum over its n-grams
+of the log ratio of the target model to the raw model.  That sum grows with the length of a text and counts n-grams as
+independent, so its mean is calibrated on labels into a probability ratio, the importance weight.  Adding Gumbel noise,
+keyed by id, to the log weights and keeping the k largest draws k texts without replacement in proportion to their weights.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import cut
+from millrace.llm.common import cut, ship
 from millrace.llm.subword import Cached
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -45,69 +48,113 @@ def half(which: int) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == which
 
 
-def labelled(labels: DataFrame) -> dict[int, bool]:
-    """Up to LABELLED labelled ids: True where quality is 1 and toxic isn't; an id with several labels needs all good."""
+def labelled(labels: DataFrame) -> dict[int, tuple[bool, bool]]:
+    """Up to LABELLED labelled ids of the first half: whether good, that is of quality 1 and not toxic, and whether toxic; an
+    id with several labels needs all good, and one toxic."""
     labels = labels.filter(half(0))
     good = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1), F.lit(False))
-    rows = labels.filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(F.min(good).alias("good"))
-    return {r["doc_id"]: r["good"] for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).collect()}
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    rows = labels.filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy("doc_id").agg(F.min(good).alias("good"), F.max(toxic).alias("toxic"))
+    return {r["doc_id"]: (r["good"], r["toxic"]) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).collect()}
 
 
-def fit(docs: DataFrame, marks: dict[int, bool], id_col: str = "doc_id", text: str = "text") -> np.ndarray:
-    """Log ratios by bucket, from the n-grams of all documents and of the marked good ones among them."""
-    known = docs.sparkSession.sparkContext.broadcast({i for i, good in marks.items() if good})
+@dataclass(frozen=True)
+class Model:
+    """By bucket: the log ratio of the target to the raw model, and how much likelier a word is in toxic than in good texts."""
+
+    ratio: np.ndarray
+    toxic: np.ndarray
+
+
+def fit(docs: DataFrame, marks: dict[int, tuple[bool, bool]], id_col: str = "doc_id", text: str = "text") -> Model:
+    """Both models from the n-grams of all documents and of the marked ones among them."""
+    ship(docs.sparkSession)
+    known, kinds = docs.sparkSession.sparkContext.broadcast(marks), ("raw", "target", "clean", "toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target, clean, toxic = (np.zeros(BUCKETS, np.int64) for _ in range(4))
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 for i, t in zip(b.column(0).slice(at, 1000).to_pylist(), b.column(1).slice(at, 1000).to_pylist()):
                     n = ngrams(t)
                     np.add.at(raw, n, 1)
-                    if i in known.value:
+                    good, bad = known.value.get(i, (False, False))
+                    if good:
                         np.add.at(target, n, 1)
+                        clean[n] += 1  # documents, not occurrences
+                    elif bad:
+                        toxic[n] += 1
         some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bucket", "raw", "target"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(x[some]) for x in (raw, target, clean, toxic)]], names=["bucket", *kinds])
 
-    got = docs.select(F.col(id_col), F.col(text)).mapInArrow(run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    got = docs.select(F.col(id_col), F.col(text)).mapInArrow(run, "bucket long, raw long, target long, clean long, toxic long").groupBy("bucket").agg(*[F.sum(x).alias(x) for x in kinds])
+    counts = np.zeros((4, BUCKETS))
     for r in got.collect():  # at most BUCKETS rows
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+        counts[:, r["bucket"]] = [r[x] for x in kinds]
+    raw, target, clean, toxic = counts
+    share = toxic.sum() / max(1.0, toxic.sum() + clean.sum())
+    ratio = np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    return Model(ratio, np.log((toxic + DOUBT) / (share * (toxic + clean) + DOUBT)))
 
 
-def score(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, n_grams, log_weight)`` for every row."""
-    known = docs.sparkSession.sparkContext.broadcast(ratio)
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, n_grams, log_ratio, toxic)`` for every row: ``log_ratio`` is the sum over the n-grams, ``toxic`` that of
+    the worst word alone, as one makes a text toxic."""
+    ship(docs.sparkSession)
+    known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ratio, toxic = known.value.ratio, known.value.toxic
         for b in batches:
-            n, w = [], []
+            n, w, x = [], [], []
             for at in range(0, b.num_rows, 1000):
                 for t in b.column(1).slice(at, 1000).to_pylist():
                     grams = ngrams(t)
                     n.append(len(grams))
-                    w.append(float(known.value[grams].sum()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(w, pa.float64())], names=[id_col, "n_grams", "log_weight"])
+                    w.append(float(ratio[grams].sum()))
+                    x.append(float(toxic[grams[: (len(grams) + 1) // 2]].max(initial=0.0)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(w, pa.float64()), pa.array(x, pa.float64())], names=[id_col, "n_grams", "log_ratio", "toxic"])
 
     src = docs.select(F.col(id_col).alias(id_col), F.col(text))
-    return src.mapInArrow(run, T.StructType([src.schema[0]]).add("n_grams", "long").add("log_weight", "double"))
+    return src.mapInArrow(run, T.StructType([src.schema[0]]).add("n_grams", "long").add("log_ratio", "double").add("toxic", "double"))
 
 
-#: A document counts as a text of this many n-grams, so its length doesn't decide; short ones are drawn to the raw model.
-SHARPNESS, PRIOR = 200.0, 16
-#: A rejected good document costs as much as this many kept bad ones when the share is set.
+#: Short documents are drawn to the raw model by so many n-grams of it.
+PRIOR = 16
+#: A word that is seen in so many toxic documents is believed by half.
+DOUBT = 5.0
+#: A rejected good document costs as much as this many kept bad ones when the number to draw is set.
 CARE = 5.0
 
 
-def weight(n: Column, w: Column) -> Column:
-    """Log weight of a document as a text of SHARPNESS n-grams."""
-    return SHARPNESS * w / (n + PRIOR)
+def features() -> list[Column]:
+    """Mean log ratio of a document, and its toxicity."""
+    return [F.col("log_ratio") / (F.col("n_grams") + PRIOR), F.col("toxic")]
+
 
+def calibrate(x: np.ndarray, good: np.ndarray, rounds: int = 100) -> list[tuple[float, float, float]]:
+    """Logistic regression of ``good`` on the columns of ``x`` (Newton, with a small ridge): ``(middle, spread, coefficient)`` of
+    each, first the intercept.
 
-def gumbel(id_col: str, seed: int) -> Column:
+    A column counts in spreads (quartiles) from the middle of the good ones, 10 at most.  The odds turn the two models'
+    scores into the ratio of a document's probability in the target to that in the raw text.
+    """
+    low, middle, high = np.percentile(x[good], [25, 50, 75], axis=0)
+    spread = high - low + 1e-9
+    z, w = np.c_[np.ones(len(x)), np.clip((x - middle) / spread, -10, 10)], np.zeros(x.shape[1] + 1)
+    ridge = np.r_[1e-6, np.full(x.shape[1], 0.1)]
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + np.diag(ridge), z.T @ (good - p) - ridge * w)
+        w += np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
+            break
+    return list(zip([0.0, *middle.tolist()], [1.0, *spread.tolist()], w.tolist()))
+
+
+def gumbel(id_col: str, seed: int | Column) -> Column:
     """Standard Gumbel noise keyed by the id."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
+    u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), seed if isinstance(seed, Column) else F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
     return -F.log(-F.log(u))
 
 
@@ -135,37 +182,47 @@ def cutoff(keys: DataFrame, k: int) -> float | None:
     return low
 
 
+def weigh(scored: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
+    """``scored`` with ``log_weight``: the log of the calibrated probability that a document is of the target.
+
+    The calibration takes at most LABELLED labels of the second half, which the models haven't seen; without both good
+    and bad ones among them, the mean log ratio is the log weight.
+    """
+    good = F.coalesce((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1), F.lit(False))
+    marks = labels.filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").filter(half(1)).groupBy("doc_id").agg(F.min(good).alias("good"))
+    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).withColumnRenamed("doc_id", "_m")
+    parts = [f.alias(f"_f{i}") for i, f in enumerate(features())]
+    rows = scored.join(F.broadcast(marks), F.col(id_col) == F.col("_m")).select("_m", "good", *parts).dropDuplicates(["_m"]).collect()
+    marked = np.array([r["good"] for r in rows], bool)
+    if not len(rows) or marked.all() or not marked.any():
+        return scored.withColumn("log_weight", features()[0])
+    (_, _, odds), *rest = calibrate(np.array([r[2:] for r in rows], float), marked)
+    for f, (middle, spread, w) in zip(features(), rest):
+        odds = odds + w * F.greatest(F.lit(-10.0), F.least(F.lit(10.0), (f - middle) / spread))
+    return scored.withColumn("log_weight", -F.log1p(F.exp(-odds)))
+
+
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 5, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The drawn documents: ``(id, n_grams, log_weight, key)``.
 
     The target model is trained on labelled documents of quality 1 that aren't toxic (at most LABELLED of them), the raw
-    model on all documents.  Without ``k``, the number to draw is that of the documents whose weight reaches the
-    threshold that best tells good from bad labelled documents; without bad ones, all.  Documents are drawn by weight
-    with keyed Gumbel noise, so the draw repeats; rows tied with the last one drawn are all in, repeated rows among
-    them.  Null and empty texts have no n-grams and weight zero; a null id shares the noise of other null ids.
+    model on all documents; ``weigh`` turns their ratio into importance weights.  ``k`` documents are drawn without
+    replacement in proportion to their weights, by keyed Gumbel noise, so the draw repeats; rows tied with the last one
+    drawn are all in, repeated rows among them.  Without ``k``, as many are drawn as are worth keeping if a rejected
+    good document costs CARE kept bad ones; without labels of both kinds, all.
+
+    Null and empty texts have no n-grams and mean log ratio zero; texts of any length count whole; a null id shares the
+    noise of other null ids; other columns are ignored; no rows give none.
     """
     marks = labelled(labels)
     scored = score(docs.select(F.col(id_col).alias(id_col), F.col(text).alias("text")), fit(docs, marks, id_col, text), id_col)
-    scored = cut(scored.withColumn("w", weight(F.col("n_grams"), F.col("log_weight"))).withColumn("key", F.col("w") + gumbel(id_col, seed)))
+    scored = cut(weigh(cut(scored), labels, id_col).withColumn("key", F.col("log_weight") + gumbel(id_col, seed)))
     if k is None:
-        k = scored.filter(F.col("w") >= threshold(scored, labels, id_col)).count()
+        worth = scored.agg(F.max("log_weight"), F.sum((F.col("log_weight") >= -math.log1p(CARE)).cast("long"))).first()
+        k = (worth[1] if worth[0] is not None and worth[0] <= 0 else None) or scored.count()
     return scored.filter(F.col("key") >= cutoff(scored, k)).select(id_col, "n_grams", "log_weight", "key")
 
 
-def threshold(scored: DataFrame, labels: DataFrame, id_col: str) -> float:
-    """The weight that best parts labelled documents of quality 1 from those of quality 0, on at most LABELLED of them."""
-    marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(half(1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).withColumnRenamed("doc_id", "_m")
-    rows = scored.join(F.broadcast(marks), F.col(id_col) == F.col("_m")).groupBy("_m").agg(F.min("w").alias("w"), F.min("quality").alias("quality")).collect()
-    w, good = np.array([r["w"] for r in rows]), np.array([r["quality"] == 1 for r in rows], bool)
-    if good.all() or not good.any():
-        return float("-inf")
-    order = np.argsort(w)
-    w, good = w[order], good[order]
-    lost = CARE * np.r_[0, np.cumsum(good)[:-1]] / good.sum() - np.r_[0, np.cumsum(~good)[:-1]] / (~good).sum()
-    return float(w[int(np.argmin(lost))])
-
-
 def keep_drawn(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that aren't drawn; rows that share an id stay if one of them is drawn."""
     drawn = cut(resample(docs, labels).select(F.col("doc_id").alias("_drawn")).distinct())

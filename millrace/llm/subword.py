@@ -32,9 +32,10 @@ FINE, COARSE = re.compile(r" *(?:[^\W\d_¹²³]+|(?:[\d_¹²³]|[^\w ])+)| +"),
 #: Chunks that a worker holds (about 100 MB); beyond, it starts anew.
 CACHE = 400_000
 #: Longer chunks are segmented one by one; rows and chunks that are looked at together.
-LONG, ROWS, SLICE = 24, 200, 50_000
+LONG, ROWS, SLICE = 24, 500, 150_000
 #: Rank of a pair that doesn't merge.
-NEVER = 1 << 40
+NEVER = 1 << 30
+SPREAD = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
 
@@ -90,89 +91,41 @@ class Pieces:
         self.ids = ids.get
         rank = {p: order[sp.get_score(i)] for p, i in ids.items()}
         self.rank = rank.get
-        # For many chunks at once: symbols are piece numbers, then single characters of pieces that aren't pieces.
-        symbol = ids | {c: self.size + i for i, c in enumerate(sorted(set("".join(ids)) - set(ids)))}
-        self.first = np.full(0x110000, -1, np.int64)
-        for c, i in symbol.items():
+        # For many chunks at once: pieces by a hash of their characters, with what only begins a piece.
+        prefix = {p[:i]: -1 for p in ids for i in range(1, len(p))} | ids
+        found: dict[int, int] = {}
+        for text, i in prefix.items():
+            h = 0
+            for c in map(ord, text):
+                h = (h ^ c + 1) * SPREAD & MASK
+            found[h] = i
+        if len(found) < len(prefix):
+            raise ValueError("two beginnings of pieces share a hash")
+        self.hash, self.piece = np.array(sorted(found), np.uint64), np.array([found[h] for h in sorted(found)], np.int32)
+        self.ranks = np.full(self.size + 1, NEVER, np.int32)  # the last entry stands for no piece
+        self.ranks[[ids[p] for p in rank]] = list(rank.values())
+        self.first = np.full(0x110000, -1, np.int32)
+        for c, i in ids.items():
             if len(c) == 1:
                 self.first[ord(c)] = i
-        pairs = [(a, b, rank[p], ids[p]) for p in ids for i in range(1, len(p)) if (a := symbol.get(p[:i])) is not None and (b := symbol.get(p[i:])) is not None]
-        left, right, ranks, whole = np.array(pairs, np.int64).T if pairs else np.zeros((4, 0), np.int64)
-        self.bits = max(4, (2 * len(pairs)).bit_length())
-        self.key, self.at = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
-        self.pair_rank, self.pair_piece = np.r_[ranks, NEVER], np.r_[whole, 0]
-        left = left << 32 | right
-        slot, todo = self._slot(left), np.arange(len(left))
-        while len(todo):  # each free slot takes one of those that want it; the others move on
-            free = todo[self.key[slot[todo]] < 0]
-            self.key[slot[free]] = left[free]
-            self.at[slot[free]] = free
-            todo = todo[self.key[slot[todo]] != left[todo]]
-            slot[todo] = slot[todo] + 1 & (1 << self.bits) - 1
-
-    def _slot(self, key: np.ndarray) -> np.ndarray:
-        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Numbers of the merges of neighbouring symbols; the last number stands for none."""
-        key = left << 32 | right
-        slot, out, todo = self._slot(key), np.full(len(key), len(self.pair_rank) - 1), np.arange(len(key))
-        while len(todo):
-            got = self.key[slot[todo]]
-            hit = got == key[todo]
-            out[todo[hit]] = self.at[slot[todo[hit]]]
-            todo = todo[~hit & (got >= 0)]
-            slot[todo] = slot[todo] + 1 & (1 << self.bits) - 1
-        return out
-
-    def known(self, chunk: str) -> bool:
-        """Whether ``together`` can take a chunk: not too long, and made of characters that are pieces."""
-        return len(chunk) <= LONG and all(map(self.ids, chunk))
-
-    def together(self, chunks: list[str], keys: np.ndarray | None = None, limit: int = 0) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """``segment`` for many chunks in step: the best merge of each agenda is popped, then the next of each.
-
-        Without keys nothing is skipped and the codes of the merges tried come too: in order, with where each chunk's begin.
-        """
-        n = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        m, width = len(chunks), int(n.max(initial=1))
-        inside = np.arange(width) < n[:, None]
-        symbol = np.full((m, width), -1, np.int64)
-        symbol[inside] = self.first[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        end, before = (np.tile(np.arange(x, width + x, dtype=np.int64), (m, 1)) for x in (1, -1))
-        merge = np.full((m, width), len(self.pair_rank) - 1)
-        both = inside[:, 1:] if width > 1 else inside[:, :0]
-        merge[:, :-1][both] = self.pair(symbol[:, :-1][both], symbol[:, 1:][both])
-        rank, alive, live, tried = self.pair_rank[merge], inside.copy(), np.arange(m), []
-        while len(live):
-            best = rank[live]
-            a = best.argmin(1)
-            some = best[np.arange(len(live)), a] < NEVER
-            live, a = live[some], a[some]
-            mid = end[live, a]
-            z = end[live, mid]
-            code = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ z.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-            row = live
-            if keys is None:
-                tried.append((row, code))
-            else:
-                skip = draws(keys[row] ^ code) < np.uint64(min(limit, MASK))
-                rank[row[skip], a[skip]] = NEVER
-                row, a, mid, z = (x[~skip] for x in (row, a, mid, z))
-            piece = self.pair_piece[merge[row, a]]
-            symbol[row, a], end[row, a], alive[row, mid] = piece, z, False
-            rank[row, a] = rank[row, mid] = NEVER
-            on = z < n[row]
-            before[row[on], z[on]] = a[on]
-            for r, at, x, y in ((row[on], a[on], piece[on], symbol[row[on], z[on]]), (r := row[a > 0], p := before[r, a[a > 0]], symbol[r, p], piece[a > 0])):
-                merge[r, at] = got = self.pair(x, y)
-                rank[r, at] = self.pair_rank[got]
-        ids = symbol[alive].astype("<i4").tobytes()
-        cut = np.r_[0, np.cumsum(alive.sum(1))] * 4
-        cut = cut.tolist()
-        row, code = (np.concatenate(x) for x in zip(*tried)) if tried else (np.empty(0, np.int64), np.empty(0, np.uint64))
-        code = code[np.argsort(row, kind="stable")]
-        return [ids[x:y] for x, y in zip(cut, cut[1:])], code, np.r_[0, np.cumsum(np.bincount(row, minlength=m))]
+
+    def parts(self, chars: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The piece of every part of chunks of ``n`` characters each (-1: none), and where each chunk's begin; see ``part``."""
+        size = n * (n + 1) // 2
+        first = np.cumsum(size) - size
+        out = np.full(int(size.sum()), -1, np.int32)
+        row = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(chars))
+        a = at - np.repeat(np.cumsum(n) - n, n)
+        slot, left, h = first[row] + part(a, a + 1, n[row]), (n[row] - a), np.zeros(len(at), np.uint64)
+        while len(at):
+            h = (h ^ (chars[at] + np.uint64(1))) * np.uint64(SPREAD)
+            i = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+            some = self.hash[i] == h
+            out[slot[some]] = self.piece[i[some]]
+            some &= left > 1
+            slot, left, h, at = slot[some] + 1, left[some] - 1, h[some], at[some] + 1
+        return out, first
 
     def segment(self, chunk: str, dropout: float, key: int) -> bytes:
         """Ids of ``chunk`` as little-endian int32.
@@ -242,54 +195,141 @@ def occurrence_keys(doc, n: int, seed: int) -> np.ndarray:
     return draws(base + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def part(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Place of the part from ``a`` to ``b`` among all parts of a chunk of ``n`` characters."""
+    return a * n - a * (a - 1) // 2 + b - a - 1
+
+
+class Flat:
+    """An array that grows."""
+
+    def __init__(self, kind):
+        self.all, self.used = np.empty(1 << 16, kind), 0
+
+    def add(self, x: np.ndarray) -> None:
+        while self.used + len(x) > len(self.all):
+            self.all = np.concatenate([self.all, np.empty_like(self.all)])
+        self.all[self.used : self.used + len(x)] = x
+        self.used += len(x)
+
+
 class Chunks:
-    """What no draw changes, kept by a worker for the chunks that it met: the ids if nothing is skipped, and the codes of the
-    merges tried.  So a batch's draws are looked at together, and only chunks that skip a merge are segmented again."""
+    """What no draw changes, kept by a worker for the chunks that it met: which parts are pieces, the ids if nothing is
+    skipped, and the codes of the merges tried.  So a batch's draws are looked at together, and only chunks that skip a
+    merge are segmented again.  Number 0 stands for chunks that are segmented one by one: long ones and those with
+    characters that aren't pieces."""
 
     def __init__(self, pieces: Pieces, limit: int = CACHE):
         self.pieces, self.limit = pieces, limit
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {"": 0}
-        self.ids: list[bytes] = [b""]
-        self.codes, self.start = np.empty(0, np.uint64), np.zeros(2, np.int64)
+        self.number: dict[str, int] = {}
+        self.piece, self.code, self.ids = Flat(np.int32), Flat(np.uint64), Flat(np.int32)
+        self.size, self.at, self.code_at, self.ids_at = (Flat(np.int64) for _ in range(4))
+        for x, first in ((self.size, [0]), (self.at, [0]), (self.code_at, [0, 0]), (self.ids_at, [0, 0])):
+            x.add(np.array(first))
 
     def add(self, chunks: list[str]) -> None:
-        codes, start = [self.codes], [self.start]
-        for part in _by_size(np.fromiter(map(len, chunks), np.int64, len(chunks))):
-            some = [chunks[i] for i in part.tolist()]
-            self.number.update(zip(some, range(len(self.ids), len(self.ids) + len(some))))
-            ids, code, ends = self.pieces.together(some)
-            self.ids += ids
-            start.append(ends[1:] + start[-1][-1])
-            codes.append(code)
-        self.codes, self.start = np.concatenate(codes), np.concatenate(start)
-
-    def segment(self, parts: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-        """``Pieces.segment`` for each chunk with its key."""
-        if len(self.ids) > self.limit:
+        chunks.sort(key=len)
+        n = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        chars = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+        odd = (n > LONG) | (np.minimum.reduceat(self.pieces.first[chars], np.cumsum(n) - n) < 0)
+        if odd.any():
+            self.number.update((chunks[i], 0) for i in np.flatnonzero(odd).tolist())
+            chunks = [c for c, x in zip(chunks, odd.tolist()) if not x]
+            chars, n = chars[np.repeat(~odd, n)], n[~odd]
+        piece, at = self.pieces.parts(chars.astype(np.uint64), n)
+        new = self.size.used
+        self.at.add(at + self.piece.used)
+        self.piece.add(piece)
+        self.size.add(n)
+        self.number.update(zip(chunks, range(new, new + len(chunks))))
+        for some in _by_size(n):
+            ids, ends, code, code_ends = self.together(some + new)
+            self.ids_at.add(ends + self.ids.used)
+            self.ids.add(ids)
+            self.code_at.add(code_ends + self.code.used)
+            self.code.add(code)
+
+    def together(self, numbers: np.ndarray, keys: np.ndarray | None = None, limit: int = 0) -> tuple[np.ndarray, ...]:
+        """``Pieces.segment`` for many chunks in step: the best merge of each agenda is popped, then the next of each.
+
+        The ids and where each chunk's end.  Without keys nothing is skipped and the codes of the merges tried come too,
+        in order, with where each chunk's end.
+        """
+        n, at, piece, ranks = self.size.all[numbers], self.at.all[numbers], self.piece.all, self.pieces.ranks
+        m, width = len(n), int(n.max(initial=1))
+        column = np.arange(width)
+        alive = column < n[:, None]
+        end, before = np.tile(column + 1, (m, 1)), np.tile(column - 1, (m, 1))
+        rank = np.full((m, width), NEVER, np.int32)
+        row, a = np.nonzero(column < n[:, None] - 1)
+        rank[row, a] = ranks[piece[at[row] + part(a, a + 2, n[row])]]
+        live, tried = np.arange(m), []
+        while len(live):
+            best = rank[live]
+            a = best.argmin(1)
+            some = best[np.arange(len(live)), a] < NEVER
+            live, a = live[some], a[some]
+            mid = end[live, a]
+            z = end[live, mid]
+            code = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ z.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+            row = live
+            if keys is None:
+                tried.append((row, code))
+            else:
+                skip = draws(keys[row] ^ code) < np.uint64(min(limit, MASK))
+                rank[row[skip], a[skip]] = NEVER
+                row, a, mid, z = (x[~skip] for x in (row, a, mid, z))
+            end[row, a], alive[row, mid], rank[row, a], rank[row, mid] = z, False, NEVER, NEVER
+            on = z < n[row]
+            r, x, y = row[on], a[on], z[on]
+            before[r, y] = x
+            rank[r, x] = ranks[piece[at[r] + part(x, end[r, y], n[r])]]
+            on = a > 0
+            r, y = row[on], z[on]
+            x = before[r, a[on]]
+            rank[r, x] = ranks[piece[at[r] + part(x, y, n[r])]]
+        row, a = np.nonzero(alive)
+        ids, ends = piece[at[row] + part(a, end[row, a], n[row])], np.cumsum(alive.sum(1))
+        if keys is not None:
+            return ids, ends
+        row, code = (np.concatenate(x) for x in zip(*tried)) if tried else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        return ids, ends, code[np.argsort(row, kind="stable")], np.cumsum(np.bincount(row, minlength=m))
+
+    def segment(self, parts: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """``Pieces.segment`` for each chunk with its key: all ids, and how many each has."""
+        if self.size.used > self.limit:
             self.clear()
-        limit, known = int(dropout * 2**64), self.pieces.known
-        new = dict.fromkeys(parts).keys() - self.number.keys()
-        odd = {c for c in new if not known(c)}
-        self.add([c for c in new if c not in odd])
-        one = [i for i, c in enumerate(parts) if c in odd] if odd else []
-        number = np.fromiter(map(self.number.get, [c if c not in odd else "" for c in parts] if odd else parts), np.int64, len(parts))
-        out = list(map(self.ids.__getitem__, number.tolist()))
-        for i in one:
-            out[i] = self.pieces.segment(parts[i], dropout, int(keys[i]))
+        if new := dict.fromkeys(parts).keys() - self.number.keys():
+            self.add(list(new))
+        limit = int(dropout * 2**64)
+        number = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        first, size = self.ids_at.all[number], self.ids_at.all[number + 1] - self.ids_at.all[number]
+        source = [self.ids.all[: self.ids.used]]
+        used = self.ids.used
         if limit:
-            size = self.start[number + 1] - self.start[number]
-            owner = np.repeat(np.arange(len(parts)), size)
-            place = np.arange(len(owner)) + np.repeat(self.start[number] - np.cumsum(size) + size, size)
-            hit = np.flatnonzero(draws(keys[owner] ^ self.codes[place]) < np.uint64(min(limit, MASK)))
-            again = owner[hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]] if len(hit) else hit
-            for part in _by_size(np.fromiter((len(parts[i]) for i in again.tolist()), np.int64, len(again))):
-                at = again[part]
-                for i, ids in zip(at.tolist(), self.pieces.together([parts[i] for i in at.tolist()], keys[at], limit)[0]):
-                    out[i] = ids
-        return out
+            begin = self.code_at.all[number]
+            tries = self.code_at.all[number + 1] - begin
+            owner = np.repeat(np.arange(len(parts)), tries)
+            place = np.arange(len(owner)) + np.repeat(begin - np.cumsum(tries) + tries, tries)
+            hit = owner[draws(keys[owner] ^ self.code.all[place]) < np.uint64(min(limit, MASK))]
+            again = hit[np.r_[True, hit[1:] != hit[:-1]]] if len(hit) else hit
+            for some in _by_size(self.size.all[number[again]]):
+                at = again[some]
+                ids, ends = self.together(number[at], keys[at], limit)
+                size[at] = np.diff(ends, prepend=0)
+                first[at] = ends - size[at] + used
+                source.append(ids)
+                used += len(ids)
+        for i in np.flatnonzero(number == 0).tolist():
+            ids = np.frombuffer(self.pieces.segment(parts[i], dropout, int(keys[i])), "<i4")
+            first[i], size[i] = used, len(ids)
+            source.append(ids)
+            used += len(ids)
+        place = np.arange(int(size.sum())) + np.repeat(first - np.cumsum(size) + size, size)
+        return np.concatenate(source)[place], size
 
 
 def _by_size(size: np.ndarray) -> Iterator[np.ndarray]:
@@ -314,10 +354,12 @@ def encoder(path: str, dropout: float, seed: int):
             parts += own
             keys.append(occurrence_keys(doc, len(own), seed))
             ends.append(len(parts))
-        keys, out = np.concatenate(keys), []
+        keys, ids, size = np.concatenate(keys), [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
         for i in range(0, len(parts), SLICE):
-            out += held.segment(parts[i : i + SLICE], keys[i : i + SLICE], dropout)
-        return [b"".join(out[a:z]) for a, z in zip(ends, ends[1:])]
+            for x, got in zip((ids, size), held.segment(parts[i : i + SLICE], keys[i : i + SLICE], dropout)):
+                x.append(got)
+        ids, at = np.concatenate(ids).astype("<i4"), np.cumsum(np.concatenate(size))[ends].tolist()
+        return [ids[a:z].tobytes() for a, z in zip(at, at[1:])]
 
     return run
 

@@ -191,7 +191,9 @@ def test_every_occurrence_is_drawn_anew():
         assert enc([text], [doc]) == [b"".join(got)]
         seen.update((c.strip(), g) for c, g in zip(parts, got))
     assert all(sum(w == x for w, _ in seen) > 30 for x in ("international", "understanding"))
-    _, tried, _ = p.together([" international"])  # draws of one occurrence are independent: none falls below the rate as often as that
+    held = subword.Chunks(p)
+    held.segment([" international"], np.zeros(1, np.uint64), 0.0)
+    tried = held.code.all[: held.code.used]  # draws of one occurrence are independent: none falls below the rate as often as that
     keys = np.concatenate([subword.occurrence_keys(doc, 100, 7) for doc in range(200)])
     low = subword.draws(keys[:, None] ^ tried[None, :]) < np.uint64(int(0.1 * 2**64))
     assert abs((~low.any(1)).mean() - 0.9 ** low.shape[1]) < 0.015 and abs(low.mean() - 0.1) < 0.003

@@ -2,10 +2,13 @@
 
 import base64
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import neighbours, order, resample
@@ -80,13 +83,60 @@ def test_gumbel_top_k_draws_by_weight(spark):
     assert 700 < top < 800  # three in four
 
 
+def test_inclusion_follows_the_weights(spark):
+    """Over many seeds, each document is drawn as often as successive draws in proportion to the exact weights give."""
+    weight, k, seeds = {1: 8.0, 2: 4.0, 3: 2.0, 4: 1.0, 5: 0.5, 6: 0.1}, 3, 4000
+
+    def chance(left, n):
+        out = dict.fromkeys(weight, 0.0)
+        for i in left if n else ():
+            p = weight[i] / sum(weight[j] for j in left)
+            for j, q in chance([x for x in left if x != i], n - 1).items():
+                out[j] += p * (q + (j == i))
+        return out
+
+    want = chance(list(weight), k)
+    d = spark.createDataFrame([(i, math.log(w)) for i, w in weight.items()], "doc_id long, w double").withColumn("seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
+    d = d.withColumn("key", F.col("w") + resample.gumbel("doc_id", F.col("seed")))
+    drawn = d.groupBy("seed").agg(F.slice(F.sort_array(F.collect_list(F.struct("key", "doc_id")), asc=False), 1, k).alias("x")).select(F.explode("x.doc_id").alias("i")).groupBy("i").count().collect()
+    assert all(abs(r["count"] / seeds - want[r["i"]]) < 0.03 for r in drawn)
+
+
+def test_scores_against_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    marks, mask = resample.labelled(labels), (1 << 64) - 1
+    counts, texts = {x: Counter() for x in ("raw", "target", "clean", "toxic")}, {r.doc_id: r.text for r in docs.collect()}
+
+    def grams(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 3) for w in re.findall(r"\w+|[^\w\s]+", text.lower())]
+        pairs = [a * 0x9E3779B97F4A7C15 + b & mask for a, b in zip(h, h[1:])]
+        return [x % 65536 for x in h], [((x ^ x >> 31) * 0xBF58476D1CE4E5B9 & mask) >> 16 & 65535 for x in pairs]
+
+    found = {i: grams(t or "") for i, t in texts.items()}
+    for i, (one, two) in found.items():
+        good, bad = marks.get(i, (False, False))
+        counts["raw"].update(one + two)
+        counts["target"].update(one + two if good else [])
+        counts["clean"].update(set(one + two) if good else [])
+        counts["toxic"].update(set(one + two) if bad and not good else [])
+    raw, target, clean, toxic = (counts[x] for x in ("raw", "target", "clean", "toxic"))
+    share = toxic.total() / (toxic.total() + clean.total())
+    ratio = lambda g: math.log((target[g] + 1) / (target.total() + 65536)) - math.log((raw[g] + 1) / (raw.total() + 65536))
+    bad = lambda g: math.log((toxic[g] + 5) / (share * (toxic[g] + clean[g]) + 5))
+    for r in resample.score(docs, resample.fit(docs, marks)).collect():
+        one, two = found[r.doc_id]
+        assert r.n_grams == len(one + two) and math.isclose(r.log_ratio, sum(map(ratio, one + two)), abs_tol=1e-6)
+        assert math.isclose(r.toxic, max([0.0, *map(bad, one)]), abs_tol=1e-9)
+
+
 def test_quality_on_held_out_labels(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     seen, held = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
     kept = {r.doc_id for r in resample.resample(docs, seen).collect()}
-    good = [r.doc_id for r in held.filter("quality = 1 AND toxic = 0").collect()]
-    bad = [r.doc_id for r in held.filter("quality = 0").collect()]
-    assert sum(i in kept for i in good) > 0.97 * len(good) and sum(i in kept for i in bad) < 0.1 * len(bad)
+    share = lambda cond: (lambda ids: sum(i in kept for i in ids) / len(ids))([r.doc_id for r in held.filter(cond).collect()])
+    assert share("quality = 1 AND toxic = 0") > 0.98 and share("quality = 0") < 0.15
+    foul = docs.join(held.filter("toxic = 1"), "doc_id").filter(r"lower(text) rlike '\\b(idiot|trash|scum|moron|stupid|pathetic|loser|clown|worthless|disgusting)\\b'")
+    assert foul.count() > 50 and sum(r.doc_id in kept for r in foul.collect()) < 0.3 * foul.count()
 
 
 def test_resampling_edges(spark):
