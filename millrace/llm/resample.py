@@ -32,15 +32,17 @@ BINS = 4096
 _words: dict = {}
 
 
-def ngrams(text: str | None) -> np.ndarray:
-    """Buckets of the lower-case words and marks of a text and of their neighbouring pairs."""
+def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the lower-case words and marks of a text and of their neighbouring pairs; and the words' buckets by other bits
+    of their hashes, from BUCKETS on, which tell words apart that share the first."""
     if "cache" not in _words:
         _words["cache"] = Cached(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 3), 100_000)
     tokens = TOKEN.findall(text.lower()) if text else []
     h = np.fromiter(map(_words["cache"].__getitem__, tokens), np.uint64, len(tokens))
     pair = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
     pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (np.concatenate([h, pair >> np.uint64(16)]) % np.uint64(BUCKETS)).astype(np.int64)
+    grams = np.concatenate([h, pair >> np.uint64(16)]) % np.uint64(BUCKETS)
+    return grams.astype(np.int64), ((h >> np.uint64(24)) % np.uint64(BUCKETS)).astype(np.int64) + BUCKETS
 
 
 def half(which: int) -> Column:
@@ -72,26 +74,28 @@ def fit(docs: DataFrame, marks: dict[int, tuple[bool, bool]], id_col: str = "doc
     known, kinds = docs.sparkSession.sparkContext.broadcast(marks), ("raw", "target", "clean", "toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target, clean, toxic = (np.zeros(BUCKETS, np.int64) for _ in range(4))
+        raw, target, clean, toxic = (np.zeros(2 * BUCKETS, np.int64) for _ in range(4))
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 for i, t in zip(b.column(0).slice(at, 1000).to_pylist(), b.column(1).slice(at, 1000).to_pylist()):
-                    n = ngrams(t)
+                    n, other = ngrams(t)
                     np.add.at(raw, n, 1)
                     good, bad = known.value.get(i, (False, False))
                     if good:
                         np.add.at(target, n, 1)
                         clean[n] += 1  # documents, not occurrences
+                        clean[other] += 1
                     elif bad:
                         toxic[n] += 1
-        some = np.flatnonzero(raw)
+                        toxic[other] += 1
+        some = np.flatnonzero(raw + clean + toxic)
         yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(x[some]) for x in (raw, target, clean, toxic)]], names=["bucket", *kinds])
 
     got = docs.select(F.col(id_col), F.col(text)).mapInArrow(run, "bucket long, raw long, target long, clean long, toxic long").groupBy("bucket").agg(*[F.sum(x).alias(x) for x in kinds])
-    counts = np.zeros((4, BUCKETS))
-    for r in got.collect():  # at most BUCKETS rows
+    counts = np.zeros((4, 2 * BUCKETS))
+    for r in got.collect():  # at most 2 * BUCKETS rows
         counts[:, r["bucket"]] = [r[x] for x in kinds]
-    raw, target, clean, toxic = counts
+    (raw, target), (clean, toxic) = counts[:2, :BUCKETS], counts[2:]
     share = toxic.sum() / max(1.0, toxic.sum() + clean.sum())
     ratio = np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
     return Model(ratio, np.log((toxic + DOUBT) / (share * (toxic + clean) + DOUBT)))
@@ -109,10 +113,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
             n, w, x = [], [], []
             for at in range(0, b.num_rows, 1000):
                 for t in b.column(1).slice(at, 1000).to_pylist():
-                    grams = ngrams(t)
+                    grams, other = ngrams(t)
                     n.append(len(grams))
                     w.append(float(ratio[grams].sum()))
-                    x.append(float(toxic[grams[: (len(grams) + 1) // 2]].max(initial=0.0)))
+                    x.append(float(np.minimum(toxic[grams[: len(other)]], toxic[other]).max(initial=0.0)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(w, pa.float64()), pa.array(x, pa.float64())], names=[id_col, "n_grams", "log_ratio", "toxic"])
 
     src = docs.select(F.col(id_col).alias(id_col), F.col(text))
