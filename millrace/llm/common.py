@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests on one machine), a temporary folder is set for this session.
+    Where the setting is absent on a local master (tests on one machine), a temporary folder is set for this session; on a
+    cluster no folder of one machine will do, so its absence is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,7 +73,7 @@ def test_method_adds_and_clean_texts_stay_clean(spark):
 
 def test_redaction_keeps_columns_and_nulls(spark):
     d = spark.createDataFrame(ROWS, "doc_id long, text string, _text string")
-    out = pii.redact(d, pii.fit(d))
+    out = pii.redact(d, pii.fit(pii.propose(d)))
     assert out.columns == d.columns
     rows = out.collect()
     assert sum(r.text is None for r in rows) == 1
@@ -80,6 +81,30 @@ def test_redaction_keeps_columns_and_nulls(spark):
     assert not any(pii.base_spans(r.text or "") for r in rows)
 
 
+def test_many_spans_are_quick_and_disjoint():
+    text = "call (743) 555-1234 now\n" * 20_000
+    began = time.time()
+    found = pii.loose_spans(text, pii.base_spans(text))
+    assert len(found) == 20_000 and time.time() - began < 10
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
+def test_spelt_out_addresses_in_capitals_are_proposed(spark):
+    assert [c[:4] for c in pii.candidates("write to Jane AT Example DOT Com")] == [(0, 9, 32, False)]
+
+
+def test_boundary_looks_at_both_sides():
+    assert pii.votes("10.1.2.3x", 1, 0, 8, True)[1] == -1 and pii.votes("10.1.2.3", 1, 0, 8, True)[1] == 1 and pii.votes("a10.1.2.3 ", 1, 1, 9, True)[1] == -1
+
+
+def test_classifier_tells_words_apart_that_no_labeler_knows(spark):
+    """Spans with equal votes but other surroundings get other probabilities once the labelled ones around them differ."""
+    rows = [(i, f"phone ring (743) 555-{1000 + i}") for i in range(200)] + [(1000 + i, f"order part (000) 000-{1000 + i}") for i in range(200)]
+    model = pii.fit(pii.propose(spark.createDataFrame(rows, "doc_id long, text string")))
+    p = lambda t: float((pii.design([pii.candidates(t)[0][4]], [pii.candidates(t)[0][5]]) @ model.weights[3])[0])
+    assert p("ring (743) 555-9999") > p("part (743) 555-9999")
+
+
 def test_em_finds_the_unreliable_labeler():
     import numpy as np
 
