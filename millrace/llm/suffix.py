@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import written
+from millrace.llm.common import ship, written
 
 WIDTH, GRAM = 100, 24
 SPAN = WIDTH - GRAM + 1
 #: Bytes of text that one round of anchor search and one round of local pre-aggregation take.
 BLOCK, CHUNK = 1 << 20, 1 << 25
+#: Windows of one piece of a long text; positions in a round of anchor search take 28 bits.
+PIECE = 1 << 24
 #: Bytes of one suffix array; a group of segments is never cut, and has at most HOT segments of up to 200 bytes.
 ARRAY = 1 << 21
 #: Segments of one anchor hash beyond which its windows are keyed one by one (a very common passage's edges).
@@ -225,14 +227,17 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chunk(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    # A long text is looked at in pieces; each window starts in one of them.
+    pieces = [(i, s, body[s : s + PIECE + WIDTH - 1] if len(body) >= PIECE else body) for i, (_, _, body) in enumerate(docs) for s in range(0, len(body) - WIDTH + 1, PIECE)]
     found, at = [], 0
-    while at < len(docs):
+    while at < len(pieces):
         to, size = at, 0
-        while to < len(docs) and (size < BLOCK or to == at):
-            size += len(docs[to][2])
+        while to < len(pieces) and (size < BLOCK or to == at):
+            size += len(pieces[to][2])
             to += 1
-        text, start, n, mh = anchors([d[2] for d in docs[at:to]])
-        found.append((text + at, start, n, mh))
+        text, start, n, mh = anchors([p[2] for p in pieces[at:to]])
+        whose, offset = (np.array([p[x] for p in pieces[at:to]], np.int64) for x in (0, 1))
+        found.append((whose[text], start + offset[text], n, mh))
         at = to
     text, start, n, mh = (np.concatenate(x) for x in zip(*found))
     digest = xxhash.xxh3_64_intdigest
@@ -322,9 +327,11 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
     Each byte covered by a 100-byte string that also starts earlier goes: in a document with a smaller id, or earlier
     in the same one.  Documents that share an id come in the order of a hash of their texts, null ids first; rows equal in
-    id and text are one document and give equal results.  Null text counts as empty; texts under 100 bytes lose nothing.
+    id and text are one document and give equal results.  Null text counts as empty; texts under 100 bytes lose nothing,
+    longer ones of any length count whole; other columns are ignored; no rows give none.
     """
     spark = docs.sparkSession
+    ship(spark)
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shared = src.groupBy("id").count().filter("count > 1").limit(1).count() > 0
     src = src.select("id", (F.xxhash64("text") if shared else F.lit(0)).cast("long").alias("tie"), F.col("text").cast("binary").alias("text"))

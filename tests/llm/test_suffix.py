@@ -40,8 +40,10 @@ def test_two_stage_order_and_prefixes(letters):
             assert n == (next((x for x in range(100) if keys[i][x] != keys[i - 1][x]), 100) if i else 0)
 
 
+@pytest.mark.parametrize("piece", [130, 1 << 24])
 @pytest.mark.parametrize("hot", [1000, 2])
-def test_against_brute_force(spark, monkeypatch, hot):
+def test_against_brute_force(spark, monkeypatch, hot, piece):
+    monkeypatch.setattr(S, "PIECE", piece)
     monkeypatch.setattr(S, "HOT", hot)
     rnd = random.Random(5)
     p = "".join(rnd.choice("abcdefgh ") for _ in range(400))
