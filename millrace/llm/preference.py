@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.keys import dense_id
+
 
 def conversations(turns: DataFrame) -> DataFrame:
     """``(conv_id, t array<struct<turn, role, text>>)`` in turn order, ties by role and text.
@@ -18,7 +20,7 @@ def conversations(turns: DataFrame) -> DataFrame:
 
 def common_turns(a: str, b: str) -> Column:
     """How many leading turns are equal in role and text."""
-    same = f"zip_with({a}, {b}, (x, y) -> x IS NOT NULL AND y IS NOT NULL AND x.role = y.role AND x.text = y.text)"
+    same = f"zip_with({a}, {b}, (x, y) -> x IS NOT NULL AND y IS NOT NULL AND x.role <=> y.role AND x.text <=> y.text)"
     return F.expr(f"coalesce(nullif(array_position({same}, false), 0) - 1, size({same}))").cast("int")
 
 
@@ -37,10 +39,12 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     """``pairs(pair_id, chosen, rejected)``, both arrays of turns -> prompt, completions and loss masks.
 
     The prompt is the longest common prefix of turns, rendered once.  Equal conversations are all prompt, with empty
-    completions; empty or null arrays count as no turns; the mask of a completion without assistant turns is empty.
+    completions; empty or null arrays count as no turns, null turns, roles and texts as empty ones; the mask of a
+    completion without assistant turns is empty; null and repeated ids stay, other columns are ignored, no rows give none.
     """
     none = F.expr("cast(array() as array<struct<turn: bigint, role: string, text: string>>)")
-    p = pairs.select("pair_id", F.coalesce("chosen", none).alias("c"), F.coalesce("rejected", none).alias("r"))
+    whole = lambda x: F.expr(f"transform({x}, t -> named_struct('turn', t.turn, 'role', coalesce(t.role, ''), 'text', coalesce(t.text, '')))")
+    p = pairs.select("pair_id", F.coalesce(whole("chosen"), none).alias("c"), F.coalesce(whole("rejected"), none).alias("r"))
     p = p.withColumn("n", common_turns("c", "r"))
     rest = lambda x: F.slice(x, F.col("n") + 1, F.size(x))
     p = p.select("pair_id", "n", F.slice("c", 1, F.col("n")).alias("p"), rest("c").alias("c"), rest("r").alias("r"))
@@ -49,12 +53,17 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
 
 def neighbour_pairs(turns: DataFrame) -> DataFrame:
     """Preference pairs from plain conversations: rejected is the conversation itself with its last assistant turn
-    answered by the last assistant turn of the conversation with the next id.  Conversations without an assistant turn
-    or without such a neighbour make no pair."""
+    answered by the last assistant turn of the next conversation that has one, by id; the last is followed by the first.
+
+    Conversations without an assistant turn make no pair, nor does the only one that has any.
+    """
     conv = conversations(turns)
     conv = conv.withColumn("at", F.expr("size(t) - array_position(reverse(transform(t, x -> x.role)), 'assistant') + 1")).filter("exists(t, x -> x.role = 'assistant')")
-    last = turns.filter("conv_id IS NOT NULL AND role = 'assistant'").groupBy((F.col("conv_id") - 1).alias("k")).agg(F.max(F.struct(F.col("turn"), F.coalesce("text", F.lit("")).alias("text"))).alias("other"))
-    both = conv.join(last, F.col("conv_id") == F.col("k"))
+    last = turns.filter("conv_id IS NOT NULL AND role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct(F.col("turn"), F.coalesce("text", F.lit("")).alias("text"))).alias("other"))
+    placed = dense_id(last, ["conv_id"], "place")
+    n = placed.count()
+    follow = placed.select("conv_id", ((F.col("place") + 1) % max(n, 1)).alias("k")).join(placed.select(F.col("place").alias("k"), "other"), "k")
+    both = conv.join(follow.select(F.col("conv_id").alias("c"), "other").filter(F.lit(n > 1)), F.col("conv_id") == F.col("c"))
     swapped = F.expr("transform(t, (x, i) -> if(i + 1 = at, named_struct('turn', x.turn, 'role', x.role, 'text', other.text), x))")
     return both.select(F.col("conv_id").alias("pair_id"), F.col("t").alias("chosen"), swapped.alias("rejected"))
 
@@ -64,7 +73,8 @@ ORACLE = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM conversations WHERE conv_id IS NOT NULL),
 a AS (SELECT conv_id, max(pos) AS ap FROM t WHERE role = 'assistant' GROUP BY 1),
-l AS (SELECT a.conv_id - 1 AS conv_id, t.text AS other FROM a JOIN t ON t.conv_id = a.conv_id AND t.pos = a.ap),
+o AS (SELECT a.conv_id, t.text AS other, row_number() OVER (ORDER BY a.conv_id) - 1 AS place, count(*) OVER () AS n FROM a JOIN t ON t.conv_id = a.conv_id AND t.pos = a.ap),
+l AS (SELECT x.conv_id, y.other FROM o x JOIN o y ON y.place = (x.place + 1) % x.n WHERE x.n > 1),
 p AS (SELECT t.*, CASE WHEN pos = ap THEN other ELSE text END AS rtext,
              '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS cr,
              '<|' || role || '|>' || chr(10) || CASE WHEN pos = ap THEN other ELSE text END || '<|end|>' || chr(10) AS rr
