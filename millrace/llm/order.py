@@ -19,11 +19,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import shared_dir
+from millrace.llm.common import cut, shared_dir, ship
 
 RANKS = os.environ.get("BPE_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: The pattern that splits text before the merges of the rank file (fixed value of that vocabulary).
@@ -31,7 +31,11 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 END_OF_TEXT = 50256
 #: Look-ahead makes the splitter slow and matters only where white space follows white space.
 AHEAD, SPACES = r"|\s+(?!\S)", re.compile(r"\s\s")
+#: Runs of white space (as the pattern knows it) beyond which look-ahead would exhaust the splitter's stack: they are cut out.
+RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 LENGTH, ROWS = 512, 16384
+#: Splits of the input whose offsets are broadcast at most (about 60 MB).
+SPLITS = 2_000_000
 
 
 def feistel(x: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
@@ -62,7 +66,20 @@ def _tokenizer(ranks: str):
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         exact, fast = (tiktoken.Encoding("own", pat_str=p, mergeable_ranks=table, special_tokens={}).encode_ordinary for p in (PATTERN, PATTERN.replace(AHEAD, "")))
-        _loaded[ranks] = lambda text: exact(text) if SPACES.search(text) else fast(text)
+
+
+        def encode(text: str) -> list[int]:
+            if not RUN.search(text):
+                return exact(text) if SPACES.search(text) else fast(text)
+            ids, at = [], 0
+            for m in RUN.finditer(text):  # white space but its last character is one piece, all of it at the end
+                stop = m.end() if m.end() == len(text) else m.end() - 1
+                for part, split in ((text[at : m.start()], exact), (text[m.start() : stop], fast)):
+                    ids += split(part)
+                at = stop
+            return ids + exact(text[at:])
+
+        _loaded[ranks] = encode
     return _loaded[ranks]
 
 
@@ -82,18 +99,38 @@ def _runs(batches: Iterator[pa.RecordBatch]):
         yield start, text
 
 
+def _starts(counts: DataFrame) -> tuple[DataFrame, int]:
+    """``(split, row, start, n)`` of the runs in ``counts(file, row, n)`` by file and row, and the sum of all ``n``.
+
+    Runs are range-sorted and summed up within each range; the driver sees one sum per range.
+    """
+    spark = counts.sparkSession
+    ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "row")
+    ranged = cut(ranged.withColumn("p", F.spark_partition_id()))
+    base, at = [], 0
+    for r in sorted(ranged.groupBy("p").agg(F.sum("n").alias("n")).collect()):
+        base.append((r["p"], at))
+        at += r["n"]
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("p").orderBy("file", "row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = F.broadcast(spark.createDataFrame(base, "p int, base long"))
+    return cut(ranged.withColumn("before", before).join(known, "p").select(F.xxhash64("file").alias("split"), F.col("row").alias("at"), (F.col("base") + F.col("before")).alias("start"), "n")), at
+
+
 def materialise(docs: DataFrame, text: str = "text", length: int = LENGTH, rows: int = ROWS, key: int = 2024, ranks: str = RANKS, out: str | None = None) -> DataFrame:
-    """Write all shards and return a row per sequence: ``slot, sequence, shard, n_tokens, xxh64``.
+    """Write all shards, then their manifest, and return it: a row per sequence, ``slot, sequence, shard, n_tokens, xxh64``.
 
     ``docs`` is a scan of Parquet files: their names and row numbers fix the stream, so the result doesn't depend on how
-    the scan is split.  Ids are uint16; each document ends with ``END_OF_TEXT``; only the last sequence is padded (with
-    the same id).  Null and empty texts add only their end; repeated rows and null ids stay; no rows, no shards.
-
-    The first pass counts tokens; the driver gets one number per split of the input and hands out stream offsets.  The
-    second pass tokenises again, which costs less than keeping the tokens, and checks its counts against the first.
-    Shards are written under another name and renamed, so a repeated or lost task leaves no half shard.
+    the scan is split; other input is an error.  Ids are uint16; each document ends with ``END_OF_TEXT``; only the last
+    sequence is padded (with the same id).  Null and empty texts add only their end; texts of any length and white space
+    count whole; repeated rows and null ids stay; other columns are ignored; no rows, no shards.
+
+    The first pass counts tokens of each split of the input; stream offsets are summed up by ranges of splits and
+    joined to the first row of each.  The second pass tokenises again, which costs less than keeping the tokens, and
+    checks its counts against the first.  Shards are written under another name and renamed, so a repeated or lost task
+    leaves no half shard; the manifest, with a checksum of every sequence, is committed when all are whole.
     """
     spark = docs.sparkSession
+    ship(spark)
     src = docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,22 +139,21 @@ def materialise(docs: DataFrame, text: str = "text", length: int = LENGTH, rows:
             total[run] = total.get(run, 0) + (len(enc(t)) if t else 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in total], pa.string()), pa.array([r for _, r in total], pa.int64()), pa.array(total.values(), pa.int64())], names=["file", "row", "n"])
 
-    base, at = {}, 0
-    for r in sorted(src.mapInArrow(count, "file string, row long, n long").collect()):
-        base[r["file"], r["row"]] = (at, r["n"])
-        at += r["n"]
-    n = -(-at // length)
+    starts, tokens = _starts(src.mapInArrow(count, "file string, row long, n long"))
+    n = -(-tokens // length)
     shards = max(1, -(-n // rows))
-    offsets, tokens = spark.sparkContext.broadcast(base), at
+    if starts.count() > SPLITS or starts.select("split", "at").distinct().count() < starts.count():
+        raise ValueError("too many splits of the input: raise spark.sql.files.maxPartitionBytes")
     folder = out or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    placed = src.join(F.broadcast(starts), (F.xxhash64("file") == F.col("split")) & (F.col("row") == F.col("at")), "left").select("text", "start", "n")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, now, held, start = _tokenizer(ranks), None, bytearray(), 0
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, due, held, start = _tokenizer(ranks), None, bytearray(), 0
         end = np.array([END_OF_TEXT], "<u2").tobytes()
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal start
-            if last and now is not None and start + len(held) // 2 != sum(offsets.value[now]):
+            if last and due is not None and start + len(held) // 2 != due:
                 raise RuntimeError("the two passes read different rows")
             seq, off, part, i = [], [], [], 0
             while i < len(held):
@@ -134,15 +170,19 @@ def materialise(docs: DataFrame, text: str = "text", length: int = LENGTH, rows:
                 seq = np.array(seq, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(feistel(seq, n, key)), pa.array(seq), pa.array(off, pa.int32()), pa.array(part, pa.binary())], names=["slot", "sequence", "off", "part"])
 
-        for run, t in _runs(batches):
-            if run != now:
-                yield from flush(True)
-                now, start = run, offsets.value[run][0]
-            if t:
-                held += array("H", enc(t)).tobytes()
-            held += end
-            if len(held) > 1 << 21:
-                yield from flush(False)
+        for b in batches:
+            for i in range(0, b.num_rows, 1000):
+                for t, first, size in zip(*(b.column(c).slice(i, 1000).to_pylist() for c in range(3))):
+                    if first is not None:
+                        yield from flush(True)
+                        start, due = first, first + size
+                    elif due is None:
+                        raise RuntimeError("the two passes read different rows")
+                    if t:
+                        held += array("H", enc(t)).tobytes()
+                    held += end
+                    if len(held) > 1 << 21:
+                        yield from flush(False)
         yield from flush(True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,9 +222,10 @@ def materialise(docs: DataFrame, text: str = "text", length: int = LENGTH, rows:
             yield _batch(done)
 
     schema = T.StructType().add("slot", "long").add("sequence", "long").add("shard", "long").add("n_tokens", "integer").add("xxh64", "long")
-    parts = src.mapInArrow(cut, "slot long, sequence long, off int, part binary")
+    parts = placed.mapInArrow(cut_up, "slot long, sequence long, off int, part binary")
     ranged = parts.repartitionById(shards, F.floor(F.col("slot") / rows).cast("integer")).sortWithinPartitions("slot", "off")
-    return ranged.mapInArrow(write, schema)
+    ranged.mapInArrow(write, schema).write.parquet(f"{folder}/manifest")
+    return spark.read.schema(schema).parquet(f"{folder}/manifest")
 
 
 def _batch(done: list) -> pa.RecordBatch:

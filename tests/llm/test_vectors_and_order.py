@@ -186,6 +186,15 @@ def test_shards_hold_the_permuted_stream(spark, tmp_path):
     assert not list((tmp_path / "a").glob("*.part"))
 
 
+def test_long_white_space_is_split_alike():
+    own, table = order._tokenizer(order.RANKS), {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(order.RANKS, "rb"))}
+    exact = tiktoken.Encoding("t", pat_str=order.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    gaps = [" " * 1500, "\n" * 1200 + " ", "\t \u3000" * 500, " " * 999, "\x1c" * 1500, " " * 1200 + "\n"]
+    texts = [f"{a}{g}{b}" for g in gaps for a in ("", "a", "don't", "!") for b in ("", "b", "7", "!?", "'s")] + ["a".join(gaps)]
+    assert [own(t) for t in texts] == [exact(t) for t in texts]
+    assert len(own("a" + " " * 3_000_000 + "b")) > 1
+
+
 def test_order_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/in")
     assert order.materialise(spark.read.schema("doc_id long, text string").parquet(f"{tmp_path}/in"), out=f"{tmp_path}/o").count() == 0
