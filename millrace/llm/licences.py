@@ -14,21 +14,32 @@ KNOWN = [
     ("BSD-2-Clause", "BSD 2-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
     ("Zlib", "zlib License", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
     ("Unlicense", "The Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>"),
+    ("BSD-3-Clause", "BSD 3-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("WTFPL", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE Version 2, December 2004", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO."),
+    ("Apache-2.0-header", "", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("MPL-2.0-header", "", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("GPL-3.0-header", "", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
     ("MIT-notice", "", "Released under the MIT License."),
     ("Apache-2.0-notice", "", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0-notice", "", "This work is licensed under the GNU General Public License, version 3."),
 ]
 #: Spellings that count as the same (fixed values).
 SPELLINGS = [("licence", "license"), ("organisation", "organization"), ("favour", "favor"), ("authoris", "authoriz"), ("recognis", "recogniz"), ("acknowledgement", "acknowledgment"), ("copyright owner", "copyright holder"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("non commercial", "noncommercial"), ("http ", "https ")]
-COPYRIGHT = r"\n[ \t]*(copyright|©|\(c\)|all rights reserved)[^\n]*"
+#: A line that goes on about copyright ("copyright notice and this permission notice ...") belongs to the line before it.
+BODY = r"\n([ \t]*copyright[ \t]+(?:(?:notice|holder|owner|law|license|licence|interest|statement|protection|permission)s?|and|or|in|is|of|to|as)\b)"
+#: A notice ends where the licence begins in the same line.
+NOTICE = r"(\n[ \t]*(?:copyright\b|©|\(c\))[^\n]{0,300}?[ \t])((?:permission is hereby|permission to use|redistribution and use|licensed under|this software is|this program is|this source code|everyone is permitted)\b)"
+COPYRIGHT = r"\n[ \t]*(?:copyright\b|©|\(c\)|all rights reserved)[^\n]*"
 OTHER = r"[^\p{L}\p{N}]+"
 #: Known licences are broadcast up to this many rows.
 BROADCAST_ROWS = 100_000
 
 
 def canonical(text: Column) -> Column:
-    """Lower case; copyright lines go; other characters than letters and digits become one space; spellings unify."""
-    out = F.regexp_replace(F.concat(F.lit("\n"), F.lower(F.coalesce(text, F.lit("")))), COPYRIGHT, "\n")
+    """Lower case; copyright notices go, lines of the licence that begin with the word don't; other characters than letters and digits become one space; spellings unify."""
+    out = F.regexp_replace(F.concat(F.lit("\n"), F.lower(F.coalesce(text, F.lit("")))), BODY, " $1")
+    out = F.regexp_replace(F.regexp_replace(out, NOTICE, "$1\n$2"), COPYRIGHT, "\n")
     out = F.regexp_replace(out, OTHER, " ")
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
@@ -39,17 +50,23 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
+def digests(texts: DataFrame) -> DataFrame:
+    """``(digest, license_id)`` of ``texts(license_id, text)``: any collection of licences, such as a folder of their files."""
+    return texts.select("license_id", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+
+
 def known_licences(spark) -> DataFrame:
-    """``(license_id, digest)`` of the built-in list, each with and without its title."""
+    """The built-in list, each with and without its title."""
     rows = [(i, x) for i, title, body in KNOWN for x in dict.fromkeys((body, f"{title}\n\n{body}"))]
-    return spark.createDataFrame(rows, "license_id string, text string").select("license_id", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    return digests(spark.createDataFrame(rows, "license_id string, text string"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, digest, license_id)`` for every row: the known licence that the whole text is, else null.
 
     Null text counts as empty; empty texts have the digest of the empty string.  A digest known under several ids gets
-    the smallest, so no row doubles; null ids and repeated rows stay; other columns are ignored.
+    the smallest, so no row doubles; null ids and repeated rows stay; other columns are ignored; no rows give none.
+    ``known`` is ``(license_id, digest)``, as ``digests`` gives.
     """
     known = known_licences(docs.sparkSession) if known is None else known.groupBy("digest").agg(F.min("license_id").alias("license_id"))
     if known.count() <= BROADCAST_ROWS:
@@ -62,7 +79,9 @@ def oracle() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def sql(text: str) -> str:
-        out = f"regexp_replace(chr(10) || lower(coalesce({text}, '')), {quote(COPYRIGHT)}, chr(10), 'g')"
+        out = f"regexp_replace(chr(10) || lower(coalesce({text}, '')), {quote(BODY)}, ' \\1', 'g')"
+        out = f"regexp_replace({out}, {quote(NOTICE)}, '\\1' || chr(10) || '\\2', 'g')"
+        out = f"regexp_replace({out}, {quote(COPYRIGHT)}, chr(10), 'g')"
         out = f"regexp_replace({out}, {quote(OTHER)}, ' ', 'g')"
         for a, b in SPELLINGS:
             out = f"replace({out}, {quote(a)}, {quote(b)})"

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -33,6 +34,21 @@ def test_licence_variants(spark):
     assert licences.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("width", [50, 60, 72, 75, 80])
+def test_licences_at_any_width(spark, width):
+    rows = [(f"{i}", "\n".join(["Copyright (c) 2020 Some One", "Copyright 2001-2004 The Authors", "All rights reserved.", "", *textwrap.wrap(f"{title} {body}", width)])) for i, title, body in licences.KNOWN]
+    rows += [(f"{i}", f"Copyright (c) 2020 Some One. {body}") for i, title, body in licences.KNOWN if i in ("MIT", "ISC", "BSD-3-Clause", "GPL-3.0-header")]
+    rows += [(f"{i}", body.upper()) for i, _, body in licences.KNOWN]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [r.doc_id for r in got if r.doc_id != r.license_id] == []
+
+
+def test_own_licence_collection(spark):
+    own = licences.digests(spark.createDataFrame([("x-1", "You may do this.\nOrganisation"), ("x-0", "you may do this organization")], "license_id string, text string"))
+    docs = spark.createDataFrame([(1, "(c) 1999 Me\n\nYOU MAY: do this; organisation!")], "doc_id long, text string")
+    assert [r.license_id for r in licences.scan(docs, own).collect()] == ["x-0"]
+
+
 def turns(*xs):
     return [(i, r, t) for i, (r, t) in enumerate(xs)]
 
@@ -50,12 +66,22 @@ def test_preference_edges(spark):
     assert got[None].n_prompt_turns == 0
 
 
+def test_preference_null_turns(spark):
+    kind = "array<struct<turn: bigint, role: string, text: string>>"
+    rows = [(1, [(0, "user", "q"), (1, None, "a")], [(0, "user", "q"), (1, "assistant", "a")]), (2, [(0, "user", None)], [(0, "user", "x")]), (3, [None, (1, "assistant", None)], [(0, None, ""), (1, "assistant", "")])]
+    got = {r.pair_id: r for r in preference.format_pairs(spark.createDataFrame(rows, f"pair_id long, chosen {kind}, rejected {kind}")).collect()}
+    assert got[1].n_prompt_turns == 1 and got[1].chosen == "<||>\na<|end|>\n" and got[1].rejected == "<|assistant|>\na<|end|>\n"
+    assert got[2].n_prompt_turns == 0 and got[2].rejected == "<|user|>\nx<|end|>\n" and got[3].n_prompt_turns == 2
+
+
 def test_preference_pairs_of_odd_tables(spark):
-    rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (2, 0, "assistant", "z"), (2, 0, "assistant", "z"), (None, 0, "user", "x"), (3, None, None, "y"), (4, 0, "user", "only")]
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (20, 0, "assistant", "z"), (20, 0, "assistant", "z"), (None, 0, "user", "x"), (3, None, None, "y"), (4, 0, "user", "only"), (70, 5, "assistant", "w")]
     d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.pair_id: r for r in preference.format_pairs(preference.neighbour_pairs(d)).collect()}
-    assert set(got) == {1} and got[1].rejected == "<|assistant|>\nz<|end|>\n" and got[1].chosen == "<|assistant|>\n<|end|>\n"
-    assert preference.format_pairs(preference.neighbour_pairs(d.limit(0))).count() == 0
+    pairs = lambda df: {r.pair_id: r for r in preference.format_pairs(preference.neighbour_pairs(df)).collect()}
+    got = pairs(d)
+    assert set(got) == {1, 20, 70} and got[1].rejected == "<|assistant|>\nz<|end|>\n" and got[1].chosen == "<|assistant|>\n<|end|>\n"
+    assert got[20].rejected.endswith("w<|end|>\n") and got[70].rejected == "<|assistant|>\n<|end|>\n"
+    assert pairs(d.filter("conv_id < 5")) == {} and pairs(d.limit(0)) == {}
 
 
 def brute_leaks(docs, items):
