@@ -69,8 +69,10 @@ def _tokenizer(ranks: str):
 
 
         def encode(text: str) -> list[int]:
+            if not SPACES.search(text):
+                return fast(text)
             if not RUN.search(text):
-                return exact(text) if SPACES.search(text) else fast(text)
+                return exact(text)
             ids, at = [], 0
             for m in RUN.finditer(text):  # white space but its last character is one piece, all of it at the end
                 stop = m.end() if m.end() == len(text) else m.end() - 1
@@ -104,7 +106,7 @@ def _starts(counts: DataFrame) -> tuple[DataFrame, int]:
 
     Runs are range-sorted and summed up within each range; the driver sees one sum per range.
     """
-    spark = counts.sparkSession
+    spark, counts = counts.sparkSession, cut(counts)  # ranges are found by sampling, which would count anew
     ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "row")
     ranged = cut(ranged.withColumn("p", F.spark_partition_id()))
     base, at = [], 0
