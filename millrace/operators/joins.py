@@ -9,8 +9,8 @@ from millrace.functions.columns import frame_range, ms_to_frame
 
 
 def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Many-to-one join: the dimension has one row per key."""
-    return facts.join(dim.dropDuplicates(on), on, how)
+    """Many-to-one join with a dimension whose key is unique; ``validated`` is for those of which that isn't known."""
+    return facts.join(dim, on, how)
 
 
 def having(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder where it is unset, as in tests."""
+    """``spark.checkpoint.dir``; a temporary folder where it is unset on a local master, as in tests, elsewhere an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -21,6 +24,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed; a failed one leaves a folder without the mark."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, a lost executor costs nothing."""
     path = scratch(df.sparkSession, name)

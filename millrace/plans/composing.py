@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators import build
 from millrace.operators import corpus as B
 from millrace.operators import keys as K
+from millrace.operators.shared import stored
+from millrace.plans.documents import _TOKENS, documents
 from millrace.plans.registry import query
-from millrace.sources import annotations as X
+from millrace.sources import schemas
 
 
 @query("SELECT row_number() OVER (ORDER BY url, page_id) - 1 AS DocumentID, url AS Filename, base64(encode(html)) AS XML_B64, length(base64(encode(html))) AS LEN FROM pages")
@@ -90,10 +93,79 @@ def complete_groups(t):
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_suppkey, FrameSequence FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s.s_suppkey,
   unnest(range(CAST(round_even(l_partkey % 1000 / 1000.0::DOUBLE * 10, 0) AS INTEGER), CAST(round_even((l_partkey % 1000 + CAST(l_quantity AS BIGINT) * 20) / 1000.0::DOUBLE * 10, 0) AS INTEGER))) AS FrameSequence
-  FROM lineitem JOIN (SELECT s_suppkey % 5 AS u, s_suppkey FROM supplier WHERE s_suppkey < 20 AND s_suppkey % 5 > 0) s ON l_suppkey % 5 = s.u) WHERE FrameSequence < 12""")
+  FROM lineitem JOIN (SELECT s_suppkey // 4 AS u, s_suppkey FROM supplier) s ON l_suppkey // 4 = s.u)""")
 def build_token_frames(t):
-    tokens = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_suppkey") % 5).alias("u"), (F.col("l_partkey") % 1000).alias("StartTime"), (F.col("l_partkey") % 1000 + F.col("l_quantity").cast("long") * 20).alias("EndTime"))
-    videos = t.supplier.filter("s_suppkey < 20 AND s_suppkey % 5 > 0").select((F.col("s_suppkey") % 5).alias("u"), "s_suppkey")
-    frames = videos.select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("FrameSequence"))
+    tokens = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.floor(F.col("l_suppkey") / 4).alias("u"), (F.col("l_partkey") % 1000).alias("StartTime"), (F.col("l_partkey") % 1000 + F.col("l_quantity").cast("long") * 20).alias("EndTime"))
+    videos = t.supplier.select(F.floor(F.col("s_suppkey") / 4).alias("u"), "s_suppkey")
+    last = tokens.agg(F.ceil(F.max("EndTime") / 100).alias("last")).first()["last"] or 0  # of any token, at ten frames a second
+    frames = videos.select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("FrameSequence"))
     found, _, _ = B.token_frames(tokens, videos, frames, ["u"], ["s_suppkey"], fps=10)
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "s_suppkey", "FrameSequence")
+
+
+#: The made-up documents of ``plans/documents.py`` as a corpus: tokens with consultant ids (by name: other, user) and utterance numbers.
+_IDS = f"(SELECT DocumentID AS conv, dense_rank() OVER (ORDER BY DocumentID) - 1 AS DocumentID, 1 - pid AS ASLConsultantID, uid, dense_rank() OVER (PARTITION BY DocumentID, pid ORDER BY uid) - 1 AS UtteranceSequence, fid, pos, start_ms, end_ms, text FROM {_TOKENS})"
+_GLOSS = f"(SELECT i.*, v.TokenID FROM {_IDS} i JOIN (SELECT text, row_number() OVER (ORDER BY text COLLATE C) - 1 AS TokenID FROM (SELECT DISTINCT text FROM {_TOKENS} WHERE fid = 1)) v USING (text) WHERE fid = 1)"
+_VIDEO = "(SELECT DISTINCT DocumentID, ASLConsultantID, UtteranceSequence, uid % 3 AS CameraPerspective, CASE uid % 3 WHEN 0 THEN 'front%20view.mov' ELSE 'side.mov' END AS TargetVideoFilename FROM " + _IDS + " WHERE uid % 3 < 2)"
+
+
+def _corpus(t):
+    """The corpus of all conversations: two videos that the index lists, one frame a second."""
+    docs = documents(t).select(F.format_string("%09d.xml", "DocumentID").alias("Filename"), "xml")
+    index = t.spark.createDataFrame([("front%20view.mov", 0, 0, "v/a.mov;v/b.mov", "", "", ""), ("side.mov", 1, 1, "v/c.mov", "", "", "")], schemas.schema("video_index"))
+    last = t.conversations.agg(F.max("turn") * 100 + 100).first()[0] or 0
+    frames = t.spark.range(last).select(F.explode(F.array(F.lit("front%20view"), F.lit("side"))).alias("video"), F.col("id").cast("int").alias("frame"), F.lit("").alias("frame_path"))
+    return build.build_corpus(docs, index, frames, gloss="gloss", fps=1.0)
+
+
+@query(f"""SELECT DocumentID, ASLConsultantID, UtteranceSequence, CAST(uid * 100000 AS INTEGER) AS StartTime, CAST(uid * 100000 + 99999 AS INTEGER) AS EndTime, string_agg(text, ' ' ORDER BY pos) FILTER (WHERE fid = 1) AS Tokens,
+  string_agg(text, ' ' ORDER BY pos) FILTER (WHERE fid = last) AS Translation FROM (SELECT *, max(fid) OVER (PARTITION BY DocumentID, ASLConsultantID, uid) AS last FROM {_IDS}) GROUP BY DocumentID, ASLConsultantID, UtteranceSequence, uid""")
+def build_utterance_table(t):
+    return _corpus(t)["utterance"]
+
+
+@query(f"SELECT DocumentID, ASLConsultantID, UtteranceSequence, pos AS TokenSequence, start_ms AS StartTime, end_ms AS EndTime, TokenID, 'gloss' AS Field, text AS FieldValue FROM {_GLOSS}")
+def build_utterance_tokens(t):
+    return _corpus(t)["utterance_token"]
+
+
+@query(f"""SELECT 'v' AS kind, DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename, -1 AS number FROM {_VIDEO} GROUP BY ALL UNION ALL SELECT 'u', DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename, UtteranceSequence FROM {_VIDEO}
+  UNION ALL SELECT 's', DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename, unnest(CASE CameraPerspective WHEN 0 THEN [0, 1] ELSE [0] END) FROM (SELECT DISTINCT DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename FROM {_VIDEO})""")
+def build_video_family(t):
+    """Videos, their utterances and their segments."""
+    d = _corpus(t)
+    one = lambda kind, df, n: df.select(F.lit(kind).alias("kind"), "DocumentID", "ASLConsultantID", "CameraPerspective", "TargetVideoFilename", n.cast("long").alias("number"))
+    return one("v", d["video"], F.lit(-1)).unionByName(one("u", d["utterance_video"], F.col("UtteranceSequence"))).unionByName(one("s", d["video_segment"], F.col("SegmentSequence")))
+
+
+@query(f"SELECT DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename, FrameSequence FROM (SELECT DISTINCT DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename FROM {_VIDEO}), (SELECT unnest(range((SELECT max(turn) * 100 + 100 FROM conversations))) AS FrameSequence)")
+def build_video_frames(t):
+    return _corpus(t)["video_frame"].drop("FramePath")
+
+
+#: Frames of a token at one a second, half-even.
+_TOKEN_FRAMES = f"(SELECT DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename, UtteranceSequence, TokenSequence, TokenID, unnest(range(CAST(round_even(start_ms / 1000.0::DOUBLE, 0) AS BIGINT), CAST(round_even(end_ms / 1000.0::DOUBLE, 0) AS BIGINT))) AS FrameSequence FROM (SELECT *, pos AS TokenSequence FROM {_GLOSS}) JOIN {_VIDEO} USING (DocumentID, ASLConsultantID, UtteranceSequence))"
+
+
+@query(f"SELECT * FROM {_TOKEN_FRAMES}")
+def build_frames_of_tokens(t):
+    return _corpus(t)["utterance_token_frame"]
+
+
+_PARTS = f"""(SELECT *, n = 1 AS one, rank <= CASE WHEN n > 9 THEN floor(n * CAST(0.1 AS DOUBLE)) ELSE 1 END AS val FROM (SELECT *, count(*) OVER (PARTITION BY TokenID, CameraPerspective) AS n, row_number() OVER (PARTITION BY TokenID, CameraPerspective ORDER BY md5(k), k) AS rank
+  FROM (SELECT DISTINCT ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, TokenSequence, TokenID, concat_ws('/', ASLConsultantID, TargetVideoFilename, UtteranceSequence, TokenSequence) AS k FROM {_TOKEN_FRAMES})))"""
+_COMPLETE = f"""WITH tf AS (SELECT * FROM {_TOKEN_FRAMES}), parts AS (SELECT * FROM {_PARTS}),
+  hit AS (SELECT a.ASLConsultantID, a.TargetVideoFilename, a.UtteranceSequence, a.CameraPerspective FROM (SELECT DISTINCT ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, TokenSequence FROM tf) a
+    LEFT JOIN (SELECT DISTINCT ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, TokenSequence, true AS hit FROM parts WHERE one OR NOT val) b USING (ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, TokenSequence) GROUP BY ALL HAVING bool_and(coalesce(hit, false)))"""
+
+
+@query("SELECT count(*) AS n, CAST(coalesce(sum(bad), 0) AS BIGINT) AS failed FROM (SELECT 1 AS x, CAST(r.resolved IS DISTINCT FROM u.Tokens AS INTEGER) AS bad FROM (" + _COMPLETE + f""" SELECT DocumentID, ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, string_agg(text, ' ' ORDER BY TokenSequence) AS resolved
+  FROM (SELECT DISTINCT DocumentID, ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, TokenSequence, TokenID FROM tf) JOIN hit USING (ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective) JOIN (SELECT DISTINCT TokenID, text FROM {_GLOSS}) USING (TokenID) GROUP BY ALL) r
+  JOIN (SELECT DocumentID, ASLConsultantID, UtteranceSequence, string_agg(text, ' ' ORDER BY pos) AS Tokens FROM {_GLOSS} GROUP BY ALL) u USING (DocumentID, ASLConsultantID, UtteranceSequence))""")
+def build_complete_utterances(t):
+    """How many utterances are complete in the training part, and how many of these fail the comparison of texts."""
+    d = _corpus(t)
+    frames = stored(d["utterance_token_frame"])
+    train = stored(build.build_splits({**d, "utterance_token_frame": frames})["train"])
+    good, bad = build.complete_utterances(train, frames, d["utterance"], d["vocabulary"])
+    return good.select(F.lit(0).alias("bad")).unionByName(bad.select(F.lit(1).alias("bad"))).agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("failed"))

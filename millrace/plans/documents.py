@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import ordered_list
-from millrace.operators.validate import dangling
+from millrace.operators.validate import dangling, differences
 from millrace.plans.registry import Tables, query
 from millrace.sources import annotations as X
 
@@ -105,3 +105,26 @@ def doc_gloss_with_coinciding(t):
 def doc_standard_tokens(t):
     token = tables(t).token
     return token.select("DocumentID", "pid", "uid", "fid", "pos", X.standard(token).alias("standard"))
+
+
+@query(f"SELECT DocumentID, 'unknown media' AS problem, '2' AS id FROM {_TOKENS} WHERE uid % 3 = 2 GROUP BY 1 UNION ALL SELECT DISTINCT DocumentID, 'duplicate participant', '1' FROM {_TOKENS} WHERE DocumentID % 7 = 0")
+def validate_document_problems(t):
+    """Integrity of documents: utterances name a medium that isn't there; every seventh document numbers a participant twice."""
+    twice = F.when(F.col("DocumentID") % 7 == 0, F.replace("xml", F.lit("</PARTICIPANTS>"), F.lit('<PARTICIPANT ID="1" NAME="again"/></PARTICIPANTS>'))).otherwise(F.col("xml"))
+    return X.problems(X.shred(X.parse(documents(t).withColumn("xml", twice))[0]))
+
+
+@query("SELECT DISTINCT conv_id AS DocumentID FROM conversations WHERE regexp_matches(text, '[A-Za-z]')")
+def xml_warn_only(t):
+    """Every fifth document loses its end; with warnings only, all documents stay."""
+    cut = F.when(F.col("DocumentID") % 5 == 0, F.expr("substring(xml, 1, length(xml) - 30)")).otherwise(F.col("xml"))
+    return X.parse(documents(t).withColumn("xml", cut), on_error="warn")[0].select("DocumentID")
+
+
+@query(f"SELECT DISTINCT DocumentID, 'left' AS side FROM {_TOKENS} WHERE DocumentID % 4 = 0 UNION ALL SELECT DISTINCT DocumentID, 'right' FROM {_TOKENS} WHERE DocumentID % 4 = 0")
+def compare_documents(t):
+    """Documents that differ from a copy in which every fourth calls a participant otherwise."""
+    other = F.when(F.col("DocumentID") % 4 == 0, F.replace("xml", F.lit('NAME="user"'), F.lit('NAME="USER"'))).otherwise(F.col("xml"))
+    made = documents(t)
+    a, b = (X.shred(X.parse(df)[0]).participant for df in (made, made.withColumn("xml", other)))
+    return differences(a, b).select("DocumentID", "side").distinct()

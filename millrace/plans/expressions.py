@@ -27,9 +27,9 @@ def project_cast(t):
     return t.lineitem.select(F.col("l_orderkey").cast("string").alias("k"), F.col("l_quantity").cast("int").alias("q"), F.col("l_linenumber").alias("n"))
 
 
-@query("SELECT r_regionkey AS id, r_name AS label FROM region UNION ALL SELECT n_nationkey, n_name FROM nation")
+@query("SELECT c_custkey AS id, c_name AS label FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
 def scan_rename(t):
-    return t.region.toDF("id", "label").union(t.nation.select("n_nationkey", "n_name"))
+    return t.customer.select("c_custkey", "c_name").toDF("id", "label").union(t.supplier.select("s_suppkey", "s_name"))
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, round(c_acctbal, 2) AS c_acctbal, c_mktsegment FROM customer")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as A
 from millrace.operators import keys as K
 from millrace.operators import split as S
+from millrace.operators.corpus import corpus_index
 from millrace.operators.shared import scratch
 from millrace.plans.registry import query
-from millrace.sources import files
+from millrace.sources import files, schemas
 
 
 @query("SELECT o_custkey, o_orderpriority, o_orderkey FROM orders WHERE (o_custkey, o_orderpriority) IN (SELECT o_custkey, o_orderpriority FROM orders GROUP BY 1, 2 HAVING count(*) > 1)")
@@ -85,9 +88,17 @@ def scan_csv_roundtrip(t):
     return files.read_csv(t.spark, path, t.customer.schema)
 
 
-@query("SELECT s_suppkey, s_name || ', \"ltd\"' AS name, s_nationkey FROM supplier")
+@query("SELECT c_custkey, c_name || ', \"ltd\"' AS name, c_nationkey FROM customer")
 def sink_csv_roundtrip(t):
-    path, src = scratch(t.spark, "csv"), t.supplier.select("s_suppkey", F.concat("s_name", F.lit(', "ltd"')).alias("name"), "s_nationkey")
+    path, src = scratch(t.spark, "csv"), t.customer.select("c_custkey", F.concat("c_name", F.lit(', "ltd"')).alias("name"), "c_nationkey")
+    files.write_csv(src, path)
+    return files.read_csv(t.spark, path, src.schema)
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def sink_csv_single(t):
+    """One file for a small result: a row per status."""
+    path, src = scratch(t.spark, "csv"), t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     files.write_csv(src, path, single=True)
     return files.read_csv(t.spark, path, src.schema)
 
@@ -99,34 +110,74 @@ def sink_sorted_distinct(t):
     return t.spark.read.parquet(path)
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def sink_idempotent(t):
     path = scratch(t.spark, "kept")
-    files.write_table(t.nation.filter("n_regionkey = 2").select("n_nationkey", "n_name"), path, ["n_nationkey"])
-    files.write_table(t.nation.select("n_nationkey", "n_name"), path, ["n_nationkey"], mode="ignore")
+    files.write_table(t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey"), path, ["o_orderkey"])
+    files.write_table(t.orders.select("o_orderkey", "o_custkey"), path, ["o_orderkey"], mode="ignore")
     return t.spark.read.parquet(path)
 
 
-@query("SELECT n_name || '.txt' AS filename, n_name || n_regionkey AS text FROM nation")
+@query("SELECT 'p' || page_id || url AS text FROM pages")
 def scan_wholetext(t):
     path = scratch(t.spark, "texts")
-    body = t.nation.select(F.concat(F.lit("  "), "n_name", F.lit(" \n "), F.col("n_regionkey").cast("string")).alias("value"), "n_name")
-    body.write.partitionBy("n_name").text(path)
-    texts = t.spark.read.text(path, wholetext=True).select("n_name", files.joined_lines(F.col("value")).alias("text"))
-    return texts.select(F.concat("n_name", F.lit(".txt")).alias("filename"), "text")
+    t.pages.select(F.concat(F.lit("  p"), F.col("page_id").cast("string"), F.lit(" \n "), "url").alias("value"), "page_id").write.partitionBy("page_id").text(path)
+    return files.read_documents(t.spark, path).select("text")
 
 
-@query("SELECT video, frame FROM (SELECT 'v' || s_nationkey AS video, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS frame FROM supplier)")
+@query("SELECT video, frame, frame_path FROM (SELECT 'v' || s_nationkey AS video, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS frame, '/frames/v' || s_nationkey || '/' || s_suppkey || '.jpg' AS frame_path FROM supplier)")
 def frame_listing(t):
     """Frames by number within their video, from a listing of paths that the table gives."""
-    paths = t.supplier.select(F.concat(F.lit("/frames/v"), F.col("s_nationkey").cast("string"), F.lit("/"), F.col("s_suppkey").cast("string"), F.lit(".jpg")).alias("path"))
-    part = lambda i: F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", i)
-    return K.position(paths.select(part(1).alias("video"), part(2).cast("int").alias("n")), ["video"], ["n"], "frame").select("video", "frame")
+    return files.frames_of(t.supplier.select(F.concat(F.lit("/frames/v"), F.col("s_nationkey").cast("string"), F.lit("/"), F.col("s_suppkey").cast("string"), F.lit(".jpg")).alias("path")))
+
+
+@query("SELECT replace(replace(o_orderpriority || o_orderkey, '%', '%25'), ' ', '%20') AS target_video_filename, o_custkey % 100 AS perspective_cam_id, 'u/' || o_orderkey AS compressed_mov_url FROM orders")
+def scan_video_index(t):
+    """A video index under other headers: columns go by place, file names are quoted."""
+    path, none = scratch(t.spark, "index"), F.lit("")
+    src = t.orders.select(F.concat("o_orderpriority", F.col("o_orderkey").cast("string")).alias("Video file name"), F.lit(1).alias("Seq"), (F.col("o_custkey") % 100).cast("int").alias("Camera"), F.concat(F.lit("u/"), F.col("o_orderkey").cast("string")).alias("MOV"), none.alias("AVI"), none.alias("Mirror 1"), none.alias("Mirror 2"))
+    files.write_csv(src, path)
+    return files.read_video_index(t.spark, path).select("target_video_filename", "perspective_cam_id", "compressed_mov_url")
+
+
+@query("SELECT row_number() OVER (ORDER BY c_name) - 1 AS TokenID, c_name AS Token FROM (SELECT DISTINCT c_name FROM customer)")
+def scan_corpus_table(t):
+    """A declared table by name, from CSV."""
+    path = scratch(t.spark, "tables")
+    files.write_csv(K.distinct_ids(t.customer.select(F.col("c_name").alias("Token")), ["Token"], "TokenID").select("TokenID", "Token"), f"{path}/vocabulary")
+    return files.read_table(t.spark, path, "vocabulary", form="csv")
+
+
+@query("SELECT 'vocabulary' AS name, count(DISTINCT c_name) AS n FROM customer UNION ALL SELECT 'corpus', count(*) FROM pages")
+def scan_all_tables(t):
+    """All declared tables, of which two hold rows here."""
+    path = scratch(t.spark, "tables")
+    rows = {"vocabulary": K.distinct_ids(t.customer.select(F.col("c_name").alias("Token")), ["Token"], "TokenID"), "corpus": corpus_index(t.pages, "url", "html")}
+    for name in schemas.TABLES:
+        want = schemas.schema(name)
+        df = rows[name].select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want]) if name in rows else t.spark.createDataFrame([], want)
+        files.write_table(df, f"{path}/{name}", schemas.key(name))
+    sizes = [df.select(F.lit(name).alias("name")) for name, df in files.read_tables(t.spark, path).items()]
+    return reduce(lambda a, b: a.unionByName(b), sizes).groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT n_name, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS q FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def sql_over_tables(t):
+    """SQL over views of the tables."""
+    for name in ("lineitem", "orders", "customer", "nation"):
+        getattr(t, name).createOrReplaceTempView(name)
+    return t.spark.sql("SELECT n_name, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) AS q FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+
+
+@query("SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, round(CAST(unnest(embedding) AS DOUBLE) / 255, 9) AS x FROM (SELECT * FROM embeddings ORDER BY md5('t' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 50)")
+def sampled_tensors(t):
+    """Fifty rows of an index at random, joined with their tensors, rescaled."""
+    index = S.fixed_sample(t.embeddings.select("vec_id"), "vec_id", 50, "t")
+    return t.embeddings.join(index, "vec_id", "left_semi").select("vec_id", F.posexplode(F.transform("embedding", lambda x: F.round(x.cast("double") / 255, 9))).alias("pos", "x"))
 
 
 @query("SELECT o_orderkey, (row_number() OVER (ORDER BY md5('batch' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1) // 32 AS batch FROM orders")
 def batch_export(t):
-    from millrace.operators.split import shuffled
-
-    keyed = t.orders.select("o_orderkey", shuffled(F.col("o_orderkey"), "batch").alias("r"))
-    return K.dense_id(keyed, ["r", "o_orderkey"], "i").select("o_orderkey", F.floor(F.col("i") / 32).alias("batch"))
+    path = scratch(t.spark, "batches")
+    files.write_batches(t.orders.select("o_orderkey"), path, "o_orderkey", 32, "batch")
+    return t.spark.read.parquet(path).select("o_orderkey", "batch")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import format_interval, last_part
 from millrace.operators.aggregates import ordered_list
 from millrace.operators.joins import overlap_join
+from millrace.operators.shared import stored
 from millrace.operators.validate import dangling, duplicate_ids
 
 UTTERANCE = "array<struct<_ID: int, _S: int, _E: int, `MEDIA-REF`: array<struct<_ID: int>>, SEGMENT: array<struct<`_PARTICIPANT-ID`: int, TRACK: array<struct<_FID: int, A: array<struct<_VALUE: string, _S: int, _E: int, _VID: int>>>>>>>>"
@@ -25,12 +26,20 @@ SCHEMA = f"""
 """
 
 
-def parse(docs: DataFrame, key: str = "DocumentID", xml: str = "xml") -> tuple[DataFrame, DataFrame]:
-    """``(parsed, rejects)``: documents that aren't well-formed or don't fit the schema are rejects, with their text."""
+def parse(docs: DataFrame, key: str = "DocumentID", xml: str = "xml", on_error: str = "reject") -> tuple[DataFrame, DataFrame]:
+    """``(parsed, rejects)``: documents that aren't well-formed or don't fit the schema are rejects, with their text.
+
+    With ``on_error="warn"`` what could be read of them is among the parsed, too; ``"fail"`` raises.  Parsing costs more than
+    its input's size tells, so documents are dealt out to all tasks, and parsed once for all tables made of them.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    out = docs.select(F.col(key).alias(key), F.col(xml).alias("_xml"), F.from_xml(F.col(xml), SCHEMA.replace("\n", " "), options).alias("d"))
+    dealt = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     bad = F.col("d").isNull() | F.col("d._corrupt").isNotNull()
-    return out.filter(~bad).select(key, "d"), out.filter(bad).select(key, F.col("_xml").alias("xml"))
+    out = dealt.select(F.col(key).alias(key), F.col(xml).alias("_xml"), F.from_xml(F.col(xml), SCHEMA.replace("\n", " "), options).alias("d")).withColumn("_bad", bad)
+    if on_error == "fail":
+        out = out.withColumn("_bad", F.when(F.col("_bad"), F.raise_error(F.concat(F.lit("bad document "), F.col(key).cast("string"))).cast("boolean")).otherwise(F.lit(False)))
+    out = stored(out.select(key, F.when(F.col("_bad"), F.col("_xml")).alias("_xml"), "d", "_bad"), "parsed")
+    return out.filter("NOT _bad" if on_error != "warn" else "d IS NOT NULL").select(key, "d"), out.filter("_bad").select(key, F.col("_xml").alias("xml"))
 
 
 @dataclass(frozen=True)
@@ -60,11 +69,12 @@ def shred(parsed: DataFrame, key: str = "DocumentID") -> Tables:
     of = [F.col(key), F.col("s.`_PARTICIPANT-ID`").alias("pid"), F.col("u._ID").alias("uid")]
     utterance = seg.select(*of, F.col("u._S").alias("start_ms"), F.col("u._E").alias("end_ms"))
     um = seg.select(*of, F.posexplode("u.`MEDIA-REF`").alias("pos", "m")).select(key, "pid", "uid", "pos", F.col("m._ID").alias("mid"))
-    track = seg.select(*of, F.col("u._S").alias("at"), F.explode("s.TRACK").alias("t"))
-    token = track.select(key, "pid", "uid", "at", F.col("t._FID").alias("fid"), F.posexplode("t.A").alias("pos", "a"))
-    token = token.select(key, "pid", "uid", "fid", "pos", (F.col("at") + F.col("a._S")).alias("start_ms"), (F.col("at") + F.col("a._E")).alias("end_ms"), F.col("a._VID").alias("vid"), F.col("a._VALUE").alias("raw"))
-    named = value.select(key, "fid", "vid", F.col("name").alias("_value"))
-    token = token.join(named.dropDuplicates([key, "fid", "vid"]), [key, "fid", "vid"], "left").withColumn("text", F.coalesce("_value", "raw"))
+    values = F.expr("flatten(transform(d.`CODING-SCHEME`.FIELD, f -> transform(coalesce(f.VALUE, array()), v -> struct(f._ID AS fid, v._ID AS vid, v._NAME AS name))))")
+    track = parsed.select(key, values.alias("values"), F.explode(both).alias("u")).select(key, "values", "u", F.explode("u.SEGMENT").alias("s"))
+    track = track.select(*of, F.col("u._S").alias("at"), "values", F.explode("s.TRACK").alias("t"))
+    named = F.expr("transform(t.A, a -> struct(a._S AS s, a._E AS e, a._VID AS vid, coalesce(get(filter(values, v -> v.fid = t._FID AND v.vid = a._VID), 0).name, a._VALUE) AS text))")
+    token = track.select(key, "pid", "uid", "at", F.col("t._FID").alias("fid"), F.posexplode(named).alias("pos", "a"))
+    token = token.select("*", (F.col("at") + F.col("a.s")).alias("start_ms"), (F.col("at") + F.col("a.e")).alias("end_ms"), "a.vid", "a.text")
     token = token.select(key, "pid", "uid", "fid", "pos", "start_ms", "end_ms", "vid", "text")
     return Tables(part, field, value, media, utterance, um, token)
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.functions.columns import joined_lines, last_part
-from millrace.operators.keys import position
+from millrace.functions.columns import joined_lines, last_part, url_quote
+from millrace.operators.keys import dense_id, position
+from millrace.operators.shared import complete
+from millrace.operators.split import shuffled
 from millrace.sources import schemas
 
 
@@ -29,6 +31,12 @@ def read_tables(spark: SparkSession, folder: str, form: str = "parquet") -> dict
     return {name: read_table(spark, folder, name, form) for name in schemas.TABLES}
 
 
+def read_video_index(spark: SparkSession, path: str) -> DataFrame:
+    """The video index from a CSV with headers of its own: columns go by place, file names are quoted as in URLs."""
+    df = read_csv(spark, path, schemas.schema("video_index"))
+    return df.withColumn("target_video_filename", url_quote(F.col("target_video_filename")))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(filename, text)`` of whole files: one row each, lines stripped and concatenated."""
     df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
@@ -37,8 +45,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def list_frames(spark: SparkSession, path: str) -> DataFrame:
     """``(video, frame, frame_path)`` of ``<video>/<n>.jpg`` files; only paths are read, frames go by number."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jpg").load(path).select("path")
-    found = found.select(F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", 1).alias("video"), F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", 2).try_cast("int").alias("_n"), F.col("path").alias("frame_path"))
+    return frames_of(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jpg").load(path).select("path"))
+
+
+def frames_of(paths: DataFrame) -> DataFrame:
+    """The same for a table of paths."""
+    found = paths.select(F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", 1).alias("video"), F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", 2).try_cast("int").alias("_n"), F.col("path").alias("frame_path"))
     return position(found.filter("_n IS NOT NULL"), ["video"], ["_n"], "frame").select("video", "frame", "frame_path")
 
 
@@ -48,5 +60,15 @@ def write_csv(df: DataFrame, path: str, single: bool = False, mode: str = "error
 
 
 def write_table(df: DataFrame, path: str, key: list[str], mode: str = "errorifexists") -> None:
-    """Distinct rows, sorted by key, as Parquet.  ``mode="ignore"`` leaves a table that exists as it is."""
+    """Distinct rows, sorted by key, as Parquet.  ``mode="ignore"`` leaves a table that was written whole as it is."""
+    if mode == "ignore":
+        if complete(df.sparkSession, path):
+            return
+        mode = "overwrite"  # what a failed write left behind
     df.distinct().orderBy(*key).write.mode(mode).parquet(path)
+
+
+def write_batches(df: DataFrame, path: str, key: str, size: int, seed: str = "", groups: int = 16) -> None:
+    """Rows in a reproducible random order with their ``batch`` of ``size`` rows, as Parquet by groups of batches."""
+    placed = dense_id(df.withColumn("_r", shuffled(F.col(key), seed)), ["_r", key], "_i").withColumn("batch", F.floor(F.col("_i") / size)).drop("_r", "_i")
+    placed.withColumn("batch_group", F.col("batch") % groups).write.partitionBy("batch_group").parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.keys import incremental_ids
+from millrace.operators.shared import complete
 
 
 def assign_ids(stream: DataFrame, cols: list[str], name: str, folder: str, checkpoint: str) -> StreamingQuery:
@@ -22,6 +23,7 @@ def assign_ids(stream: DataFrame, cols: list[str], name: str, folder: str, check
             known = batch.select(*cols).limit(0).selectExpr(*cols, f"cast(null as bigint) as {name}")
         else:
             known = spark.read.parquet(f"{folder}/batch={n - 1}")
-        incremental_ids(known, batch, cols, name).write.mode("ignore").parquet(f"{folder}/batch={n}")
+        if not complete(spark, f"{folder}/batch={n}"):  # a version that a failed write left behind is written anew
+            incremental_ids(known, batch, cols, name).write.mode("overwrite").parquet(f"{folder}/batch={n}")
 
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
