@@ -179,6 +179,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
 TABLES, ROWS = 24, 4
 #: Tables that are tried first; the rest only compare what these haven't joined yet.
 FIRST = 4
+#: Candidates up to which their texts are found by a broadcast (about 50 MB); beyond, texts are shuffled.
+BROADCAST_ROWS = 1_000_000
 _FLIP, _ODD = (np.random.default_rng(11 + i).integers(1 << 63, size=(TABLES * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for i in range(2))
 
 
@@ -286,7 +288,9 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
         rows = known.select("node", "_hash", "root", F.explode(F.slice("keys", low + 1, high - low)).alias("bucket"))
         counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
         some = cut(_blocks(rows, counts.filter("r != s"), "bucket").select("grp", "node", "_hash"))
-        need = some.select("_hash", F.col("node").alias("_node")).distinct()
+        need = cut(some.select("_hash", F.col("node").alias("_node")).distinct())
+        if need.count() <= BROADCAST_ROWS:
+            need = F.broadcast(need)
         texts = src.join(need, "_hash").select(F.col("_node").alias("node"), "_text")
         got = texts.mapInArrow(sets, "node bigint, elements array<bigint>").groupBy("node").agg(F.first("elements").alias("elements"))
         some = some.select("grp", "node").join(got, "node").select("grp", "node", "elements")
@@ -303,10 +307,11 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> Data
     aren't.  Null ids come last; ties go to the smaller hash of the text.
     """
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash")
-    stay = similar(docs, shingle, similarity).groupBy("root").agg(F.min(order).alias("m")).select("m._id", "m._hash")
-    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    left = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]) & (text == stay["_hash"]), "left_semi")
-    return left.dropDuplicates(["doc_id", "text"])
+    stay = similar(docs, shingle, similarity).groupBy("root").agg(F.min(order).alias("m"))
+    # One key for both steps: the rows that the join puts together needn't move again to find equal ones.
+    stay = stay.select(F.xxhash64("m._id", "m._hash").alias("_near_key"))
+    left = docs.withColumn("_near_key", F.xxhash64("doc_id", F.xxhash64(F.coalesce(docs["text"], F.lit("")))))
+    return left.join(stay, "_near_key", "left_semi").dropDuplicates(["_near_key", "doc_id", "text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_near_duplicates(docs: DataFrame) -> DataFrame:
