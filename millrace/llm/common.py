@@ -7,8 +7,10 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,6 +55,13 @@ def ship(spark: SparkSession) -> None:
     spark.conf.set("spark.millrace.shipped", spark.sparkContext.applicationId)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a worker holds few texts as Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import ship, written
+from millrace.llm.common import ship, sliced, written
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -222,7 +222,7 @@ def propose(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("code", pa.int32()), ("traits", pa.list_(pa.int32()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = [[dict(zip(_SPAN.names, s)) for s in candidates(t)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, kind)], names=[id_col, "spans"])
 
@@ -283,7 +283,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return t if not out else "".join(out) + t[at:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([make(t) for t in b.column(b.num_columns - 1).to_pylist()], pa.string())], names=b.schema.names)
 
     rest = [c for c in docs.columns if c != text]

@@ -36,7 +36,7 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the lower-case words and marks of a text and of their neighbouring pairs; and the words' buckets by other bits
     of their hashes, from BUCKETS on, which tell words apart that share the first."""
     if "cache" not in _words:
-        _words["cache"] = Cached(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 3), 100_000)
+        _words["cache"] = Cached(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 3), 40_000)
     tokens = TOKEN.findall(text.lower()) if text else []
     h = np.fromiter(map(_words["cache"].__getitem__, tokens), np.uint64, len(tokens))
     pair = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import cut, ship
+from millrace.llm.common import cut, ship, sliced
 from millrace.llm.components import components
 
 #: Rows of one block of a bucket: buckets of up to 16 blocks of LEAST rows keep to that many; larger ones have blocks of up to MOST rows.
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4, lanes: i
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             got = [fingerprint(t, shingle, lanes) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.list_(pa.int64()))], names=[*b.schema.names[:-1], "lanes"])
 
@@ -266,7 +266,7 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
     src = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             node, key = [], []
             for t in b.column(2).to_pylist():
                 h = elements(t, shingle)
@@ -276,7 +276,7 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array(key, pa.list_(pa.int64()))], names=["_id", "_hash", "node", "keys"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             got = [elements(t, shingle).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64()))], names=["node", "elements"])
 

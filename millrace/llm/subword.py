@@ -29,10 +29,10 @@ from millrace.llm.common import ship
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Where no piece joins a letter to another character, words and marks are cut apart; else at spaces only.
 FINE, COARSE = re.compile(r" *(?:[^\W\d_¹²³]+|(?:[\d_¹²³]|[^\w ])+)| +"), re.compile(r" *[^ ]+| +")
-#: Chunks that a worker holds (about 100 MB); beyond, it starts anew.
-CACHE = 400_000
+#: Chunks that a worker holds (about 60 MB); beyond, it starts anew.
+CACHE = 200_000
 #: Longer chunks are segmented one by one; rows and chunks that are looked at together.
-LONG, ROWS, SLICE = 24, 500, 150_000
+LONG, ROWS, SLICE = 24, 400, 100_000
 #: Rank of a pair that doesn't merge.
 NEVER = 1 << 30
 SPREAD = 0x9E3779B97F4A7C15
