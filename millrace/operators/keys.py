@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,9 @@ def dense_id(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
         at += r["count"]
     if not base:
         return kept.withColumn(name, F.lit(0).cast("long")).drop("_place")
-    offsets = spark.createDataFrame(list(base.items()), "_p long, _base long")
+    # Made in the JVM, so that no Python worker starts.
+    pairs = F.from_json(F.lit(json.dumps([{"_p": p, "_base": n} for p, n in base.items()])), "array<struct<_p: bigint, _base: bigint>>")
+    offsets = spark.range(1).select(F.inline(pairs))
     return kept.withColumn("_p", part).join(F.broadcast(offsets), "_p").withColumn(name, F.col("_base") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))).drop("_place", "_p", "_base")
 
 
