@@ -30,7 +30,8 @@ BLOCK, CHUNK = 1 << 20, 1 << 25
 PIECE = 1 << 24
 #: Bytes of one suffix array; a group of segments is never cut, and has at most HOT segments of up to 200 bytes.
 ARRAY = 1 << 21
-#: Segments of one anchor hash beyond which its windows are keyed one by one (a very common passage's edges).
+#: Segments of one anchor hash beyond which its windows are keyed one by one (a very common passage's edges) and its
+#: rows are never brought together in one task.
 HOT = 1000
 NULL_ID = -(1 << 63)
 
@@ -322,6 +323,14 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), *_batch(schema, cols[:3]).columns, pa.array(cols[3], pa.string()), pa.array(cols[4], span)], names=["id", *schema.names, "kept_sha256", "removed"])
 
 
+def _earliest(rows: DataFrame, *key: str) -> DataFrame:
+    """``dup`` is true where an earlier place has the same ``key``: a minimum made before the shuffle and a join, which
+    AQE can split, so that no task holds all rows of a very common key."""
+    place = F.struct("id", "tie", "pos")
+    least = rows.groupBy(*key).agg(F.min(place).alias("least"))
+    return rows.join(least, list(key)).withColumn("dup", place > F.col("least")).drop("least")
+
+
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row: ``id, n_bytes, n_removed, n_spans, kept_sha256, removed array<struct<start, end>>``.
 
@@ -335,21 +344,25 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shared = src.groupBy("id").count().filter("count > 1").limit(1).count() > 0
     src = src.select("id", (F.xxhash64("text") if shared else F.lit(0)).cast("long").alias("tie"), F.col("text").cast("binary").alias("text"))
+    one = src.dropDuplicates(["id", "tie"]) if shared else src
 
-    segments = src.mapInArrow(_segments, SEGMENT)
+    found = written(one.mapInArrow(_segments, SEGMENT), "found")
+    fresh = found.filter("NOT dup").drop("dup")
+    common = fresh.groupBy("mh").count().filter(F.col("count") > HOT).select("mh")
     by_string, by_anchor = Window.partitionBy("mh", "sfp").orderBy("id", "tie", "pos"), Window.partitionBy("mh")
-    seg = segments.withColumn("dup", F.col("dup") | (F.rank().over(by_string) > 1))
-    seg = seg.withColumn("many", F.min("sfp").over(by_anchor) != F.max("sfp").over(by_anchor)).withColumn("of", F.count("*").over(by_anchor))
-    seg = seg.filter("dup OR many").select("id", "tie", "pos", "n", "dup", "mh", (F.col("of") > HOT).alias("hot"))
-    seg = written(seg, "segments")
+    few = fresh.join(common, "mh", "left_anti").withColumn("dup", F.rank().over(by_string) > 1)
+    few = few.withColumn("many", F.min("sfp").over(by_anchor) != F.max("sfp").over(by_anchor)).filter("dup OR many").withColumn("hot", F.lit(False))
+    many = _earliest(fresh.join(common, "mh", "left_semi"), "mh", "sfp").withColumn("hot", F.lit(True))
+    cols = ["id", "tie", "pos", "n", "dup", "mh", "hot"]
+    seg = written(few.select(cols).unionByName(many.select(cols)), "segments")
 
     open_ = seg.filter("NOT dup").groupBy("id", "tie").agg(F.collect_list(F.struct("mh", "pos", "n", "hot")).alias("segments"))
-    open_ = src.join(open_.select(F.col("id").alias("i"), F.col("tie").alias("t"), "segments"), (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t"))).select("id", "tie", "text", "segments")
+    open_ = one.join(open_.select(F.col("id").alias("i"), F.col("tie").alias("t"), "segments"), (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t"))).select("id", "tie", "text", "segments")
     rows = written(open_.mapInArrow(_cut_out, "mh long, key long, hot boolean, id long, tie long, pos int, n int, bytes binary"), "bodies")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cold = rows.filter("NOT hot").select("mh", "id", "tie", "pos", "bytes").repartition(parts, "mh").sortWithinPartitions("mh").mapInArrow(_sort_groups, RUN)
-    hot = rows.filter("hot").select("id", "tie", "pos", "n", F.rank().over(Window.partitionBy("mh", "key").orderBy("id", "tie", "pos")).alias("r")).filter("r > 1").drop("r")
-    runs = seg.filter("dup").select("id", "tie", "pos", "n").unionByName(cold).unionByName(hot)
+    hot = _earliest(rows.filter("hot"), "mh", "key").filter("dup").select("id", "tie", "pos", "n")
+    runs = found.filter("dup").unionByName(seg.filter("dup"), allowMissingColumns=True).select("id", "tie", "pos", "n").unionByName(cold).unionByName(hot)
     runs = runs.groupBy("id", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("runs")).select(F.col("id").alias("i"), F.col("tie").alias("t"), "runs")
     full = src.join(runs, (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t")), "left").select("id", "text", "runs")
     out = full.mapInArrow(_finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start: bigint, end: bigint>>")
