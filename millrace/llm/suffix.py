@@ -33,6 +33,8 @@ ARRAY = 1 << 21
 #: Segments of one anchor hash beyond which its windows are keyed one by one (a very common passage's edges) and its
 #: rows are never brought together in one task.
 HOT = 1000
+#: Common anchors that are broadcast (8 bytes each); more of them are joined by a shuffle.
+LISTED = 1 << 20
 NULL_ID = -(1 << 63)
 
 
@@ -346,15 +348,17 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     src = src.select("id", (F.xxhash64("text") if shared else F.lit(0)).cast("long").alias("tie"), F.col("text").cast("binary").alias("text"))
     one = src.dropDuplicates(["id", "tie"]) if shared else src
 
-    found = written(one.mapInArrow(_segments, SEGMENT), "found")
-    fresh = found.filter("NOT dup").drop("dup")
-    common = fresh.groupBy("mh").count().filter(F.col("count") > HOT).select("mh")
-    by_string, by_anchor = Window.partitionBy("mh", "sfp").orderBy("id", "tie", "pos"), Window.partitionBy("mh")
-    few = fresh.join(common, "mh", "left_anti").withColumn("dup", F.rank().over(by_string) > 1)
-    few = few.withColumn("many", F.min("sfp").over(by_anchor) != F.max("sfp").over(by_anchor)).filter("dup OR many").withColumn("hot", F.lit(False))
-    many = _earliest(fresh.join(common, "mh", "left_semi"), "mh", "sfp").withColumn("hot", F.lit(True))
-    cols = ["id", "tie", "pos", "n", "dup", "mh", "hot"]
-    seg = written(few.select(cols).unionByName(many.select(cols)), "segments")
+    found = one.mapInArrow(_segments, SEGMENT)
+    common = written(found.filter("NOT dup").groupBy("mh").count().filter(F.col("count") > HOT).select("mh", F.lit(True).alias("common")), "common")
+    common = F.broadcast(common) if common.count() <= LISTED else common
+    # Rows of a common anchor pass the windows under keys of their own.
+    seg = found.join(common, "mh", "left").withColumn("hot", F.expr("common IS NOT NULL AND NOT dup")).withColumn("key", F.expr("CASE WHEN hot THEN xxhash64(id, tie, pos) ELSE mh END"))
+    by_string, by_anchor = Window.partitionBy("key", "sfp").orderBy("id", "tie", "pos"), Window.partitionBy("key")
+    seg = seg.withColumn("dup", F.col("dup") | (F.rank().over(by_string) > 1))
+    seg = seg.withColumn("many", F.min("sfp").over(by_anchor) != F.max("sfp").over(by_anchor)).filter("dup OR many OR hot")
+    seg = written(seg.select("id", "tie", "pos", "n", "dup", "mh", "hot", F.expr("CASE WHEN hot THEN sfp END AS sfp")), "segments")
+    settled = written(_earliest(seg.filter("hot").drop("dup"), "mh", "sfp"), "settled")
+    seg = seg.filter("NOT hot").unionByName(settled)
 
     open_ = seg.filter("NOT dup").groupBy("id", "tie").agg(F.collect_list(F.struct("mh", "pos", "n", "hot")).alias("segments"))
     open_ = one.join(open_.select(F.col("id").alias("i"), F.col("tie").alias("t"), "segments"), (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t"))).select("id", "tie", "text", "segments")
@@ -362,7 +366,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cold = rows.filter("NOT hot").select("mh", "id", "tie", "pos", "bytes").repartition(parts, "mh").sortWithinPartitions("mh").mapInArrow(_sort_groups, RUN)
     hot = _earliest(rows.filter("hot"), "mh", "key").filter("dup").select("id", "tie", "pos", "n")
-    runs = found.filter("dup").unionByName(seg.filter("dup"), allowMissingColumns=True).select("id", "tie", "pos", "n").unionByName(cold).unionByName(hot)
+    runs = seg.filter("dup").select("id", "tie", "pos", "n").unionByName(cold).unionByName(hot)
     runs = runs.groupBy("id", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("runs")).select(F.col("id").alias("i"), F.col("tie").alias("t"), "runs")
     full = src.join(runs, (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t")), "left").select("id", "text", "runs")
     out = full.mapInArrow(_finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start: bigint, end: bigint>>")
