@@ -35,6 +35,8 @@ ARRAY = 1 << 21
 HOT = 1000
 #: Common anchors that are broadcast (8 bytes each); more of them are joined by a shuffle.
 LISTED = 1 << 20
+#: Parts of a very common key.
+SALTS = 1024
 NULL_ID = -(1 << 63)
 
 
@@ -326,11 +328,13 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _earliest(rows: DataFrame, *key: str) -> DataFrame:
-    """``dup`` is true where an earlier place has the same ``key``: a minimum made before the shuffle and a join, which
-    AQE can split, so that no task holds all rows of a very common key."""
-    place = F.struct("id", "tie", "pos")
-    least = rows.groupBy(*key).agg(F.min(place).alias("least"))
-    return rows.join(least, list(key)).withColumn("dup", place > F.col("least")).drop("least")
+    """``dup`` is true where an earlier place has the same ``key``: ranked first in salted parts of a key, then among the
+    first of each part, so that no task holds all rows of a very common key."""
+    place = ["id", "tie", "pos"]
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(*place), F.lit(SALTS)))
+    rows = rows.withColumn("later", F.rank().over(Window.partitionBy(*key, "salt").orderBy(*place)) > 1)
+    rows = rows.withColumn("part", F.when(F.col("later"), F.col("salt")).otherwise(-1))
+    return rows.withColumn("dup", F.col("later") | (F.rank().over(Window.partitionBy(*key, "part").orderBy(*place)) > 1)).drop("salt", "later", "part")
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
