@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, licences, negatives, neighbours, order, pii, preference, resample, simhash, subword, suffix
+from millrace.llm import decontaminate, licences, negatives, neighbours, order, periodic, pii, preference, resample, simhash, subword, suffix
 from millrace.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.encode(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.op11_digests(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.op12_mine(table(spark, sf_dir, "embeddings"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_neighbours": op9_neighbours,
     "op10_subword": op10_subword,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_hard_negatives": op12_hard_negatives,
 }
 ORACLE: dict[str, str] = {"op4_preference": preference.ORACLE, "op8_licences": licences.oracle(), "op12_hard_negatives": negatives.ORACLE}
