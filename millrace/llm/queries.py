@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, licences, negatives, neighbours, order, periodic, pii, preference, resample, simhash, subword, suffix
+from millrace.llm import decontaminate, languages, licences, negatives, neighbours, order, periodic, pii, preference, resample, simhash, subword, suffix
 from millrace.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.op12_mine(table(spark, sf_dir, "embeddings"))
 
 
+def op13_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.op13_predict(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": op1_personal_data,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -71,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_subword": op10_subword,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_languages": op13_languages,
 }
 ORACLE: dict[str, str] = {"op4_preference": preference.ORACLE, "op8_licences": licences.oracle(), "op12_hard_negatives": negatives.ORACLE}
