@@ -149,8 +149,16 @@ def _best(k: int):
     return run
 
 
+def _scaled(vec: str) -> str:
+    """``vec`` as doubles times a power of two, so that its largest component is near one and no square over- or underflows; exact, but for components
+    too small to matter beside the largest."""
+    most = f"array_max(transform({vec}, x -> abs(cast(x AS double))))"
+    return f"element_at(transform(array(pow(2D, least(1000D, -floor(log2({most}))))), s -> transform({vec}, x -> cast(x AS double) * s)), 1)"
+
+
 def _cosine(a: str, b: str) -> Column:
-    dot = lambda x, y: f"aggregate(zip_with({x}, {y}, (p, q) -> cast(p as double) * cast(q as double)), 0D, (s, v) -> s + v)"
+    """Of vectors that are scaled."""
+    dot = lambda x, y: f"aggregate(zip_with({x}, {y}, (p, q) -> p * q), 0D, (s, v) -> s + v)"
     return F.expr(f"{dot(a, b)} / (sqrt({dot(a, a)}) * sqrt({dot(b, b)}))")
 
 
@@ -268,8 +276,8 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_
         near = near.join(short.select(F.col("cls").alias("qcls")), "qcls", "left_anti").unionByName(rest)
     near = near.withColumn("r", F.row_number().over(Window.partitionBy("qcls").orderBy(F.desc("near"), "least", "cls"))).filter(F.col("r") <= k + 1)
 
-    a = cls.select(F.col("cls").alias("a"), F.col("vec").alias("va"))
-    b = cls.select(F.col("cls").alias("b"), F.col("vec").alias("vb"), "ids")
+    a = cls.select(F.col("cls").alias("a"), F.expr(_scaled("vec")).alias("va"))
+    b = cls.select(F.col("cls").alias("b"), F.expr(_scaled("vec")).alias("vb"), "ids")
     near = cut(near.select("qcls", "cls").join(a, F.col("qcls") == F.col("a")).join(b, F.col("cls") == F.col("b")).select(F.col("qcls").alias("q"), (F.col("a") == F.col("b")).alias("own"), "ids", _cosine("va", "vb").alias("score")))
     got = asked.join(near, F.col("qcls") == F.col("q"))
     got = got.withColumn("ids", F.expr("if(own, filter(ids, (x, i) -> i + 1 != array_position(ids, query_id)), ids)"))
