@@ -227,7 +227,17 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     return scored.filter(F.col("key") >= cutoff(scored, k)).select(id_col, "n_grams", "log_weight", "key")
 
 
-def keep_drawn(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that aren't drawn; rows that share an id stay if one of them is drawn."""
-    drawn = cut(resample(docs, labels).select(F.col("doc_id").alias("_drawn")).distinct())
-    return docs.join(drawn, docs["doc_id"].eqNullSafe(drawn["_drawn"]), "left_semi")
+def keep_worthy(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without those that aren't worth keeping: a filter by the importance weight, without a draw.
+
+    A document stays where its weight, the probability that it is of the target, is ``1 / (1 + CARE)`` or more; rows that
+    share an id stay if one of them does.  Without labels of both kinds the weight isn't calibrated and all stay.  Null, empty
+    and very long texts are weighed as in ``resample``; no rows give none; other columns pass.
+    """
+    scored = score(docs.select(F.col(id_col).alias(id_col), F.col(text).alias("text")), fit(docs, labelled(labels), id_col, text), id_col)
+    scored = cut(weigh(cut(scored), labels, id_col))
+    most = scored.agg(F.max("log_weight")).first()[0]
+    if most is None or most > 0:
+        return docs
+    kept = cut(scored.filter(F.col("log_weight") >= -math.log1p(CARE)).select(F.col(id_col).alias("_kept")).distinct())
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")

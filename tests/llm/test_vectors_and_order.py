@@ -146,7 +146,7 @@ def test_resampling_edges(spark):
     assert resample.resample(docs, labels, k=0).count() == 0
     assert resample.resample(docs, labels.limit(0)).count() == 6
     assert resample.resample(docs.limit(0), labels).count() == 0
-    assert resample.keep_drawn(docs, labels).columns == docs.columns
+    assert resample.keep_worthy(docs, labels).columns == docs.columns
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 1000, 4097])
@@ -223,3 +223,27 @@ def test_pipeline(spark):
     out = C.run(spark, folder)
     assert {r.doc_id for r in out.collect()} == set(left)
     assert {r.doc_id: r.text for r in subword.decode(out).collect()} == left
+
+
+@pytest.mark.parametrize("kind", ["array<double>", "array<float>"])
+def test_extreme_components(spark, kind):
+    """Tiny, huge and denormal components neither crash nor lose their cosine."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 6))
+    sizes = [1e-200, 1e200, 1e300, 5e-310, 1e-300, 1.0] if kind == "array<double>" else [1e-30, 1e30, 1e38, 1e-37, 1.0]
+    rows = [(i, (v * sizes[i % len(sizes)]).tolist()) for i, v in enumerate(base)] + [(50, [5e-324 if kind == "array<double>" else 2e-45] + [0.0] * 5), (51, [1e308 if kind == "array<double>" else 3e38] * 6)]
+    got = results(neighbours.nearest(spark.createDataFrame(rows, f"vec_id long, embedding {kind}"), recall=1.0))
+    unit = {i: (u := np.array(v) / max(map(abs, v))) / np.linalg.norm(u) for i, v in rows}
+    for q, found in got.items():
+        want = sorted(((float(unit[q] @ w), i) for i, w in unit.items() if i != q), key=lambda x: (-x[0], x[1]))[:5]
+        assert [i for i, _ in found] == [i for _, i in want] and all(math.isclose(s, w, abs_tol=1e-5) for (_, s), (w, _) in zip(found, want))
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_the_filter_keeps_clean_documents(spark, folder):
+    """Of documents labelled good 99 of 100 stay, of bad ones at most 8 (few labels) or 4 of 100; repeated runs agree."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{folder}/{t}.parquet") for t in ("documents", "labels"))
+    kept = {r.doc_id for r in resample.keep_worthy(docs, labels).select("doc_id").collect()}
+    marks = [(r.doc_id in kept, r.quality, r.toxic or 0) for r in labels.collect()]
+    share = lambda q: np.mean([k for k, quality, toxic in marks if quality == q and not (q and toxic)])
+    assert share(1) >= 0.99 and share(0) <= (0.08 if folder == "sf0.01" else 0.04)
