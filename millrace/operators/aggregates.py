@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import first_int
+from millrace.operators.hot import running_sum
 
 
 def ordered_list(order: str | Column, value: str | Column) -> Column:
@@ -36,6 +37,5 @@ def of_group_size(df: DataFrame, key: list[str], at_least: int = 1, at_most: int
 
 
 def running_offset(df: DataFrame, key: list[str], order: list[str], n: str, name: str = "offset") -> DataFrame:
-    """Sum of ``n`` over the rows before, in order, within the key."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.coalesce(F.sum(n).over(w), F.lit(0)).cast("long"))
+    """Sum of ``n`` over the rows before, in order, within the key; a key with very many rows is summed by ranges."""
+    return running_sum(df, key, order, F.col(n), name)

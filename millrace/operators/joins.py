@@ -46,16 +46,47 @@ def frames_of_intervals(df: DataFrame, start: str, end: str, fps: float = 30.0,
     return df.withColumn(name, F.explode(frame_range(ms_to_frame(F.col(start), fps), ms_to_frame(F.col(end), fps))))
 
 
+def _node(level: Column, number: Column) -> Column:
+    return F.struct(level.cast("int").alias("level"), number.cast("long").alias("number"))
+
+
+def dyadic_cover(low: Column, high: Column) -> Column:
+    """Nodes of a binary tree over the integers that cover ``low .. high`` exactly, each integer once: two a level at most."""
+    end, zero = (high + 1).cast("long"), F.lit(0)
+    levels = F.sequence(zero, F.ceil(F.log2((end - low + 1).cast("double"))).cast("int"))
+
+    def at(k: Column) -> Column:
+        left, right = -F.call_function("shiftright", -low.cast("long"), k), F.call_function("shiftright", end, k)
+        inside = left < right
+        return F.array(F.when(inside & (left.bitwiseAND(F.lit(1)) == 1), _node(k, left)), F.when(inside & (right.bitwiseAND(F.lit(1)) == 1), _node(k, right - 1)))
+
+    return F.when(high >= low, F.array_compact(F.flatten(F.transform(levels, at))))
+
+
+def dyadic_path(point: Column, levels: int) -> Column:
+    """The nodes above a point, up to ``levels``; one at most is in a cover."""
+    return F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: _node(k, F.call_function("shiftright", point.cast("long"), k)))
+
+
 def overlap_join(a: DataFrame, b: DataFrame, on: list[str], a_span: tuple[str, str], b_span: tuple[str, str], bucket: int, mode: str = "any_overlap") -> DataFrame:
     """Pairs of intervals of the same key that coincide.
 
     ``any_overlap``: the half-open intervals share a point.  ``reference``: the first starts in the second, or ends in
-    it, so a first interval that strictly contains the second doesn't count.  Both sides are cut into time buckets, so a
-    key with many intervals spreads, and each pair is kept in the first bucket that both touch.
+    it, so a first interval that strictly contains the second doesn't count.  Intervals with a null end pair with none.
+
+    Of two intervals that touch, one starts in the other: the second's start lies in the first after its start, or the first's
+    in the second.  Each case meets by equality, once a pair: an interval is cut into the nodes of a binary tree over
+    buckets that cover it, about ``2 * log2(length / bucket)``, and a start asks the nodes above it.  So lengths may differ
+    by any factor, and a key with many intervals spreads.
     """
     s1, e1, s2, e2 = F.col(a_span[0]), F.col(a_span[1]), F.col(b_span[0]), F.col(b_span[1])
-    cut = lambda s, e: F.explode(F.sequence(F.floor(s / bucket), F.greatest(F.floor(e / bucket), F.floor(s / bucket))))
-    left, right = a.withColumn("_bucket", cut(s1, e1)), b.withColumn("_bucket", cut(s2, e2))
     hit = (s1 < e2) & (s2 < e1) if mode == "any_overlap" else ((s1 >= s2) & (s1 < e2)) | ((e1 > s2) & (e1 <= e2))
-    first = F.greatest(F.floor(s1 / bucket), F.floor(s2 / bucket))
-    return left.join(right, [*on, "_bucket"]).filter(hit & (F.col("_bucket") == first)).drop("_bucket")
+    low, high = (lambda s, e: F.floor(F.least(s, e) / bucket)), (lambda s, e: F.floor(F.greatest(s, e) / bucket))
+    a, b = a.filter(s1.isNotNull() & e1.isNotNull()), b.filter(s2.isNotNull() & e2.isNotNull())
+    levels = lambda df, s, e: max(0, int(df.agg(F.max(high(s, e) - low(s, e))).first()[0] or 0) + 2).bit_length()
+    cover = lambda df, s, e: df.withColumn("_node", F.explode(dyadic_cover(low(s, e), high(s, e))))
+    path = lambda df, s, e, n: df.withColumn("_node", F.explode(dyadic_path(low(s, e), n)))
+    first, second = F.least(s1, e1), F.least(s2, e2)
+    later = cover(a, s1, e1).join(path(b, s2, e2, levels(a, s1, e1)), [*on, "_node"]).filter(hit & (second > first))
+    earlier = path(a, s1, e1, levels(b, s2, e2)).join(cover(b, s2, e2), [*on, "_node"]).filter(hit & (second <= first))
+    return later.unionByName(earlier).drop("_node")

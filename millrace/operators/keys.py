@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.hot import running_sum
 from millrace.operators.shared import stored
 
 
@@ -39,8 +40,8 @@ def distinct_ids(df: DataFrame, cols: list[str], name: str) -> DataFrame:
 
 
 def position(df: DataFrame, parent: list[str], order: list[Column | str], name: str) -> DataFrame:
-    """0-based position within the parent."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*parent).orderBy(*order)) - 1)
+    """0-based position within the parent; a parent with very many rows is numbered by ranges."""
+    return running_sum(df, parent, order, F.lit(1), name).withColumn(name, F.col(name).cast("int"))
 
 
 def incremental_ids(known: DataFrame, new: DataFrame, cols: list[str], name: str) -> DataFrame:

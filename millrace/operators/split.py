@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.hot import first_of_group
+
 
 def shuffled(key: Column, seed: str = "") -> Column:
     """A reproducible random order of the key."""
@@ -16,10 +18,11 @@ def stratified_split(df: DataFrame, strata: list[str], key: str, ratio: float =
 
     Up to nine rows give one validation row, as the ratio of a tenth would give none.
     """
-    order = Window.partitionBy(*strata).orderBy(shuffled(F.col(key), seed), key)
-    n = F.count("*").over(Window.partitionBy(*strata))
-    take = F.when(n > 9, F.floor(n * F.lit(float(ratio)))).otherwise(F.lit(1))
-    return df.withColumn("split", F.when(F.row_number().over(order) <= take, "val").otherwise("train"))
+    take = F.when(F.col("n") > 9, F.floor(F.col("n") * F.lit(float(ratio)))).otherwise(F.lit(1))
+    text = shuffled(F.col(key), seed)
+    high = F.conv(F.substring(text, 1, 15), 16, 10).cast("long")  # the order of the whole text, but for ties
+    marked = first_of_group(df.withColumn("_text", F.struct(text.alias("t"), F.col(key).alias("k"))), strata, high, "_text", take, "_val")
+    return marked.withColumn("split", F.when(F.col("_val"), "val").otherwise("train")).drop("_val", "_text")
 
 
 def fixed_sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
