@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import columns as C
@@ -45,6 +45,18 @@ def segments(index: DataFrame, video: str, urls: str) -> DataFrame:
     return parts.withColumn("SegmentVideoFilename", C.last_part(F.col("URL"), "/"))
 
 
+def _stem(name: Column) -> Column:
+    """A file's name without its extension and without percent-encoding."""
+    bare = F.regexp_replace(name, r"\.[^./]*$", "")
+    return F.coalesce(F.try_url_decode(F.replace(bare, F.lit("+"), F.lit("%2B"))), bare)
+
+
+def frames_of_videos(videos: DataFrame, frames: DataFrame) -> DataFrame:
+    """``videos`` with ``FrameSequence`` and ``FramePath`` of the frames listed under their name: any extension, dots in the name, quoted or not."""
+    shot = frames.select(F.coalesce(F.try_url_decode(F.replace("video", F.lit("+"), F.lit("%2B"))), "video").alias("_stem"), F.col("frame").alias("FrameSequence"), F.col("frame_path").alias("FramePath"))
+    return videos.withColumn("_stem", _stem(F.col("TargetVideoFilename"))).join(shot, "_stem").drop("_stem")
+
+
 def token_frames(tokens: DataFrame, videos: DataFrame, frames: DataFrame, utterance: list[str], video: list[str], most_videos: int = 4, fps: float = 30.0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Frames of every token in every video of its utterance: ``(found, expected but absent, utterances with too many videos)``."""
     n = videos.select(*utterance, *video).distinct().groupBy(*utterance).agg(F.count("*").alias("n_videos"))

@@ -11,6 +11,7 @@ from millrace.operators.shared import stored
 from millrace.plans.documents import _TOKENS, documents
 from millrace.plans.registry import query
 from millrace.sources import schemas
+from millrace.sources.files import frames_of
 
 
 @query("SELECT row_number() OVER (ORDER BY url, page_id) - 1 AS DocumentID, url AS Filename, base64(encode(html)) AS XML_B64, length(base64(encode(html))) AS LEN FROM pages")
@@ -109,9 +110,13 @@ _GLOSS = f"(SELECT i.*, v.TokenID FROM {_IDS} i JOIN (SELECT text, row_number()
 _VIDEO = "(SELECT DISTINCT DocumentID, ASLConsultantID, UtteranceSequence, uid % 3 AS CameraPerspective, CASE uid % 3 WHEN 0 THEN 'front%20view.mov' ELSE 'side.mov' END AS TargetVideoFilename FROM " + _IDS + " WHERE uid % 3 < 2)"
 
 
+def _named(docs):
+    return docs.select(F.format_string("%09d.xml", "DocumentID").alias("Filename"), "xml")
+
+
 def _corpus(t):
     """The corpus of all conversations: two videos that the index lists, one frame a second."""
-    docs = documents(t).select(F.format_string("%09d.xml", "DocumentID").alias("Filename"), "xml")
+    docs = _named(documents(t))
     index = t.spark.createDataFrame([("front%20view.mov", 0, 0, "v/a.mov;v/b.mov", "", "", ""), ("side.mov", 1, 1, "v/c.mov", "", "", "")], schemas.schema("video_index"))
     last = t.conversations.agg(F.max("turn") * 100 + 100).first()[0] or 0
     frames = t.spark.range(last).select(F.explode(F.array(F.lit("front%20view"), F.lit("side"))).alias("video"), F.col("id").cast("int").alias("frame"), F.lit("").alias("frame_path"))
@@ -169,3 +174,67 @@ def build_complete_utterances(t):
     train = stored(build.build_splits({**d, "utterance_token_frame": frames})["train"])
     good, bad = build.complete_utterances(train, frames, d["utterance"], d["vocabulary"])
     return good.select(F.lit(0).alias("bad")).unionByName(bad.select(F.lit(1).alias("bad"))).agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("failed"))
+
+
+_KEY = "ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective"
+_UTTERANCE = f"""(SELECT DocumentID, ASLConsultantID, UtteranceSequence, CAST(uid * 100000 AS INTEGER) AS StartTime, CAST(uid * 100000 + 99999 AS INTEGER) AS EndTime, string_agg(text, ' ' ORDER BY pos) FILTER (WHERE fid = 1) AS Tokens,
+  string_agg(text, ' ' ORDER BY pos) FILTER (WHERE fid = last) AS Translation FROM (SELECT *, max(fid) OVER (PARTITION BY DocumentID, ASLConsultantID, uid) AS last FROM {_IDS}) GROUP BY DocumentID, ASLConsultantID, UtteranceSequence, uid)"""
+
+
+@query(f"""WITH tf AS (SELECT * FROM {_TOKEN_FRAMES}), parts AS (SELECT * FROM {_PARTS}),
+  part AS (SELECT 'train_assoc' AS variant, * FROM parts WHERE NOT one AND NOT val UNION ALL SELECT 'val', * FROM parts WHERE NOT one AND val UNION ALL SELECT 'train', * FROM parts WHERE one OR NOT val),
+  hit AS (SELECT variant, {_KEY} FROM (SELECT DISTINCT variant, {_KEY}, TokenSequence FROM tf, (VALUES ('train_assoc'), ('val'), ('train')) v(variant))
+    LEFT JOIN (SELECT DISTINCT variant, {_KEY}, TokenSequence, true AS hit FROM part) USING (variant, {_KEY}, TokenSequence) GROUP BY ALL HAVING bool_and(coalesce(hit, false))),
+  found AS (SELECT variant, DocumentID, {_KEY}, string_agg(CAST(TokenID AS VARCHAR), ' ' ORDER BY TokenSequence) AS TokenIDs, string_agg(text, ' ' ORDER BY TokenSequence) AS resolved
+    FROM (SELECT DISTINCT DocumentID, {_KEY}, TokenSequence, TokenID FROM tf) JOIN hit USING ({_KEY}) JOIN (SELECT DISTINCT TokenID, text FROM {_GLOSS}) USING (TokenID) GROUP BY ALL)
+  SELECT variant, resolved IS DISTINCT FROM Tokens AS failed, {_KEY}, StartTime, EndTime, TokenIDs, Tokens, Translation FROM found JOIN {_UTTERANCE} u USING (DocumentID, ASLConsultantID, UtteranceSequence)""")
+def build_complete_rows(t):
+    """All rows of the three tables of complete utterances, and those whose texts fail the comparison."""
+    d = _corpus(t)
+    d["utterance_token_frame"] = stored(d["utterance_token_frame"])
+    made, out = build.build_splits(d), None
+    cols = schemas.schema("complete_utterances_train").names
+    failed = made["quarantine"].select(F.replace("table", F.lit("complete_utterances_"), F.lit("")).alias("variant"), F.from_json("row", schemas.schema("complete_utterances_train")).alias("r"))
+    out = failed.select("variant", F.lit(True).alias("failed"), *[f"r.{c}" for c in cols])
+    for variant in ("train_assoc", "val", "train"):
+        out = out.unionByName(made[f"complete_utterances_{variant}"].select(F.lit(variant).alias("variant"), F.lit(False).alias("failed"), *cols))
+    return out
+
+
+#: Documents that the planted violations below make unreadable.
+_BAD = "conv % 10 = 5 OR conv % 7 = 3"
+_DOC = "DocumentID || '/' || ASLConsultantID"
+
+
+@query(f"""WITH ids AS (SELECT * FROM {_IDS}), good AS (SELECT * FROM ids WHERE NOT ({_BAD})), silent AS (SELECT * FROM good WHERE conv % 11 = 2 AND text = 'HOLD' AND fid = 1),
+  front AS (SELECT DISTINCT DocumentID, ASLConsultantID FROM good WHERE uid % 3 = 0),
+  lost AS (SELECT * FROM (SELECT g.*, unnest(range(CAST(round_even(start_ms / 1000.0::DOUBLE, 0) AS BIGINT), CAST(round_even(end_ms / 1000.0::DOUBLE, 0) AS BIGINT))) AS frame FROM good g WHERE fid = 1 AND uid % 3 = 0 AND NOT (conv % 11 = 2 AND text = 'HOLD')) WHERE frame % 10 = 4)
+SELECT 'document' AS part, CAST(DocumentID AS VARCHAR) AS key, 'document breaks no rule' AS rule, 'reject' AS severity FROM (SELECT DISTINCT DocumentID FROM ids WHERE {_BAD})
+UNION ALL SELECT 'utterance_token', {_DOC} || '/' || UtteranceSequence || '/' || pos, 'token has a text', 'reject' FROM silent
+UNION ALL SELECT 'video_index', 'side.mov', 'one camera per video', 'reject' FROM range(2)
+UNION ALL SELECT 'utterance_video', {_DOC} || '/' || UtteranceSequence || '/side.mov', 'video is in the index', 'reject' FROM (SELECT DISTINCT DocumentID, ASLConsultantID, UtteranceSequence FROM good WHERE uid % 3 = 1)
+UNION ALL SELECT 'utterance_media', DocumentID || '/' || (1 - ASLConsultantID) || '/' || uid || '/2', 'known media', 'warn' FROM (SELECT DISTINCT DocumentID, ASLConsultantID, uid FROM good WHERE uid % 3 = 2)
+UNION ALL SELECT 'utterance_token_frame', {_DOC} || '/0/front%20view.mov/' || UtteranceSequence || '/' || pos, 'frame is there', 'reject' FROM (SELECT DISTINCT DocumentID, ASLConsultantID, UtteranceSequence, pos FROM lost)
+UNION ALL SELECT 'utterance_video', 'front%20view.mov', 'one document per video', 'warn' FROM front HAVING count(DISTINCT DocumentID) > 1
+UNION ALL SELECT 'utterance_video', 'front%20view.mov', 'one consultant per video', 'warn' FROM front HAVING count(DISTINCT ASLConsultantID) > 1""")
+def build_rejects(t):
+    """What a job leaves out, with violations of most kinds planted: cut documents, a participant twice, values without a name, a video under two cameras, lost frames."""
+    i = F.col("DocumentID")
+    xml = F.when(i % 10 == 5, F.expr("substring(xml, 1, length(xml) - 30)")).when(i % 7 == 3, F.replace("xml", F.lit("</PARTICIPANTS>"), F.lit('<PARTICIPANT ID="1" NAME="again"/></PARTICIPANTS>'))).when(i % 11 == 2, F.replace("xml", F.lit('NAME="HOLD"'), F.lit('NAME=""'))).otherwise(F.col("xml"))
+    index = t.spark.createDataFrame([("front%20view.mov", 0, 0, "v/a.mov;v/b.mov", "", "", ""), ("side.mov", 1, 1, "v/c.mov", "", "", ""), ("side.mov", 2, 4, "v/c.mov", "", "", "")], schemas.schema("video_index"))
+    last = t.conversations.agg(F.max("turn") * 100 + 100).first()[0] or 0
+    frames = t.spark.range(last).filter("id % 10 != 4").select(F.lit("front view").alias("video"), F.col("id").cast("int").alias("frame"), F.lit("").alias("frame_path"))
+    found = build.build_corpus(_named(documents(t).withColumn("xml", xml)), index, frames, gloss="gloss", fps=1.0)["quarantine"]
+    return found.select(F.col("table").alias("part"), "key", "rule", "severity")
+
+
+@query(f"""SELECT DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename, CAST(f AS INTEGER) AS FrameSequence, 'x/' || CASE CameraPerspective WHEN 0 THEN 'front view' ELSE 'side' END || '/' || f || '.jpg' AS FramePath
+  FROM (SELECT DISTINCT DocumentID, ASLConsultantID, CameraPerspective, TargetVideoFilename FROM {_VIDEO}), (SELECT unnest(range(12)) AS f)""")
+def build_frame_paths(t):
+    """Frames by the stem of the file name, whatever its extension: paths as they are listed."""
+    docs = _named(documents(t).withColumn("xml", F.replace("xml", F.lit("side.mov"), F.lit("side.v2.avi"))))
+    index = t.spark.createDataFrame([("front%20view.mov", 0, 0, "v/a.mov", "", "", ""), ("side.v2.avi", 1, 1, "v/c.mov", "", "", "")], schemas.schema("video_index"))
+    paths = t.spark.range(12).select(F.explode(F.array(F.lit("front view"), F.lit("side.v2"))).alias("v"), F.col("id").cast("string").alias("n")).select(F.format_string("x/%s/%s.jpg", "v", "n").alias("path"))
+    made = build.build_corpus(docs, index, frames_of(paths), gloss="gloss", fps=1.0)["video_frame"]
+    plain = lambda c: F.replace(F.replace(c, F.lit("side.v2.avi"), F.lit("side.mov")), F.lit("side.v2"), F.lit("side"))
+    return made.withColumns({c: plain(F.col(c)) for c in ("TargetVideoFilename", "FramePath")})

@@ -9,6 +9,7 @@ from millrace.operators.aggregates import ordered_list
 from millrace.operators.validate import dangling, differences
 from millrace.plans.registry import Tables, query
 from millrace.sources import annotations as X
+from millrace.sources.positions import errors
 
 #: Words of a turn with their place.
 _WORDS = "(SELECT conv_id, turn, role, unnest(string_split(w, ' ')) AS word, generate_subscripts(string_split(w, ' '), 1) - 1 AS i FROM (SELECT conv_id, turn, role, trim(regexp_replace(text, '[^A-Za-z]+', ' ', 'g')) AS w FROM conversations) WHERE w <> '')"
@@ -128,3 +129,20 @@ def compare_documents(t):
     made = documents(t)
     a, b = (X.shred(X.parse(df)[0]).participant for df in (made, made.withColumn("xml", other)))
     return differences(a, b).select("DocumentID", "side").distinct()
+
+
+#: What is planted by the document's number, and the line (of one tag each, blank lines ahead) and column where it is seen.
+_LINES = f"(SELECT DocumentID, DocumentID % 13 AS ahead, (SELECT count(*) FROM {_TOKENS} x WHERE x.DocumentID = d.DocumentID AND x.i >= 0) AS tokens, count(DISTINCT uid) AS utterances FROM {_TOKENS} d GROUP BY DocumentID)"
+
+
+@query(f"""SELECT DocumentID, cause, element, CAST(line + ahead AS INTEGER) AS line, CAST(col AS INTEGER) AS col FROM {_LINES} JOIN (VALUES
+    (1, 'duplicate participant', 'PARTICIPANT', 5, 0), (2, 'unexpected element', 'STRANGE', 5, 0), (3, 'wrong nesting', 'FIELD', 9, 0), (4, 'duplicate field', 'FIELD', 10, 0)) p(kind, cause, element, line, col) ON DocumentID % 6 = kind
+  UNION ALL SELECT DocumentID, 'unclosed element', 'SIGNSTREAM-DATABASE', CAST(19 + ahead + 9 * utterances + tokens AS INTEGER), 13 FROM {_LINES} WHERE DocumentID % 6 = 5""")
+def xml_error_positions(t):
+    """Where documents of one tag a line break the rules: five kinds of violation, by the document's number."""
+    i, x = F.col("DocumentID"), F.regexp_replace(F.replace("xml", F.lit('<MEDIA-REF ID="2"/>'), F.lit('<MEDIA-REF ID="1"/>')), "><", ">\n<")
+    put = lambda old, new: F.replace(x, F.lit(old), F.lit(new))
+    made = F.when(i % 6 == 1, put("</PARTICIPANTS>", '<PARTICIPANT ID="1" NAME="again"/>\n</PARTICIPANTS>')).when(i % 6 == 2, put("</PARTICIPANTS>", "<STRANGE/>\n</PARTICIPANTS>"))
+    made = made.when(i % 6 == 3, put('<VALUE ID="7" NAME="HOLD"/>\n</FIELD>', '<VALUE ID="7" NAME="HOLD">\n</FIELD>')).when(i % 6 == 4, put('<FIELD ID="2"', '<FIELD ID="1"')).when(i % 6 == 5, F.expr("substring(x, 1, length(x) - 23)")).otherwise(F.col("x"))
+    docs = documents(t).withColumn("x", x).withColumn("xml", F.concat(F.repeat(F.lit("\n"), (i % 13).cast("int")), made))
+    return errors(docs).withColumnRenamed("column", "col")
