@@ -5,7 +5,10 @@ All tables have the columns of ``sources/schemas.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import url_quote
@@ -13,6 +16,7 @@ from millrace.operators import corpus as B
 from millrace.operators import joins as J
 from millrace.operators import keys as K
 from millrace.operators.aggregates import ordered_list
+from millrace.operators.jobs import Stage, run_job
 from millrace.operators.rules import Key, Quarantine, Row
 from millrace.operators.shared import stored
 from millrace.sources import annotations as X
@@ -151,3 +155,22 @@ def build_splits(tables: dict[str, DataFrame], severity: dict[str, str] | None =
         done[f"complete_utterances_{name}"], failed = complete_utterances(df, frames, tables["utterance"], tables["vocabulary"])
         aside.put(failed, f"complete_utterances_{name}", "tokens give the text", ["ASLConsultantID", "TargetVideoFilename", "UtteranceSequence", "CameraPerspective"])
     return _typed(parts | done) | {"quarantine": aside.table(frames)}
+
+
+#: Tables of the two stages of a job, each with what it leaves out.
+CORPUS = ("video_index", "corpus", "consultant", "document_consultant", "utterance", "video", "video_utterance", "utterance_video", "video_segment", "video_frame", "vocabulary", "utterance_token", "utterance_token_frame", "quarantine")
+SPLITS = ("train_assoc", "val", "train", "complete_utterances_train_assoc", "complete_utterances_val", "complete_utterances_train", "quarantine_splits")
+
+
+def corpus_job(spark: SparkSession, folder: str, sources: dict[str, str], read: Callable[[dict[str, str]], tuple[DataFrame, DataFrame, DataFrame]], **how) -> dict:
+    """The whole job into a folder, nineteen tables and two of what was left out; see ``run_job``.
+
+    ``read`` gets the paths ``sources`` and returns documents, video index and frames; ``how`` goes to ``build_corpus``.
+    """
+
+    def splits(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        made = build_splits(tables, how.get("severity"))
+        return {**made, "quarantine_splits": made["quarantine"]}
+
+    stages = [Stage("corpus", CORPUS, lambda _: build_corpus(*read(sources), **how)), Stage("splits", SPLITS, splits)]
+    return run_job(spark, folder, sources, stages, {name: schemas.key(name) for name in schemas.TABLES}, json.dumps(how, sort_keys=True))

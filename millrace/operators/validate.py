@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.shared import stored
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -51,3 +53,34 @@ def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that one table has more often than the other, with ``side``; empty where the tables are equal."""
     b = b.select(*a.columns)
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def digests(tables: dict[str, DataFrame], doc: str) -> DataFrame:
+    """``(doc, table, n, a, b)``: of each document's rows in each table their number and two sums of hashes, whatever their order.
+
+    Sums of parts add up, so they combine before the shuffle and a document with many rows costs no task more than others.
+    """
+    out = None
+    for name, df in sorted(tables.items()):
+        rest = [c for c in sorted(df.columns) if c != doc]
+        total = lambda seed: F.sum(F.xxhash64(F.lit(seed), F.to_json(F.struct(*rest))).cast("decimal(38,0)"))
+        one = df.groupBy(doc).agg(F.count("*").alias("n"), total(1).alias("a"), total(2).alias("b")).select(doc, F.lit(name).alias("table"), "n", "a", "b")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def differing_documents(left: dict[str, DataFrame], right: dict[str, DataFrame], doc: str) -> DataFrame:
+    """``(doc, table)`` where the documents of the two sides differ, one that a side lacks among them; tables go by name, rows are multisets."""
+    a, b = (digests(t, doc).select(doc, "table", F.struct("n", "a", "b").alias(side)) for t, side in ((left, "l"), (right, "r")))
+    return a.join(b, [doc, "table"], "full").filter(~F.col("l").eqNullSafe(F.col("r"))).select(doc, "table")
+
+
+def document_differences(left: dict[str, DataFrame], right: dict[str, DataFrame], doc: str) -> DataFrame:
+    """``(doc, table, side, row)``: rows, as JSON, that one side has more often than the other; only documents that differ are compared by row."""
+    differ, out = stored(differing_documents(left, right, doc), "differ"), None
+    for name in sorted(left):
+        mine = differ.filter(F.col("table") == name).select(doc)
+        text = lambda df: df.join(mine, doc, "left_semi").select(doc, F.to_json(F.struct(*[c for c in sorted(df.columns) if c != doc])).alias("row"))  # noqa: B023, E731
+        one = differences(text(left[name]), text(right[name])).select(doc, F.lit(name).alias("table"), "side", "row")
+        out = one if out is None else out.unionByName(one)
+    return out

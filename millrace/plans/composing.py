@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import build
 from millrace.operators import corpus as B
 from millrace.operators import keys as K
-from millrace.operators.shared import stored
+from millrace.operators.shared import scratch, stored
 from millrace.plans.documents import _TOKENS, documents
 from millrace.plans.registry import query
 from millrace.sources import schemas
@@ -114,13 +114,16 @@ def _named(docs):
     return docs.select(F.format_string("%09d.xml", "DocumentID").alias("Filename"), "xml")
 
 
-def _corpus(t):
-    """The corpus of all conversations: two videos that the index lists, one frame a second."""
-    docs = _named(documents(t))
+def _inputs(t):
+    """All conversations as documents, two videos that the index lists, one frame a second."""
     index = t.spark.createDataFrame([("front%20view.mov", 0, 0, "v/a.mov;v/b.mov", "", "", ""), ("side.mov", 1, 1, "v/c.mov", "", "", "")], schemas.schema("video_index"))
     last = t.conversations.agg(F.max("turn") * 100 + 100).first()[0] or 0
     frames = t.spark.range(last).select(F.explode(F.array(F.lit("front%20view"), F.lit("side"))).alias("video"), F.col("id").cast("int").alias("frame"), F.lit("").alias("frame_path"))
-    return build.build_corpus(docs, index, frames, gloss="gloss", fps=1.0)
+    return _named(documents(t)), index, frames
+
+
+def _corpus(t):
+    return build.build_corpus(*_inputs(t), gloss="gloss", fps=1.0)
 
 
 @query(f"""SELECT DocumentID, ASLConsultantID, UtteranceSequence, CAST(uid * 100000 AS INTEGER) AS StartTime, CAST(uid * 100000 + 99999 AS INTEGER) AS EndTime, string_agg(text, ' ' ORDER BY pos) FILTER (WHERE fid = 1) AS Tokens,
@@ -238,3 +241,32 @@ def build_frame_paths(t):
     made = build.build_corpus(docs, index, frames_of(paths), gloss="gloss", fps=1.0)["video_frame"]
     plain = lambda c: F.replace(F.replace(c, F.lit("side.v2.avi"), F.lit("side.mov")), F.lit("side.v2"), F.lit("side"))
     return made.withColumns({c: plain(F.col(c)) for c in ("TargetVideoFilename", "FramePath")})
+
+
+_COUNTED = {
+    "video_index": "SELECT * FROM range(2)", "corpus": f"SELECT DISTINCT DocumentID FROM {_IDS}", "consultant": "SELECT * FROM range(2)", "document_consultant": f"SELECT DISTINCT DocumentID, k FROM {_IDS}, range(2) r(k)",
+    "utterance": f"SELECT DISTINCT DocumentID, ASLConsultantID, uid FROM {_IDS}", "video": f"SELECT DISTINCT DocumentID, ASLConsultantID, CameraPerspective FROM {_VIDEO}", "video_utterance": f"SELECT * FROM {_VIDEO}", "utterance_video": f"SELECT * FROM {_VIDEO}",
+    "video_segment": f"SELECT DISTINCT DocumentID, ASLConsultantID, CameraPerspective, k FROM {_VIDEO}, range(2) r(k) WHERE k = 0 OR CameraPerspective = 0",
+    "video_frame": f"SELECT * FROM (SELECT DISTINCT DocumentID, ASLConsultantID, CameraPerspective FROM {_VIDEO}), (SELECT unnest(range((SELECT max(turn) * 100 + 100 FROM conversations))))",
+    "vocabulary": f"SELECT DISTINCT text FROM {_TOKENS} WHERE fid = 1", "utterance_token": f"SELECT * FROM {_GLOSS}", "utterance_token_frame": f"SELECT DISTINCT * FROM {_TOKEN_FRAMES}",
+} | {
+    name: f"SELECT DISTINCT TokenID, CameraPerspective, ASLConsultantID, TargetVideoFilename, UtteranceSequence, TokenSequence, FrameSequence FROM {_TOKEN_FRAMES} JOIN (SELECT * FROM {_PARTS} WHERE {where}) USING (ASLConsultantID, TargetVideoFilename, UtteranceSequence, CameraPerspective, TokenSequence, TokenID)"
+    for name, where in (("train_assoc", "NOT one AND NOT val"), ("val", "NOT one AND val"), ("train", "one OR NOT val"))
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS part, count(*) AS n_rows FROM ({sql})" for name, sql in _COUNTED.items()))
+def job_tables(t):
+    """The whole job into a folder, then asked for again: rows of its tables as the manifest has them."""
+    path, folder = scratch(t.spark, "inputs"), scratch(t.spark, "job")
+    docs, index, frames = _inputs(t)
+    sources = {name: f"{path}/{name}" for name in ("docs", "index", "frames")}
+    for df, to in zip((docs, index, frames), sources.values()):
+        df.write.parquet(to)
+    read = lambda s: tuple(t.spark.read.parquet(p) for p in s.values())
+    made = build.corpus_job(t.spark, folder, sources, read, gloss="gloss", fps=1.0)
+    again = build.corpus_job(t.spark, folder, sources, None, gloss="gloss", fps=1.0)  # nothing is read
+    if again != made:
+        raise AssertionError("the second run isn't the first")
+    rows = [(name, m["rows"]) for name, m in made["tables"].items() if name in _COUNTED]
+    return t.spark.createDataFrame(rows, "part string, n_rows long")

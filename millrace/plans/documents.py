@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import ordered_list
-from millrace.operators.validate import dangling, differences
+from millrace.operators.validate import dangling, differences, document_differences
 from millrace.plans.registry import Tables, query
 from millrace.sources import annotations as X
 from millrace.sources.positions import errors
@@ -146,3 +146,19 @@ def xml_error_positions(t):
     made = made.when(i % 6 == 3, put('<VALUE ID="7" NAME="HOLD"/>\n</FIELD>', '<VALUE ID="7" NAME="HOLD">\n</FIELD>')).when(i % 6 == 4, put('<FIELD ID="2"', '<FIELD ID="1"')).when(i % 6 == 5, F.expr("substring(x, 1, length(x) - 23)")).otherwise(F.col("x"))
     docs = documents(t).withColumn("x", x).withColumn("xml", F.concat(F.repeat(F.lit("\n"), (i % 13).cast("int")), made))
     return errors(docs).withColumnRenamed("column", "col")
+
+
+@query(f"""WITH t AS (SELECT DocumentID, count(*) FILTER (WHERE i % 6 = 0) AS held, count(DISTINCT uid) FILTER (WHERE uid % 3 = 1) AS side FROM {_TOKENS} GROUP BY 1)
+  SELECT DocumentID, part, unnest(['left', 'right']) AS side, n AS n_rows FROM (
+    SELECT DocumentID, 'participant' AS part, 1 AS n FROM t WHERE DocumentID % 5 = 1 UNION ALL SELECT DocumentID, 'field', 1 FROM t WHERE DocumentID % 5 = 2
+    UNION ALL SELECT DocumentID, 'field_value', 2 FROM t WHERE DocumentID % 5 = 3 UNION ALL SELECT DocumentID, 'token', held FROM t WHERE DocumentID % 5 = 3
+    UNION ALL SELECT DocumentID, 'media', 1 FROM t WHERE DocumentID % 5 = 4 UNION ALL SELECT DocumentID, 'utterance_media', side FROM t WHERE DocumentID % 5 = 4 AND side > 0)""")
+def compare_whole_documents(t):
+    """Documents against copies that differ in one thing or none, by the document's number: rows that differ, by table and side."""
+    i, x = F.col("DocumentID"), F.col("xml")
+    put = lambda old, new: F.replace(x, F.lit(old), F.lit(new))
+    other = F.when(i % 5 == 1, put('AGE="42 years"', 'AGE="43 years"')).when(i % 5 == 2, put('LABEL="english"', 'LABEL="german"')).when(i % 5 == 3, put('NAME="HOLD"', 'NAME="REST"'))
+    other = other.when(i % 5 == 4, F.replace(put('MEDIA-FILE ID="1"', 'MEDIA-FILE ID="4"'), F.lit('MEDIA-REF ID="1"'), F.lit('MEDIA-REF ID="4"'))).otherwise(x)
+    made = documents(t)
+    a, b = (vars(X.shred(X.parse(df)[0])) for df in (made, made.withColumn("xml", other)))
+    return document_differences(a, b, "DocumentID").groupBy("DocumentID", F.col("table").alias("part"), "side").agg(F.count("*").alias("n_rows"))
