@@ -7,12 +7,15 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as A
+from millrace.operators import combine
 from millrace.operators import keys as K
 from millrace.operators import split as S
+from millrace.operators.aggregates import ordered_list
 from millrace.operators.corpus import corpus_index
 from millrace.operators.shared import scratch
 from millrace.plans.registry import query
 from millrace.sources import files, schemas
+from millrace.streaming.keylog import log_ids, read_keys
 
 
 @query("SELECT o_custkey, o_orderpriority, o_orderkey FROM orders WHERE (o_custkey, o_orderpriority) IN (SELECT o_custkey, o_orderpriority FROM orders GROUP BY 1, 2 HAVING count(*) > 1)")
@@ -181,3 +184,34 @@ def batch_export(t):
     path = scratch(t.spark, "batches")
     files.write_batches(t.orders.select("o_orderkey"), path, "o_orderkey", 32, "batch")
     return t.spark.read.parquet(path).select("o_orderkey", "batch")
+
+
+@query("""WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY md5('feed2' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS i FROM orders)
+  SELECT i // 50 AS batch, count(*) AS n_rows, string_agg(o_orderkey, ',' ORDER BY i) AS keys, 1 AS n_files FROM o WHERE i // 50 >= 3 GROUP BY 1""")
+def batch_feed(t):
+    """The second epoch of a batch feed, resumed at its fourth batch: rows of each in order, all in one file."""
+    path = scratch(t.spark, "feed")
+    files.write_batches(t.orders.select("o_orderkey"), path, "o_orderkey", 50, "feed", epoch=2)
+    rows = files.resume_batches(t.spark, path, 3).withColumn("file", F.col("_metadata.file_name"))
+    return rows.groupBy("batch").agg(F.count("*").alias("n_rows"), F.array_join(ordered_list("place", F.col("o_orderkey").cast("string")), ",").alias("keys"), F.count_distinct("file").cast("int").alias("n_files"))
+
+
+@query("""WITH v AS (SELECT DISTINCT user_id, CAST(epoch_us(ts) // 3600000000 AS BIGINT) AS h FROM events), g AS (SELECT *, h - row_number() OVER (PARTITION BY user_id ORDER BY h) AS island FROM v)
+  SELECT user_id, min(h) AS first, max(h) AS last FROM g GROUP BY user_id, island""")
+def combine_stretches(t):
+    """Stretches of hours without a gap in which users were active, by a combiner of two phases."""
+    hours = t.events.select("user_id", F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 3_600_000).alias("h"))
+    found = combine.combined(hours, ["user_id"], ["h"], combine.Stretches(), "spans", combine.Stretches.schema)
+    return found.select("user_id", F.inline("spans"))
+
+
+@query("""WITH a AS (SELECT c_nationkey, c_mktsegment, min(c_custkey % 3) AS batch FROM customer GROUP BY 1, 2)
+  SELECT c_nationkey, c_mktsegment, row_number() OVER (ORDER BY batch, c_nationkey, c_mktsegment) - 1 AS id FROM a""")
+def key_log_stream(t):
+    """Ids of values as they arrive in three batches of a stream, from the log of its keys."""
+    path = scratch(t.spark, "keys")
+    cols = ["c_nationkey", "c_mktsegment"]
+    for n in range(3):
+        t.customer.filter(F.col("c_custkey") % 3 == n).select(*cols).write.mode("append").parquet(f"{path}/in")
+        log_ids(t.spark.readStream.schema(t.customer.select(*cols).schema).parquet(f"{path}/in"), cols, "id", f"{path}/log", f"{path}/state", buckets=8, compact=3).awaitTermination()
+    return read_keys(t.spark, cols, "id", f"{path}/log")

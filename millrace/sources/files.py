@@ -68,7 +68,30 @@ def write_table(df: DataFrame, path: str, key: list[str], mode: str = "errorifex
     df.distinct().orderBy(*key).write.mode(mode).parquet(path)
 
 
-def write_batches(df: DataFrame, path: str, key: str, size: int, seed: str = "", groups: int = 16) -> None:
-    """Rows in a reproducible random order with their ``batch`` of ``size`` rows, as Parquet by groups of batches."""
-    placed = dense_id(df.withColumn("_r", shuffled(F.col(key), seed)), ["_r", key], "_i").withColumn("batch", F.floor(F.col("_i") / size)).drop("_r", "_i")
-    placed.withColumn("batch_group", F.col("batch") % groups).write.partitionBy("batch_group").parquet(path)
+def write_batches(df: DataFrame, path: str, key: str, size: int, seed: str = "", epoch: int = 0) -> None:
+    """Rows in a reproducible random order, another for every ``epoch``, with their ``batch`` of ``size`` rows and ``place`` in it, as Parquet.
+
+    Batches are dealt by range and lie whole, one after the other, in one file each; ``<path>.index`` tells for every batch its
+    file, its first row there and its number of rows.
+    """
+    drawn = shuffled(F.col(key), f"{seed}{epoch or ''}")
+    placed = dense_id(df.withColumn("_r", drawn), ["_r", key], "_i")
+    placed = placed.withColumns({"batch": F.floor(F.col("_i") / size), "place": (F.col("_i") % size).cast("int")}).drop("_r", "_i")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed.repartitionByRange(n, "batch").sortWithinPartitions("batch", "place").write.parquet(path)
+    files = df.sparkSession.read.parquet(path).select("batch", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    index = files.groupBy("batch").agg(F.min("file").alias("file"), F.min("row").alias("first_row"), F.count("*").alias("n_rows"))
+    index.orderBy("batch").coalesce(1 + n // 100).write.parquet(f"{path}.index")
+
+
+def read_batch(spark: SparkSession, path: str, batch: int) -> DataFrame:
+    """One batch in order, from its file alone; a batch that isn't there is empty."""
+    at = spark.read.parquet(f"{path}.index").filter(F.col("batch") == batch).first()
+    rows = spark.read.parquet(f"{path}/{at['file']}" if at else path).filter(F.col("batch") == batch)
+    return rows.sort("place")
+
+
+def resume_batches(spark: SparkSession, path: str, batch: int) -> DataFrame:
+    """All rows from a batch on; only the files that hold them are opened, and of these row groups by their statistics."""
+    names = [r["file"] for r in spark.read.parquet(f"{path}.index").filter(F.col("batch") >= batch).select("file").distinct().collect()]
+    return spark.read.parquet(*[f"{path}/{n}" for n in names] or [path]).filter(F.col("batch") >= batch)
