@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import url_quote
 from millrace.operators import build
 from millrace.operators import corpus as B
 from millrace.operators import keys as K
@@ -11,7 +12,7 @@ from millrace.operators.shared import scratch, stored
 from millrace.plans.documents import _TOKENS, documents
 from millrace.plans.registry import query
 from millrace.sources import schemas
-from millrace.sources.files import frames_of
+from millrace.sources.files import frames_of, list_frame_folders
 
 
 @query("SELECT row_number() OVER (ORDER BY url, page_id) - 1 AS DocumentID, url AS Filename, base64(encode(html)) AS XML_B64, length(base64(encode(html))) AS LEN FROM pages")
@@ -270,3 +271,27 @@ def job_tables(t):
         raise AssertionError("the second run isn't the first")
     rows = [(name, m["rows"]) for name, m in made["tables"].items() if name in _COUNTED]
     return t.spark.createDataFrame(rows, "part string, n_rows long")
+
+
+@query("""SELECT v.video || '.' || e AS TargetVideoFilename, row_number() OVER (PARTITION BY v.video, e ORDER BY s_suppkey) - 1 AS FrameSequence, v.video || '/' || s_suppkey || '.jpg' AS FramePath
+  FROM (SELECT 'video ' || s_nationkey || '.x' AS video, s_suppkey FROM supplier) v, (VALUES ('avi'), ('mp4')) x(e)""")
+def frame_folders(t):
+    """Frames of files in folders, a folder a video, listed by tasks and joined to videos by the stem of their names, with a dot and a blank in it."""
+    path = scratch(t.spark, "frames")
+    video = F.concat(F.lit("video "), F.col("s_nationkey").cast("string"), F.lit(".x"))
+
+    def touch(batches):
+        from pyarrow.fs import FileSystem
+
+        for b in batches:
+            for name, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                store, at = FileSystem.from_uri(path)
+                store.create_dir(f"{at}/{name}")
+                store.open_output_stream(f"{at}/{name}/{n}.jpg").close()
+            yield b
+
+    made = t.supplier.select(video.alias("video"), "s_suppkey").mapInArrow(touch, "video string, s_suppkey long")
+    videos = made.select("video").distinct().select(F.explode(F.array(F.concat("video", F.lit(".avi")), F.concat("video", F.lit(".mp4")))).alias("name"))
+    videos = stored(videos.select(url_quote(F.col("name")).alias("TargetVideoFilename")))
+    found = B.frames_of_videos(videos, list_frame_folders(t.spark, path))
+    return found.select(F.url_decode("TargetVideoFilename").alias("TargetVideoFilename"), "FrameSequence", F.replace("FramePath", F.lit(f"{path}/"), F.lit("")).alias("FramePath"))

@@ -162,3 +162,21 @@ def compare_whole_documents(t):
     made = documents(t)
     a, b = (vars(X.shred(X.parse(df)[0])) for df in (made, made.withColumn("xml", other)))
     return document_differences(a, b, "DocumentID").groupBy("DocumentID", F.col("table").alias("part"), "side").agg(F.count("*").alias("n_rows"))
+
+
+@query(f"""WITH t AS (SELECT DISTINCT DocumentID, uid, pid, fid FROM {_TOKENS})
+  SELECT DISTINCT DocumentID, 'unknown media' AS problem, '2' AS id FROM t WHERE uid % 3 = 2
+  UNION ALL SELECT DISTINCT DocumentID, problem, id FROM t JOIN (VALUES (1, 'duplicate participant', '1'), (2, 'duplicate field', '2'), (3, 'duplicate field value', '2/7'), (4, 'duplicate media', '1')) p(kind, problem, id) ON DocumentID % 8 = kind
+  UNION ALL SELECT DISTINCT DocumentID, 'duplicate utterance', '0/' || uid FROM t WHERE DocumentID % 8 = 5 AND pid = 0
+  UNION ALL SELECT DISTINCT DocumentID, 'unknown field', '2' FROM t WHERE DocumentID % 8 = 6 AND fid = 2
+  UNION ALL SELECT DISTINCT DocumentID, 'unknown participant', '0' FROM t WHERE DocumentID % 8 = 7 AND pid = 0""")
+def validate_all_problems(t):
+    """All eight kinds of broken integrity, by the document's number; every document with an utterance of its third kind of medium names an unknown one."""
+    x = F.col("xml")
+    put = [
+        ("</PARTICIPANTS>", '<PARTICIPANT ID="1" NAME="again"/></PARTICIPANTS>'), ("</CODING-SCHEME>", '<FIELD ID="2" NAME="again"/></CODING-SCHEME>'), ('LABEL="english">', 'LABEL="english"><VALUE ID="7" NAME="HOLD"/>'),
+        ("</MEDIA-FILES>", '<MEDIA-FILE ID="1" LEGACY-PATH="x:y"/></MEDIA-FILES>'), ('PARTICIPANT-ID="0">', 'PARTICIPANT-ID="0"></SEGMENT><SEGMENT PARTICIPANT-ID="0">'), ('FIELD ID="2"', 'FIELD ID="3"'), ('PARTICIPANT ID="0"', 'PARTICIPANT ID="5"'),
+    ]
+    for kind, (old, new) in enumerate(put, 1):
+        x = F.when(F.col("DocumentID") % 8 == kind, F.replace("xml", F.lit(old), F.lit(new))).otherwise(x)
+    return X.problems(X.shred(X.parse(documents(t).withColumn("xml", x))[0]))

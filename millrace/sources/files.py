@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.functions.columns import joined_lines, last_part, url_quote
+from millrace.operators.jobs import Folder
 from millrace.operators.keys import dense_id, position
 from millrace.operators.shared import complete
 from millrace.operators.split import shuffled
@@ -48,6 +54,28 @@ def list_frames(spark: SparkSession, path: str) -> DataFrame:
     return frames_of(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jpg").load(path).select("path"))
 
 
+def list_frame_folders(spark: SparkSession, path: str) -> DataFrame:
+    """The same, listed by tasks: the driver reads the names of the videos' folders, each task the files of its folders.
+
+    ``path`` must be one that tasks can open by its URI (a mounted folder, or a store that Arrow knows); ``list_frames`` goes
+    through Spark's own listing, which the driver holds.  Folders without frames and other files have no rows.
+    """
+    names = spark.createDataFrame([(n,) for n in Folder(spark, path).names("")], "video string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = FileSystem.from_uri(path)
+        for b in batches:
+            for video in b.column(0).to_pylist():
+                at = f"{base}/{video}"
+                files = store.get_file_info(FileSelector(at)) if store.get_file_info(at).type == FileType.Directory else []
+                found = [f for f in files if re.fullmatch(r"\d+\.jpg", f.base_name)]
+                found.sort(key=lambda f: int(f.base_name[:-4]))
+                yield pa.RecordBatch.from_arrays([pa.array([video] * len(found), pa.string()), pa.array(range(len(found)), pa.int32()), pa.array([f"{path}/{video}/{f.base_name}" for f in found], pa.string())], names=["video", "frame", "frame_path"])
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return names.repartition(tasks, "video").mapInArrow(run, "video string, frame int, frame_path string")
+
+
 def frames_of(paths: DataFrame) -> DataFrame:
     """The same for a table of paths."""
     found = paths.select(F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", 1).alias("video"), F.regexp_extract("path", r"([^/]+)/(\d+)\.jpg$", 2).try_cast("int").alias("_n"), F.col("path").alias("frame_path"))

@@ -109,3 +109,17 @@ def test_only_states_are_shuffled(spark):
     assert [tuple(x) for x in out.first().spans] == [(0, 99_999)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("FlatMapGroupsInArrow") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_frame_folders(spark, tmp_path):
+    """Frames go by number, not by name; other files and empty folders have none; the same as Spark's own listing gives."""
+    for video, names in (("a b.x", ["10.jpg", "9.jpg", "1.jpg", "note.txt", "x1.jpg"]), ("none", []), ("c", ["0.jpg"])):
+        (tmp_path / "f" / video).mkdir(parents=True)
+        for n in names:
+            (tmp_path / "f" / video / n).write_text("")
+    (tmp_path / "f" / "stray.jpg").write_text("")
+    got = sorted(tuple(r) for r in files.list_frame_folders(spark, f"{tmp_path}/f").collect())
+    assert got == [("a b.x", i, f"{tmp_path}/f/a b.x/{n}.jpg") for i, n in enumerate((1, 9, 10))] + [("c", 0, f"{tmp_path}/f/c/0.jpg")]
+    assert sorted(tuple(r) for r in files.list_frame_folders(spark, f"file://{tmp_path}/f").select("video", "frame").collect()) == [r[:2] for r in got]
+    (tmp_path / "g").mkdir()
+    assert files.list_frame_folders(spark, f"{tmp_path}/g").count() == 0
