@@ -26,19 +26,33 @@ KNOWN = [
 ]
 #: Spellings that count as the same (fixed values).
 SPELLINGS = [("licence", "license"), ("organisation", "organization"), ("favour", "favor"), ("authoris", "authoriz"), ("recognis", "recogniz"), ("acknowledgement", "acknowledgment"), ("copyright owner", "copyright holder"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("non commercial", "noncommercial"), ("http ", "https ")]
+#: Other titles under which licences go (fixed values); each is known without a title, too.
+TITLES = {
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"], "ISC": ["The ISC License", "ISC License (ISC)"], "MIT-0": ["The MIT-0 License"], "0BSD": ["Zero-Clause BSD"],
+    "BSD-2-Clause": ["The 2-Clause BSD License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "FreeBSD License"],
+    "BSD-3-Clause": ["The 3-Clause BSD License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "Modified BSD License"],
+    "Zlib": ["The zlib License", "zlib/libpng License", "The zlib/libpng License"], "Unlicense": ["Unlicense"], "BSL-1.0": ["Boost Software License 1.0", "Boost Software License, Version 1.0"],
+}
+#: Marks of comments before a line, and lines that name a licence for machines.
+COMMENT = r"\n[ \t]*(?:(?:[*#;%!/<>|]+|--+|dnl\b|rem\b)[ \t]*){1,4}"
+SPDX = r"\n[^\n]*\bspdx-(?:license-identifier|filecopyrighttext)[ \t]*:[^\n]*"
 #: A line that goes on about copyright ("copyright notice and this permission notice ...") belongs to the line before it.
 BODY = r"\n([ \t]*copyright[ \t]+(?:(?:notice|holder|owner|law|license|licence|interest|statement|protection|permission)s?|and|or|in|is|of|to|as)\b)"
 #: A notice ends where the licence begins in the same line.
 NOTICE = r"(\n[ \t]*(?:copyright\b|©|\(c\))[^\n]{0,300}?[ \t])((?:permission is hereby|permission to use|redistribution and use|licensed under|this software is|this program is|this source code|everyone is permitted)\b)"
-COPYRIGHT = r"\n[ \t]*(?:copyright\b|©|\(c\)|all rights reserved)[^\n]*"
+#: A notice whose line ends with a comma or an "and" goes on in the next one.
+COPYRIGHT = r"\n[ \t]*(?:copyright\b|©|\(c\)|all rights reserved)(?:[^\n]*(?:,|\band|&)[ \t]*\n){0,5}[^\n]*"
 OTHER = r"[^\p{L}\p{N}]+"
 #: Known licences are broadcast up to this many rows.
 BROADCAST_ROWS = 100_000
 
 
 def canonical(text: Column) -> Column:
-    """Lower case; copyright notices go, lines of the licence that begin with the word don't; other characters than letters and digits become one space; spellings unify."""
-    out = F.regexp_replace(F.concat(F.lit("\n"), F.lower(F.coalesce(text, F.lit("")))), BODY, " $1")
+    """Lower case; marks of comments, machine-readable licence lines and copyright notices go, lines of the licence that begin with the word don't; other characters than letters and digits become one space; spellings unify."""
+    out = F.concat(F.lit("\n"), F.lower(F.coalesce(text, F.lit(""))))
+    for pattern in (COMMENT, SPDX):
+        out = F.regexp_replace(out, pattern, "\n")
+    out = F.regexp_replace(out, BODY, " $1")
     out = F.regexp_replace(F.regexp_replace(out, NOTICE, "$1\n$2"), COPYRIGHT, "\n")
     out = F.regexp_replace(out, OTHER, " ")
     for a, b in SPELLINGS:
@@ -55,10 +69,14 @@ def digests(texts: DataFrame) -> DataFrame:
     return texts.select("license_id", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
+def titled() -> list[tuple[str, str]]:
+    """The built-in texts, each without a title and under each of its titles."""
+    return [(i, x) for i, title, body in KNOWN for x in dict.fromkeys((body, *[f"{t}\n\n{body}" for t in (title, *TITLES.get(i, []))]))]
+
+
 def known_licences(spark) -> DataFrame:
-    """The built-in list, each with and without its title."""
-    rows = [(i, x) for i, title, body in KNOWN for x in dict.fromkeys((body, f"{title}\n\n{body}"))]
-    return digests(spark.createDataFrame(rows, "license_id string, text string"))
+    """The built-in list."""
+    return digests(spark.createDataFrame(titled(), "license_id string, text string"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,7 +97,10 @@ def oracle() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def sql(text: str) -> str:
-        out = f"regexp_replace(chr(10) || lower(coalesce({text}, '')), {quote(BODY)}, ' \\1', 'g')"
+        out = f"chr(10) || lower(coalesce({text}, ''))"
+        for pattern in (COMMENT, SPDX):
+            out = f"regexp_replace({out}, {quote(pattern)}, chr(10), 'g')"
+        out = f"regexp_replace({out}, {quote(BODY)}, ' \\1', 'g')"
         out = f"regexp_replace({out}, {quote(NOTICE)}, '\\1' || chr(10) || '\\2', 'g')"
         out = f"regexp_replace({out}, {quote(COPYRIGHT)}, chr(10), 'g')"
         out = f"regexp_replace({out}, {quote(OTHER)}, ' ', 'g')"
@@ -87,5 +108,5 @@ def oracle() -> str:
             out = f"replace({out}, {quote(a)}, {quote(b)})"
         return f"sha256(trim({out}))"
 
-    rows = ", ".join(f"({quote(i)}, {quote(x)})" for i, title, body in KNOWN for x in dict.fromkeys((body, f"{title}\n\n{body}")))
+    rows = ", ".join(f"({quote(i)}, {quote(x)})" for i, x in titled())
     return f"WITH k AS (SELECT {sql('text')} AS digest, min(id) AS license_id FROM (VALUES {rows}) v(id, text) GROUP BY 1), d AS (SELECT doc_id, {sql('text')} AS digest FROM documents) SELECT doc_id, d.digest, license_id FROM d LEFT JOIN k ON d.digest = k.digest"

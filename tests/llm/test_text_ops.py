@@ -236,3 +236,36 @@ def test_skipped_merges_follow_the_rate():
     some = sum(len(p.segment(" " + w, 0.1, k)) for w in words for k in range(200)) / 200
     every = sum(len(p.segment(" " + w, 1.0, 1)) for w in words)
     assert whole < some < every == sum(4 * (len(w) + 1) for w in words)
+
+
+def licence_files():
+    """``(text, licence)``: the same licences as they stand in files: commented out, under other titles, with notices of several lines."""
+    out = []
+    for i, title, body in licences.KNOWN:
+        lines = textwrap.wrap(body, 72)
+        notice = ["Copyright (c) 1999-2024 Some One, Some Two and", "    Some Three <three@example.org>,", "    The Authors", "All rights reserved."]
+        for t in (None, title, *licences.TITLES.get(i, [])):
+            plain = [*([t, ""] if t else []), *notice, "", *lines]
+            out += [("\n".join(plain), i), ("/*\n" + "\n".join(f" * {x}" for x in plain) + "\n */\n", i), ("\n".join(f"# {x}" for x in plain), i), ("\n".join(f"// {x}" for x in plain) + "\n//\n// SPDX-License-Identifier: " + i, i)]
+    out += [("Copyright (c) 2020 Me,\nYou.\n\nSome other text.", None), (licences.KNOWN[0][2] + "\n\nBut not on Sundays.", None), ("Copyright 2020 X\nNo use on Sundays.\n\n" + licences.KNOWN[0][2], None)]
+    return out
+
+
+def test_licences_in_files_and_in_sql(spark):
+    """All are found, nothing else is, and the query's SQL finds the same."""
+    import duckdb
+    import pandas as pd
+
+    rows = [(n, t) for n, (t, _) in enumerate(licence_files())]
+    want = {n: i for n, (_, i) in enumerate(licence_files())}
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license_id for r in got} == want and sum(i is not None for i in want.values()) > 100
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    assert sorted((r.doc_id, r.digest, r.license_id) for r in got if r.license_id) == sorted(x for x in db.sql(f"select doc_id, digest, license_id from ({licences.oracle()}) where license_id is not null").fetchall())
+
+
+def test_long_lines_of_marks(spark):
+    """Very long texts of comment marks, or of lines that end with commas, are normalised, too."""
+    rows = [(1, "# " * 200_000), (2, "copyright a,\n" * 100_000), (3, "\n" + "#" * 300_000 + "\nMIT"), (4, "x, and\n" * 200_000)]
+    assert [r.license_id for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [None] * 4
