@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import written
 
-#: 64 bits in six blocks: within radius 17 some block differs in at most two bits (17 < 6 * 3).
-BLOCKS, RADIUS, FLIPS = 6, 17, 2
-#: A pair of windows at similarity 0.8 differs in 10 bits on average (standard deviation 3).
+#: 64 bits in six blocks: within radius 23 some block differs in at most three bits (23 < 6 * 4).
+BLOCKS, RADIUS, FLIPS = 6, 23, 3
+#: A pair of windows at similarity 0.8 differs in 10 bits on average (standard deviation 3): the radius is four deviations off.
 SHINGLE, SIMILARITY = 5, 0.8
 #: Rows of the item shingle table up to which it is broadcast (about 40 MB); beyond, a shuffle join does the same.
 BROADCAST_ROWS = 1_000_000
@@ -101,22 +101,24 @@ def _matches(src: DataFrame, items: DataFrame, k: int) -> DataFrame:
     at = src.join(places, F.col("d").eqNullSafe(F.col("e")) & (F.col("r") == F.col("f"))).select("d", shingles(F.col("wh"), k).alias("all"), "w")
     at = at.select("d", "all", F.explode("w").alias("w"))
     at = at.select("d", F.col("w.start").alias("start"), F.col("w.n").alias("n"), F.slice("all", F.col("w.start") + 1, F.col("w.width") - k + 1).alias("ws"))
-    at = at.withColumn("fp", simhash("ws"))
+    at = written(at.withColumns({"fp": simhash("ws"), "u": F.xxhash64("ws")}), "prints")
 
+    # Fingerprints meet without their windows, each once, however many windows have it.
     blocks = _blocks()
     near = items.select("item_id", "n", F.col("fp").alias("ifp"), F.explode(F.array(*[F.struct(F.lit(i).alias("b"), F.lit(m[0]).alias("m"), F.array(*map(F.lit, m[1:])).alias("x")) for i, m in enumerate(blocks)])).alias("s"))
     near = near.select("item_id", "n", "ifp", F.col("s.b").alias("b"), F.explode(F.transform("s.x", lambda x: F.col("ifp").bitwiseAND(F.col("s.m")).bitwiseXOR(x))).alias("key"))
-    probes = at.select("*", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m[0])) for m in blocks])).alias("b", "key"))
-    pairs = probes.join(near, ["n", "b", "key"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-    pairs = pairs.withColumn("u", F.xxhash64("ws")).groupBy("d", "start", "n", "item_id", "u").agg(F.first("ws").alias("ws"))
+    probes = at.select("n", "fp").distinct().select("*", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m[0])) for m in blocks])).alias("b", "key"))
+    close = probes.join(near, ["n", "b", "key"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select("n", "fp", "item_id").distinct()
 
-    one = pairs.select("d", "start", "n", "item_id", "u", F.size("ws").alias("mw"), F.explode("ws").alias("h"))
-    one = one.groupBy("d", "start", "n", "item_id", "u", "mw", "h").agg(F.count("*").alias("cw"))
+    # Windows of the same words are compared once.
+    texts = at.join(close.select("n", "fp").distinct(), ["n", "fp"], "left_semi").groupBy("n", "fp", "u").agg(F.first("ws").alias("ws")).join(close, ["n", "fp"])
+    one = texts.select("n", "item_id", "u", F.size("ws").alias("mw"), F.explode("ws").alias("h")).groupBy("n", "item_id", "u", "mw", "h").agg(F.count("*").alias("cw"))
     ref = items.select("item_id", F.size("sh").alias("mi"), F.xxhash64("sh").alias("v"), F.explode("sh").alias("h")).groupBy("item_id", "v", "mi", "h").agg(F.count("*").alias("ci"))
     both = one.join(ref.withColumnRenamed("item_id", "j"), F.col("item_id").eqNullSafe(F.col("j")) & (one["h"] == ref["h"]))
-    both = both.groupBy("d", "start", "n", "item_id", "u", "v", "mw", "mi").agg(F.sum(F.least("cw", "ci")).alias("common"))
-    sim = F.col("common") / (F.col("mw") + F.col("mi") - F.col("common"))
-    return both.select("d", "item_id", "start", "n", sim.alias("similarity")).filter(F.col("similarity") >= SIMILARITY)
+    both = both.groupBy("n", "item_id", "u", "v", "mw", "mi").agg(F.sum(F.least("cw", "ci")).alias("common"))
+    sim = both.select("n", "item_id", "u", (F.col("common") / (F.col("mw") + F.col("mi") - F.col("common"))).alias("similarity"))
+    sim = written(sim.groupBy("n", "item_id", "u").agg(F.max("similarity").alias("similarity")).filter(F.col("similarity") >= SIMILARITY), "similar")
+    return at.select("d", "start", "n", "u").join(sim, ["n", "u"]).select("d", "item_id", "start", "n", "similarity")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
