@@ -19,7 +19,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_twin(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         c.sql(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
     text = lambda df: sorted(tuple(map(str, r)) for r in df[sorted(df.columns)].itertuples(index=False))
     assert text(QUERIES[name](spark, FOLDER).toPandas().astype(object)) == text(c.sql(ORACLE[name]).df().astype(object).where(lambda x: x.notna(), None))
