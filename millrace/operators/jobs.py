@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.shared import discarding
+
 Tables = dict[str, DataFrame]
 
 
@@ -96,7 +98,7 @@ def run_job(spark: SparkSession, folder: str, sources: dict[str, str], stages: l
 
     The manifest has the run's ``fingerprint``, and ``rows`` and ``digest`` of each table.  Where it is of these sources, nothing
     else is read.  A run that was ended goes on at the first table without its mark; a stage whose tables are all there
-    isn't called again.  Readers see the tables of the last whole run until the next one is; then the old run is deleted.  One job at a
+    isn't called again.  Intermediate tables of a stage are deleted when its tables are written.  Readers see the tables of the last whole run until the next one is; then the old run is deleted.  One job at a
     time may write a folder.
     """
     home, now = Folder(spark, folder), fingerprint(spark, sources, version)
@@ -107,14 +109,15 @@ def run_job(spark: SparkSession, folder: str, sources: dict[str, str], stages: l
     tables: Tables = {}
     for stage in stages:
         marks = {name: home.read(f"{run}/{name}.json") for name in stage.tables}
-        made = stage.make(dict(tables)) if None in marks.values() else {}
-        for name in stage.tables:
-            path = f"{folder}/{run}/{name}"
-            if marks[name] is None:
-                marks[name] = json.dumps(write_observed(made[name], path, keys.get(name) or made[name].columns))
-                home.write(f"{run}/{name}.json", marks[name])
-            done[name] = json.loads(marks[name])
-            tables[name] = spark.read.parquet(path)
+        with discarding(spark):
+            made = stage.make(dict(tables)) if None in marks.values() else {}
+            for name in stage.tables:
+                path = f"{folder}/{run}/{name}"
+                if marks[name] is None:
+                    marks[name] = json.dumps(write_observed(made[name], path, keys.get(name) or made[name].columns))
+                    home.write(f"{run}/{name}.json", marks[name])
+                done[name] = json.loads(marks[name])
+                tables[name] = spark.read.parquet(path)
     manifest = {"fingerprint": now, "tables": done}
     home.write("manifest.json", json.dumps(manifest))
     for old in home.names("runs"):

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +32,29 @@ def complete(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
+#: Intermediate tables of this process that nobody has deleted, in the order they were written.
+_written: list[str] = []
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that ``stored`` writes inside are deleted at the end, also after an error.
+
+    For work whose results are written inside: a DataFrame that is read later may still need them.
+    """
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        for path in _written[mark:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _written[mark:]
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, a lost executor costs nothing."""
     path = scratch(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

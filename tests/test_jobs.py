@@ -6,6 +6,7 @@ import pytest
 
 from millrace.operators import jobs as G
 from millrace.operators import validate as V
+from millrace.operators.shared import stored
 
 
 @pytest.fixture
@@ -87,3 +88,26 @@ def test_whole_documents(spark):
     assert got == sorted([(1, "p", "left", '{"x":"b"}'), (1, "p", "right", '{"n":0,"x":"b"}'), (2, "q", "right", '{"n":1,"x":"a"}'), (7, "q", "right", '{"n":1,"x":"new"}'),
                           *[(5, "q", "left", '{"n":1,"x":"a"}')] * 2, (5, "q", "left", '{"x":"b"}'), (5, "q", "left", '{"n":2}')])
     assert V.differing_documents(left, {k: v.repartition(2) for k, v in left.items()}, "d").count() == 0
+
+
+def test_intermediates_are_deleted(spark, tmp_path):
+    """What a stage writes between is gone when its tables are there, and after a failure; tables written outside stay."""
+    outside, seen = stored(spark.range(5)), []
+
+    def make(_, fail=False):
+        between = stored(spark.range(9), "between")
+        seen.append(between.inputFiles()[0].removeprefix("file://"))
+        if fail:
+            raise RuntimeError("killed")
+        return {"a": between.groupBy().count()}
+
+    spark.range(1).write.parquet(f"{tmp_path}/in")
+    for how in (True, False):
+        stage = G.Stage("s", ("a",), lambda t, how=how: make(t, how))
+        if how:
+            with pytest.raises(RuntimeError):
+                G.run_job(spark, f"{tmp_path}/out", {"in": f"{tmp_path}/in"}, [stage], {})
+        else:
+            G.run_job(spark, f"{tmp_path}/out", {"in": f"{tmp_path}/in"}, [stage], {})
+    assert len(seen) == 2 and not any(os.path.exists(f) for f in seen)
+    assert G.read_job(spark, f"{tmp_path}/out")["a"].first()[0] == 9 and outside.count() == 5
