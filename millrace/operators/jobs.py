@@ -132,3 +132,16 @@ def read_job(spark: SparkSession, folder: str) -> Tables:
     if manifest is None:
         raise FileNotFoundError(f"no finished job in {folder}")
     return {name: spark.read.parquet(f"{folder}/runs/{manifest['fingerprint']}/{name}") for name in manifest["tables"]}
+
+
+def job_report(spark: SparkSession, folder: str) -> DataFrame:
+    """``(table, rule, severity, rows)`` of the published run: rows of each table (no rule), and what its quarantine tables hold by rule.
+
+    The rows of tables come from the manifest; only tables whose names begin with ``quarantine`` are read.
+    """
+    tables = json.loads(Folder(spark, folder).read("manifest.json") or '{"tables": {}}')["tables"]
+    out = spark.createDataFrame([(name, None, None, t["rows"]) for name, t in tables.items()], "table string, rule string, severity string, rows long")
+    for name, df in read_job(spark, folder).items() if tables else ():
+        if name.startswith("quarantine"):
+            out = out.unionByName(df.groupBy("table", "rule", "severity").agg(F.count("*").alias("rows")))
+    return out

@@ -33,6 +33,12 @@ def filter_group_cap(t):
     return A.of_group_size(t.lineitem, ["l_orderkey"], at_most=4).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 4)")
+def filter_group_over_cap(t):
+    """The rows that the cap leaves out."""
+    return A.of_group_size(t.lineitem, ["l_orderkey"], at_least=5).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus FROM lineitem WHERE l_returnflag IS DISTINCT FROM l_linestatus")
 def filter_mismatch(t):
     return t.lineitem.filter(~F.col("l_returnflag").eqNullSafe(F.col("l_linestatus"))).select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus")

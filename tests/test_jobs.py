@@ -111,3 +111,12 @@ def test_intermediates_are_deleted(spark, tmp_path):
             G.run_job(spark, f"{tmp_path}/out", {"in": f"{tmp_path}/in"}, [stage], {})
     assert len(seen) == 2 and not any(os.path.exists(f) for f in seen)
     assert G.read_job(spark, f"{tmp_path}/out")["a"].first()[0] == 9 and outside.count() == 5
+
+
+def test_report(spark, tmp_path):
+    spark.range(1).write.parquet(f"{tmp_path}/in")
+    aside = spark.createDataFrame([("a", str(i), "r", "reject", None) for i in range(3)] + [("a", "x", "w", "warn", None)], "table string, key string, rule string, severity string, row string")
+    G.run_job(spark, f"{tmp_path}/out", {"in": f"{tmp_path}/in"}, [G.Stage("s", ("a", "quarantine"), lambda _: {"a": spark.range(7), "quarantine": aside})], {})
+    got = {tuple(r) for r in G.job_report(spark, f"{tmp_path}/out").collect()}
+    assert got == {("a", None, None, 7), ("quarantine", None, None, 4), ("a", "r", "reject", 3), ("a", "w", "warn", 1)}
+    assert G.job_report(spark, f"{tmp_path}/none").count() == 0
