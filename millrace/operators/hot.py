@@ -15,6 +15,13 @@ from millrace.operators.shared import stored
 BOUND = 1_000_000
 #: Intervals a round by which a rank is narrowed down.
 BINS = 1024
+#: Rows of a side up to which it is broadcast; beyond, Spark joins by shuffle and splits what is skewed.
+BROADCAST_ROWS = 1_000_000
+
+
+def _beside(df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def large_groups(df: DataFrame, key: list[str], bound: int | None = None) -> DataFrame:
@@ -27,9 +34,9 @@ def _divided(df: DataFrame, key: list[str], bound: int | None) -> tuple[DataFram
     large = large_groups(df, key, bound)
     if not large.limit(1).count():
         return None, df
-    other = large.select(*[F.col(c).alias(f"_large{i}") for i, c in enumerate(key)])
+    other = _beside(large.select(*[F.col(c).alias(f"_large{i}") for i, c in enumerate(key)]))
     on = [df[c].eqNullSafe(F.col(f"_large{i}")) for i, c in enumerate(key)]
-    return df.join(F.broadcast(other), on, "left_semi"), df.join(F.broadcast(other), on, "left_anti")
+    return df.join(other, on, "left_semi"), df.join(other, on, "left_anti")
 
 
 def running_sum(df: DataFrame, key: list[str], order: list[Column | str], value: Column, name: str, bound: int | None = None) -> DataFrame:
@@ -46,10 +53,10 @@ def running_sum(df: DataFrame, key: list[str], order: list[Column | str], value:
     # One row for each large group and range: what the ranges before bring.
     brought = kept.groupBy(*key, "_range").agg(F.sum("_v").alias("_sum"))
     brought = brought.withColumn("_before", total(F.col("_sum"), before(key, ["_range"])))
-    brought = brought.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(key)], F.col("_range").alias("_b"), "_before")
+    brought = stored(brought.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(key)], F.col("_range").alias("_b"), "_before"), "carried")
     on = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(key)] + [F.col("_range") == F.col("_b")]
     within = kept.withColumn(name, total(F.col("_v"), before([*key, "_range"], ["_at"])))
-    within = within.join(F.broadcast(brought), on).withColumn(name, F.col(name) + F.col("_before"))
+    within = within.join(_beside(brought), on).withColumn(name, F.col(name) + F.col("_before"))
     return out.unionByName(within.select(*out.columns))
 
 
@@ -75,14 +82,14 @@ def first_of_group(df: DataFrame, key: list[str], order: Column, then: str, take
     cut = stored(groups.select(*named, "n", "_low", "_high", "_left"), "cuts")
     while cut.filter((F.col("n") > most) & (F.col("_low") < F.col("_high"))).limit(1).count():
         width = F.greatest(F.lit(1).cast("decimal(38,0)"), F.ceil((F.col("_high").cast("decimal(38,0)") - F.col("_low") + 1) / BINS))
-        inside = many.join(F.broadcast(cut), null_safe(many, cut)).filter(F.col("_o").between(F.col("_low"), F.col("_high")))
+        inside = many.join(_beside(cut), null_safe(many, cut)).filter(F.col("_o").between(F.col("_low"), F.col("_high")))
         bins = inside.groupBy(*[f"_g{i}" for i in range(len(key))], "_left", F.floor((F.col("_o").cast("decimal(38,0)") - F.col("_low")) / width).alias("_bin")).agg(F.count("*").alias("c"), F.min("_o").alias("_low"), F.max("_o").alias("_high"))
         up = Window.partitionBy(*[f"_g{i}" for i in range(len(key))]).orderBy("_bin")  # at most BINS rows
         bins = bins.withColumn("_sum", F.sum("c").over(up))
         holds = (F.col("_sum") >= F.col("_left")) & (F.col("_sum") - F.col("c") < F.col("_left"))
         found = bins.filter(holds).select(*[f"_g{i}" for i in range(len(key))], F.col("c").alias("n"), "_low", "_high", (F.col("_left") - F.col("_sum") + F.col("c")).alias("_left"))
         cut = stored(found, "cuts")
-    met = many.join(F.broadcast(cut.withColumnRenamed("n", "_n")), null_safe(many, cut), "left")
+    met = many.join(_beside(cut.withColumnRenamed("n", "_n")), null_safe(many, cut), "left")
     edge = met.filter(F.col("_o").between(F.col("_low"), F.col("_high")))
     edge = edge.withColumn(name, F.row_number().over(by.orderBy("_o", then)) <= F.col("_left"))
     rest = met.filter(~F.coalesce(F.col("_o").between(F.col("_low"), F.col("_high")), F.lit(False))).withColumn(name, F.coalesce(F.col("_o") < F.col("_low"), F.lit(False)))
