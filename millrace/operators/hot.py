@@ -31,6 +31,8 @@ def large_groups(df: DataFrame, key: list[str], bound: int | None = None) -> Dat
 
 def _divided(df: DataFrame, key: list[str], bound: int | None) -> tuple[DataFrame | None, DataFrame]:
     """``(rows of large groups or None, the others)``; keys compare as groups do, null with null."""
+    if df.count() <= (bound or BOUND):  # no group is larger than the table, and a table's count needs no shuffle
+        return None, df
     large = large_groups(df, key, bound)
     if not large.limit(1).count():
         return None, df
