@@ -1,8 +1,10 @@
 """Positions of the first violation in annotation documents; expected lines and columns by a small stack parser."""
 
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.sources import positions as P
 
@@ -104,6 +106,36 @@ def test_many_tags(spark):
     assert (row.cause, row.element, row.line, row.column) == ("wrong nesting", "SEGMENTS", *place(text, m.start()))
 
 
+def test_proof_of_plain_texts(spark):
+    """What is proved right has no violation by the fold; usual documents are proved, and changed ones judged alike."""
+    usual = re.sub(r"(?s)<!--.*?-->|    <VALUE_COLL[^\n]*\n", "", HEAD).replace("y > z", "y &gt; z").replace("wörd</A>", 'wörd</A><A S="-1" E="2"/>')
+    cut = re.findall(r"<[^<>]*>|[^<]+", usual)
+    draw, rows = random.Random(5), [(-1, usual), (-2, usual.replace("\n", ""))]
+    for n in range(400):
+        parts = list(cut)
+        for _ in range(draw.choice((1, 1, 2))):
+            i, j = draw.randrange(len(parts)), draw.randrange(len(parts))
+            how = draw.randrange(5)
+            if how == 0:
+                del parts[i]
+            elif how == 1:
+                parts.insert(i, parts[j])
+            elif how == 2:
+                parts[i], parts[j] = parts[j], parts[i]
+            elif how == 3:
+                parts[i] = re.sub(r"\d+", lambda m: draw.choice(("1", "06", "x", "479", "0")), parts[i], count=1)
+            else:
+                parts[i] = re.sub(r' (\w+)="', lambda m: draw.choice((f" {m[1]} = \"", f" X=' ID={m[1]}' {m[1]}=\"", f' FID="6" {m[1]}="', ' ID="1" ')), parts[i], count=1)
+        rows.append((n, "".join(parts)))
+    df = spark.createDataFrame(rows, "DocumentID int, xml string").repartition(8)
+    for ignore in ((), ("unknown media",)):
+        got = df.select("DocumentID", P.plain(F.col("xml"), not ignore).alias("plain"), P.first_error(F.col("xml"), ignore, proof=False).alias("slow"), P.first_error(F.col("xml"), ignore).alias("fast")).collect()
+        assert [r.DocumentID for r in got if r.fast != r.slow or (r.plain and r.slow)] == []
+        assert {-1, -2} <= {r.DocumentID for r in got if r.plain}
+        right = sum(r.slow is None for r in got)
+        assert sum(bool(r.plain) for r in got) > right / 2 > 20
+
+
 def test_no_python_on_the_path(spark):
     plan = P.errors(spark.createDataFrame([(1, HEAD)], "DocumentID int, xml string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
