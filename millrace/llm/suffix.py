@@ -5,7 +5,9 @@ hash, and maximal runs of windows with one anchor ("segments") are the unit of w
 occurs once hold no repeat.  Equal segments are pre-aggregated: all but the earliest are repeats as a whole.  The rest
 meets by anchor hash in tasks that build a suffix array of their segments in two stages: suffixes smaller than
 their successors are sorted directly, the others are induced by scanning the buckets; adjacent common prefixes of 100
-bytes and more then give the classes of equal windows, of which all but the earliest are repeats.
+bytes and more then give the classes of equal windows, of which all but the earliest are repeats.  An anchor of very
+many segments is sorted in parts; the windows that are the earliest of their part are sorted once more, dealt out by what
+they hold.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ SPAN = WIDTH - GRAM + 1
 BLOCK, CHUNK = 1 << 20, 1 << 25
 #: Windows of one piece of a long text; positions in a round of anchor search take 28 bits.
 PIECE = 1 << 24
-#: Bytes of one suffix array; a group of segments is never cut, and has at most HOT segments of up to 200 bytes.
+#: Bytes of one suffix array; a group of segments is never cut, and has about HOT segments of up to 200 bytes.
 ARRAY = 1 << 21
-#: Segments of one anchor hash beyond which its windows are keyed one by one (a very common passage's edges) and its
-#: rows are never brought together in one task.
+#: Segments of one anchor hash that are sorted together; an anchor of more (a very common passage's edges) has so many parts
+#: that each has about as many.
 HOT = 1000
 #: Common anchors that are broadcast (8 bytes each); more of them are joined by a shuffle.
 LISTED = 1 << 20
@@ -263,43 +265,65 @@ def _chunk(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return _batch(SEGMENT, [spread, np.where(dup[at], 0, sfp[at]), ids[text[at]], tie[text[at]], start[at], n, dup[at]])
 
 
+SORTED = T.StructType(RUN.fields[:]).add("bytes", "binary")
+WINDOW = T.StructType().add("key", "long").add("part", "long").add("hot", "boolean").add("id", "long").add("tie", "long").add("pos", "integer").add("bytes", "binary")
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(id, tie, text, segments)`` -> a row per segment with its bytes, or per window of a hot segment with its hash."""
-    schema = T.StructType().add("mh", "long").add("key", "long").add("hot", "boolean").add("id", "long").add("tie", "long").add("pos", "integer").add("n", "integer").add("bytes", "binary")
+    """``(id, tie, text, segments)`` -> a row per segment with its bytes."""
     for b in batches:
         for i in range(0, b.num_rows, 200):
             rows = []
             for key, tie, body, segments in zip(*(b.column(c).slice(i, 200).to_pylist() for c in range(4))):
-                for s in segments:
-                    a, n = s["pos"], s["n"]
-                    if s["hot"]:
-                        for at in range(a, a + n):
-                            h = xxhash.xxh3_128_intdigest(body[at : at + WIDTH])
-                            rows.append(((h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), True, key, tie, at, 1, None))
-                    else:
-                        rows.append((s["mh"], 0, False, key, tie, a, n, body[a : a + n + WIDTH - 1]))
+                rows += [(s["mh"], s["part"], s["hot"], key, tie, s["pos"], body[s["pos"] : s["pos"] + s["n"] + WIDTH - 1]) for s in segments]
+            if rows:
+                yield _batch(WINDOW, list(zip(*rows)))
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows ``(id, tie, pos, n, bytes)`` -> a row per window, dealt out by a hash of its bytes."""
+    for b in batches:
+        for i in range(0, b.num_rows, 200):
+            rows = []
+            for key, tie, pos, n, body in zip(*(c.slice(i, 200).to_pylist() for c in b.columns)):
+                for x in range(n):
+                    window = body[x : x + WIDTH]
+                    rows.append((xxhash.xxh3_64_intdigest(window) - (1 << 63), 0, False, key, tie, pos + x, window))
             if rows:
-                yield _batch(schema, list(zip(*rows)))
+                yield _batch(WINDOW, list(zip(*rows)))
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeats among segments sorted by anchor hash; whole groups per suffix array."""
+    """Repeats among segments sorted by group; whole groups per suffix array.
+
+    Of segments that are but a part of their anchor's, what isn't a repeat within the part follows with its bytes.
+    """
     held, size = [], 0
 
     def solve(rows: list) -> pa.RecordBatch:
-        docs = sorted({(r[1], r[2]) for r in rows})
+        docs = sorted({(r[3], r[4]) for r in rows})
         rank = {d: i for i, d in enumerate(docs)}
-        found = repeats([r[4] for r in rows], np.array([rank[r[1], r[2]] for r in rows]), np.array([r[3] for r in rows], np.int64))
-        out = [(rows[s][1], rows[s][2], rows[s][3] + a, n) for s, a, n in found]
-        return _batch(RUN, list(zip(*out)) if out else [[]] * 4)
+        found = repeats([r[6] for r in rows], np.array([rank[r[3], r[4]] for r in rows]), np.array([r[5] for r in rows], np.int64))
+        out = [(*rows[s][3:5], rows[s][5] + a, n, None) for s, a, n in found]
+        gone: dict[int, list[tuple[int, int]]] = {}
+        for s, a, n in found:
+            gone.setdefault(s, []).append((a, a + n))
+        for s, (_, _, hot, key, tie, pos, body) in enumerate(rows):
+            if hot:
+                at = 0
+                for a, z in [*gone.get(s, ()), (len(body) - WIDTH + 1, 0)]:
+                    if a > at:
+                        out.append((key, tie, pos + at, a - at, body[at : a + WIDTH - 1]))
+                    at = z
+        return _batch(SORTED, list(zip(*out)) if out else [[]] * 5)
 
     for b in batches:
         for r in zip(*(c.to_pylist() for c in b.columns)):
-            if size >= ARRAY and r[0] != held[-1][0]:
+            if size >= ARRAY and r[:2] != held[-1][:2]:
                 yield solve(held)
                 held, size = [], 0
             held.append(r)
-            size += len(r[4])
+            size += len(r[6])
     if held:
         yield solve(held)
 
@@ -333,8 +357,8 @@ def _earliest(rows: DataFrame, *key: str) -> DataFrame:
     place = ["id", "tie", "pos"]
     rows = rows.withColumn("salt", F.pmod(F.xxhash64(*place), F.lit(SALTS)))
     rows = rows.withColumn("later", F.rank().over(Window.partitionBy(*key, "salt").orderBy(*place)) > 1)
-    rows = rows.withColumn("part", F.when(F.col("later"), F.col("salt")).otherwise(-1))
-    return rows.withColumn("dup", F.col("later") | (F.rank().over(Window.partitionBy(*key, "part").orderBy(*place)) > 1)).drop("salt", "later", "part")
+    rows = rows.withColumn("among", F.when(F.col("later"), F.col("salt")).otherwise(-1))
+    return rows.withColumn("dup", F.col("later") | (F.rank().over(Window.partitionBy(*key, "among").orderBy(*place)) > 1)).drop("salt", "later", "among")
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,24 +377,27 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     one = src.dropDuplicates(["id", "tie"]) if shared else src
 
     found = one.mapInArrow(_segments, SEGMENT)
-    common = written(found.filter("NOT dup").groupBy("mh").count().filter(F.col("count") > HOT).select("mh", F.lit(True).alias("common")), "common")
+    common = written(found.filter("NOT dup").groupBy("mh").count().filter(F.col("count") > HOT).select("mh", F.ceil(F.col("count") / HOT).alias("parts")), "common")
     common = F.broadcast(common) if common.count() <= LISTED else common
     # Rows of a common anchor pass the windows under keys of their own.
-    seg = found.join(common, "mh", "left").withColumn("hot", F.expr("common IS NOT NULL AND NOT dup")).withColumn("key", F.expr("CASE WHEN hot THEN xxhash64(id, tie, pos) ELSE mh END"))
+    seg = found.join(common, "mh", "left").withColumn("hot", F.expr("parts IS NOT NULL AND NOT dup")).withColumn("key", F.expr("CASE WHEN hot THEN xxhash64(id, tie, pos) ELSE mh END"))
     by_string, by_anchor = Window.partitionBy("key", "sfp").orderBy("id", "tie", "pos"), Window.partitionBy("key")
     seg = seg.withColumn("dup", F.col("dup") | (F.rank().over(by_string) > 1))
     seg = seg.withColumn("many", F.min("sfp").over(by_anchor) != F.max("sfp").over(by_anchor)).filter("dup OR many OR hot")
-    seg = written(seg.select("id", "tie", "pos", "n", "dup", "mh", "hot", F.expr("CASE WHEN hot THEN sfp END AS sfp")), "segments")
+    part = F.expr("CASE WHEN hot THEN pmod(xxhash64(id, tie, pos), parts) ELSE 0 END AS part")
+    seg = written(seg.select("id", "tie", "pos", "n", "dup", "mh", "hot", part, F.expr("CASE WHEN hot THEN sfp END AS sfp")), "segments")
     settled = written(_earliest(seg.filter("hot").drop("dup"), "mh", "sfp"), "settled")
     seg = seg.filter("NOT hot").unionByName(settled)
 
-    open_ = seg.filter("NOT dup").groupBy("id", "tie").agg(F.collect_list(F.struct("mh", "pos", "n", "hot")).alias("segments"))
+    open_ = seg.filter("NOT dup").groupBy("id", "tie").agg(F.collect_list(F.struct("mh", "pos", "n", "hot", "part")).alias("segments"))
     open_ = one.join(open_.select(F.col("id").alias("i"), F.col("tie").alias("t"), "segments"), (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t"))).select("id", "tie", "text", "segments")
-    rows = written(open_.mapInArrow(_cut_out, "mh long, key long, hot boolean, id long, tie long, pos int, n int, bytes binary"), "bodies")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cold = rows.filter("NOT hot").select("mh", "id", "tie", "pos", "bytes").repartition(parts, "mh").sortWithinPartitions("mh").mapInArrow(_sort_groups, RUN)
-    hot = _earliest(rows.filter("hot"), "mh", "key").filter("dup").select("id", "tie", "pos", "n")
-    runs = seg.filter("dup").select("id", "tie", "pos", "n").unionByName(cold).unionByName(hot)
+    grouped = lambda rows: rows.repartition(parts, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_sort_groups, SORTED)
+    first = written(grouped(open_.mapInArrow(_cut_out, WINDOW)), "sorted")
+    second = grouped(first.filter("bytes IS NOT NULL").mapInArrow(_windows, WINDOW))
+    runs = seg.filter("dup").select("id", "tie", "pos", "n")
+    for df in (first.filter("bytes IS NULL"), second):
+        runs = runs.unionByName(df.select("id", "tie", "pos", "n"))
     runs = runs.groupBy("id", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("runs")).select(F.col("id").alias("i"), F.col("tie").alias("t"), "runs")
     full = src.join(runs, (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t")), "left").select("id", "text", "runs")
     out = full.mapInArrow(_finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start: bigint, end: bigint>>")

@@ -53,6 +53,17 @@ def test_against_brute_force(spark, monkeypatch, hot, piece):
     assert result(df) == brute([(i, t.encode()) for i, t in docs])
 
 
+def test_passage_in_every_document(spark, monkeypatch):
+    """Far more segments of one anchor than are sorted together, with unlike surroundings, or alike in threes."""
+    monkeypatch.setattr(S, "HOT", 5)
+    rnd = random.Random(11)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage, around = some(180), [some(60) for _ in range(60)]
+    docs = [(i, (some(50) if i % 2 else around[i // 3 % 60]) + passage + (some(70) if i % 5 else around[i // 3 % 60])) for i in range(240)]
+    got = result(spark.createDataFrame(docs, "doc_id long, text string").repartition(6))
+    assert got == brute([(i, t.encode()) for i, t in docs]) and sum(n > 0 for _, n, _, _ in got.values()) == 239
+
+
 def test_edges(spark):
     rnd = random.Random(1)
     long = "".join(rnd.choice("abcdef") for _ in range(60_000)) + "c" * 3000
