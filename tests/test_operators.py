@@ -1,3 +1,5 @@
+import base64
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -212,3 +214,10 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_corpus_index_numbers_equal_names_by_their_ties(spark):
+    rows = [("b", "x%d" % i, i) for i in range(300)] + [("a", "y", 7), (None, "z", 0), ("c", "w", 0)]
+    docs = spark.createDataFrame(rows[::-1], "url string, html string, page int").repartition(5, "html")
+    got = [(r.Filename, r.XML_B64) for r in B.corpus_index(docs, "url", "html", ("page",)).orderBy("DocumentID").collect()]
+    assert got == [(u, base64.b64encode(h.encode()).decode()) for u, h, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[2]))]
