@@ -130,7 +130,8 @@ def sink_idempotent(t):
 @query("SELECT 'p' || page_id || url AS text FROM pages")
 def scan_wholetext(t):
     path = scratch(t.spark, "texts")
-    t.pages.select(F.concat(F.lit("  p"), F.col("page_id").cast("string"), F.lit(" \n "), "url").alias("value"), "page_id").write.partitionBy("page_id").text(path)
+    text = F.concat(F.lit("  p"), F.col("page_id").cast("string"), F.lit(" \n "), "url")
+    files.write_documents(t.pages.select(F.concat(F.col("page_id").cast("string"), F.lit(".txt")).alias("filename"), text.alias("text")), path)
     return files.read_documents(t.spark, path).select("text")
 
 

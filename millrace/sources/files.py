@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow.fs import FileSelector, FileSystem, FileType
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +19,9 @@ from millrace.operators.shared import complete
 from millrace.operators.split import shuffled
 from millrace.sources import schemas
 
+#: Files that ``write_documents`` puts into one folder.
+FOLDER = 5000
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, legacy: bool = False) -> DataFrame:
     """CSV with a header and fixed types; a bad value raises.  ``legacy`` files have blanks after their commas."""
@@ -43,9 +47,33 @@ def read_video_index(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("target_video_filename", url_quote(F.col("target_video_filename")))
 
 
+def write_documents(docs: DataFrame, path: str, most: int = FOLDER) -> None:
+    """``docs(filename, text)`` as whole files, many to a folder: ``<path>/<folder>/<filename>``; a null text is an empty line.
+
+    Tasks write their files straight into folders of their own of up to ``most`` files, with the mark ``_SUCCESS`` at the end; a folder
+    for each file, with a commit of its own, costs far more than the files.  A task that is run again writes the same names.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = FileSystem.from_uri(path)
+        task, n = TaskContext.get().partitionId(), 0
+        for b in batches:
+            for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                at = f"{base}/{task:05d}-{n // most:05d}"
+                if n % most == 0:
+                    store.create_dir(at)
+                with store.open_output_stream(f"{at}/{name}") as out:
+                    out.write(f"{text or ''}\n".encode())  # empty files have no row
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    docs.select("filename", "text").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    Folder(docs.sparkSession, path).write("_SUCCESS", "")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename, text)`` of whole files: one row each, lines stripped and concatenated."""
-    df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    """``(filename, text)`` of whole files: one row each, lines stripped and concatenated; folders may hold folders."""
+    df = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return df.select(last_part(F.col("path"), "/").alias("filename"), joined_lines(F.regexp_replace("value", "\r", "")).alias("text"))
 
 

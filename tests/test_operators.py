@@ -1,4 +1,5 @@
 import base64
+from urllib.parse import unquote
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -221,3 +222,12 @@ def test_corpus_index_numbers_equal_names_by_their_ties(spark):
     docs = spark.createDataFrame(rows[::-1], "url string, html string, page int").repartition(5, "html")
     got = [(r.Filename, r.XML_B64) for r in B.corpus_index(docs, "url", "html", ("page",)).orderBy("DocumentID").collect()]
     assert got == [(u, base64.b64encode(h.encode()).decode()) for u, h, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or "", r[2]))]
+
+
+def test_whole_files_share_folders(spark, tmp_path):
+    rows = [(f"d {i}.txt", f"  p{i} \r\n ä{i}" if i % 9 else None) for i in range(500)]
+    files.write_documents(spark.createDataFrame(rows, "filename string, text string").repartition(3, "filename"), f"{tmp_path}/t", 40)
+    folders = [d for d in (tmp_path / "t").iterdir() if d.is_dir()]
+    assert 13 <= len(folders) <= 15 and all(len([f for f in d.iterdir() if f.suffix == ".txt"]) <= 40 for d in folders)  # not one a file
+    got = {unquote(r.filename): r.text for r in files.read_documents(spark, f"{tmp_path}/t").collect()}
+    assert got == {name: "" if text is None else f"p{i}ä{i}" for i, (name, text) in enumerate(rows)}
