@@ -51,8 +51,10 @@ def dangling(df: DataFrame, ref: DataFrame, on: list[str]) -> DataFrame:
 
 def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that one table has more often than the other, with ``side``; empty where the tables are equal."""
-    b = b.select(*a.columns)
-    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+    both = a.withColumn("_n", F.lit(1)).unionByName(b.select(*a.columns).withColumn("_n", F.lit(-1)))
+    more = both.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")  # one aggregation tells both sides
+    side = F.when(F.col("_n") > 0, "left").otherwise("right")
+    return more.select(*a.columns, F.explode(F.array_repeat(side, F.abs("_n").cast("int"))).alias("side"))
 
 
 def digests(tables: dict[str, DataFrame], doc: str) -> DataFrame:
@@ -63,8 +65,8 @@ def digests(tables: dict[str, DataFrame], doc: str) -> DataFrame:
     out = None
     for name, df in sorted(tables.items()):
         rest = [c for c in sorted(df.columns) if c != doc]
-        total = lambda seed: F.sum(F.xxhash64(F.lit(seed), F.to_json(F.struct(*rest))).cast("decimal(38,0)"))
-        one = df.groupBy(doc).agg(F.count("*").alias("n"), total(1).alias("a"), total(2).alias("b")).select(doc, F.lit(name).alias("table"), "n", "a", "b")
+        total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "_row").cast("decimal(38,0)"))
+        one = df.select(doc, F.to_json(F.struct(*rest)).alias("_row")).groupBy(doc).agg(F.count("*").alias("n"), total(1).alias("a"), total(2).alias("b")).select(doc, F.lit(name).alias("table"), "n", "a", "b")
         out = one if out is None else out.unionByName(one)
     return out
 
