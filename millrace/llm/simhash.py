@@ -43,7 +43,11 @@ def shingle_hashes(text: str | None, shingle: int, seed: int = 42) -> np.ndarray
 
 def fingerprint(text: str | None, shingle: int = 4, lanes: int = 1) -> list[int]:
     """``lanes`` 64-bit fingerprints; a bit is set if it is set in over half of the hashes.  Lane 0 uses XXH64 itself."""
-    h, out = shingle_hashes(text, shingle), []
+    return fingerprint_of(shingle_hashes(text, shingle), lanes)
+
+
+def fingerprint_of(h: np.ndarray, lanes: int = 1) -> list[int]:
+    out = []
     for lane in range(lanes):
         h = _mix(h) if lane else h
         ones = np.zeros(64, np.int64)
@@ -179,6 +183,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
 TABLES, ROWS = 24, 4
 #: Tables that are tried first; the rest only compare what these haven't joined yet.
 FIRST = 4
+#: Bits within which fingerprints make a pair a candidate for the exact check, and the ranges of tables for pairs beyond them.
+RADIUS, PASSES = 4, ((0, FIRST), (FIRST, TABLES))
 #: Candidates up to which their texts are found by a broadcast (about 50 MB); beyond, texts are shuffled.
 BROADCAST_ROWS = 1_000_000
 _FLIP, _ODD = (np.random.default_rng(11 + i).integers(1 << 63, size=(TABLES * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for i in range(2))
@@ -186,7 +192,11 @@ _FLIP, _ODD = (np.random.default_rng(11 + i).integers(1 << 63, size=(TABLES * RO
 
 def elements(text: str | None, shingle: int) -> np.ndarray:
     """The shingle multiset of a text as sorted distinct longs: the i-th occurrence of a shingle is an element of its own."""
-    h = np.sort(shingle_hashes(text, shingle))
+    return distinct(shingle_hashes(text, shingle))
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
     if len(h):
         new = np.r_[True, h[1:] != h[:-1]]
         nth = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
@@ -258,8 +268,9 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
     """``(_id, _hash, node, root)`` for every row of ``docs(doc_id, text)``: rows of one root are joined by links of this
     exact weighted Jaccard similarity of word shingles.
 
-    Candidates share the key of one of TABLES min-hash tables, whatever the number of rows; each is verified on the
-    shingles themselves.  Rows of equal shingles are one node; texts without words are one node, too.
+    Candidates are, first, the links of the rows' fingerprints within RADIUS bits (``link``); then, for similar pairs whose
+    fingerprints lie further apart, rows that share the key of one of TABLES min-hash tables, whatever the number of rows.
+    Each is verified on the shingles themselves.  Rows of equal shingles are one node; texts without words are one node, too.
     """
     ship(docs.sparkSession)
     text = F.coalesce(docs["text"], F.lit(""))
@@ -267,27 +278,34 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
-            node, key = [], []
+            node, bits, key = [], [], []
             for t in b.column(2).to_pylist():
-                h = elements(t, shingle)
+                every = shingle_hashes(t, shingle)
+                h = distinct(every)
+                bits.append(fingerprint_of(every))
                 node.append(xxhash.xxh64_intdigest(h.tobytes()))
                 key.append(table_keys(h))
             node = np.array(node, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array(key, pa.list_(pa.int64()))], names=["_id", "_hash", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array(bits, pa.list_(pa.int64())), pa.array(key, pa.list_(pa.int64()))], names=["_id", "_hash", "node", "lanes", "keys"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             got = [elements(t, shingle).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64()))], names=["node", "elements"])
 
-    fp = cut(src.mapInArrow(keys, src.drop("_text").schema.add("node", "long").add("keys", T.ArrayType(T.LongType()))))
-    nodes = cut(fp.groupBy("node").agg(F.min("_hash").alias("_hash"), F.first("keys").alias("keys")))
+    fp = cut(src.mapInArrow(keys, src.drop("_text").schema.add("node", "long").add("lanes", T.ArrayType(T.LongType())).add("keys", T.ArrayType(T.LongType()))))
+    nodes = cut(fp.groupBy("node").agg(F.min("_hash").alias("_hash"), F.first("lanes").alias("lanes"), F.first("keys").alias("keys")))
     parts, edges, roots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), None, None
-    for low, high in ((0, FIRST), (FIRST, TABLES)):
-        known = nodes.withColumn("root", F.col("node")) if roots is None else nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", F.col("node")))
-        rows = known.select("node", "_hash", "root", F.explode(F.slice("keys", low + 1, high - low)).alias("bucket"))
-        counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
-        some = cut(_blocks(rows, counts.filter("r != s"), "bucket").select("grp", "node", "_hash"))
+    for tables in (None, *PASSES):
+        if tables is None:
+            near = link(nodes.filter("size(keys) > 0"), RADIUS, plan_blocks(nodes.count(), RADIUS)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+            ends = near.select(F.xxhash64("u", "v").alias("grp"), F.explode(F.array("u", "v")).alias("node"))
+            some = cut(ends.join(nodes.select("node", "_hash"), "node").select("grp", "node", "_hash"))
+        else:
+            known = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", F.col("node")))
+            rows = known.select("node", "_hash", "root", F.explode(F.slice("keys", tables[0] + 1, tables[1] - tables[0])).alias("bucket"))
+            counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+            some = cut(_blocks(rows, counts.filter("r != s"), "bucket").select("grp", "node", "_hash"))
         need = cut(some.select("_hash", F.col("node").alias("_node")).distinct())
         if need.count() <= BROADCAST_ROWS:
             need = F.broadcast(need)

@@ -141,3 +141,15 @@ def test_rows_are_decided_by_id_and_text(spark):
         random.Random(seed).shuffle(rows)
         kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
         assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(3, one), (0, two), (0, three), (7, "red green blue white black pink")])
+
+
+def test_fingerprints_find_the_near_copies_of_the_pipeline(spark, monkeypatch):
+    rng = random.Random(5)
+    long = [" ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 4) for _ in range(900)) for _ in range(30)]
+    docs = [(i, t) for i, t in enumerate(long)] + [(100 + i, t + " end") for i, t in enumerate(long)]
+    prints = [S.fingerprint(t, 5)[0] for _, t in docs]
+    close = [i for i in range(30) if (prints[i] ^ prints[30 + i]).bit_count() <= S.RADIUS]
+    assert len(close) > 20
+    monkeypatch.setattr(S, "PASSES", ())  # no min-hash tables: what is found is found by fingerprints
+    left = {r.doc_id for r in S.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert left >= set(range(30)) and not left & {100 + i for i in close}
