@@ -181,10 +181,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
 
 #: Tables of the similarity join and min-hashes that make a key: a pair of similarity 0.8 shares none of them with probability (1 - 0.8^4)^24 = 3e-6.
 TABLES, ROWS = 24, 4
-#: Tables that are tried first; the rest only compare what these haven't joined yet.
-FIRST = 4
-#: Bits within which fingerprints make a pair a candidate for the exact check, and the ranges of tables for pairs beyond them.
-RADIUS, PASSES = 4, ((0, FIRST), (FIRST, TABLES))
+#: Bits within which fingerprints make a pair a candidate for the exact check, and the ranges of tables tried after them, one after
+#: the other; each only compares what hasn't been joined yet.  Every range costs the driver another search for components.
+RADIUS, PASSES = 4, ((0, TABLES),)
 #: Candidates up to which their texts are found by a broadcast (about 50 MB); beyond, texts are shuffled.
 BROADCAST_ROWS = 1_000_000
 _FLIP, _ODD = (np.random.default_rng(11 + i).integers(1 << 63, size=(TABLES * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for i in range(2))
