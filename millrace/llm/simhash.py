@@ -181,9 +181,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, lanes: i
 
 #: Tables of the similarity join and min-hashes that make a key: a pair of similarity 0.8 shares none of them with probability (1 - 0.8^4)^24 = 3e-6.
 TABLES, ROWS = 24, 4
-#: Bits within which fingerprints make a pair a candidate for the exact check, and the ranges of tables tried after them, one after
-#: the other; each only compares what hasn't been joined yet.  Every range costs the driver another search for components.
-RADIUS, PASSES = 4, ((0, TABLES),)
+#: Tables that are tried first; the rest only compare what these haven't joined yet.  Where there is a rest, the driver searches for components once more.
+FIRST = TABLES
+#: Bits within which fingerprints make a pair a candidate for the exact check.
+RADIUS = 4
 #: Candidates up to which their texts are found by a broadcast (about 50 MB); beyond, texts are shuffled.
 BROADCAST_ROWS = 1_000_000
 _FLIP, _ODD = (np.random.default_rng(11 + i).integers(1 << 63, size=(TABLES * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for i in range(2))
@@ -295,7 +296,7 @@ def similar(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataF
     fp = cut(src.mapInArrow(keys, src.drop("_text").schema.add("node", "long").add("lanes", T.ArrayType(T.LongType())).add("keys", T.ArrayType(T.LongType()))))
     nodes = cut(fp.groupBy("node").agg(F.min("_hash").alias("_hash"), F.first("lanes").alias("lanes"), F.first("keys").alias("keys")))
     parts, edges, roots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), None, None
-    for tables in (None, *PASSES):
+    for tables in (None, *[r for r in ((0, FIRST), (FIRST, TABLES)) if r[0] < r[1]]):  # fingerprints, then tables
         if tables is None:
             near = link(nodes.filter("size(keys) > 0"), RADIUS, plan_blocks(nodes.count(), RADIUS)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
             ends = near.select(F.xxhash64("u", "v").alias("grp"), F.explode(F.array("u", "v")).alias("node"))

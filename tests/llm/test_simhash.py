@@ -150,6 +150,7 @@ def test_fingerprints_find_the_near_copies_of_the_pipeline(spark, monkeypatch):
     prints = [S.fingerprint(t, 5)[0] for _, t in docs]
     close = [i for i in range(30) if (prints[i] ^ prints[30 + i]).bit_count() <= S.RADIUS]
     assert len(close) > 20
-    monkeypatch.setattr(S, "PASSES", ())  # no min-hash tables: what is found is found by fingerprints
+    monkeypatch.setattr(S, "TABLES", 0)
+    monkeypatch.setattr(S, "FIRST", 0)  # no min-hash tables: what is found is found by fingerprints
     left = {r.doc_id for r in S.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
     assert left >= set(range(30)) and not left & {100 + i for i in close}
