@@ -24,15 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import ship
+from millrace.llm.common import give_back, ship, sliced
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Where no piece joins a letter to another character, words and marks are cut apart; else at spaces only.
 FINE, COARSE = re.compile(r" *(?:[^\W\d_¹²³]+|(?:[\d_¹²³]|[^\w ])+)| +"), re.compile(r" *[^ ]+| +")
-#: Chunks that a worker holds (about 60 MB); beyond, it starts anew.
-CACHE = 200_000
-#: Longer chunks are segmented one by one; rows and chunks that are looked at together.
-LONG, ROWS, SLICE = 24, 400, 100_000
+#: Chunks that a worker holds (about 40 MB); beyond, it starts anew.
+CACHE = 64_000
+#: Longer chunks are segmented one by one; rows and chunks that are looked at together (a piece's more at most).
+LONG, ROWS, SLICE = 24, 400, 20_000
+#: Characters of a text that are cut into chunks at a time; a piece ends before a space, where a chunk ends in any case.
+PIECE = 1 << 16
+PIECE_END = re.compile(r"(?<=[^ ]) ")
 #: Rank of a pair that doesn't merge.
 NEVER = 1 << 30
 SPREAD = 0x9E3779B97F4A7C15
@@ -189,10 +192,19 @@ def load(path: str) -> Pieces:
     return _loaded[path]
 
 
-def occurrence_keys(doc, n: int, seed: int) -> np.ndarray:
-    """Keys of the ``n`` chunks of a document, by its id and their places."""
+def occurrence_keys(doc, n: int, seed: int, first: int = 0) -> np.ndarray:
+    """Keys of ``n`` chunks of a document from its chunk ``first`` on, by its id and their places."""
     base = np.uint64(xxhash.xxh64_intdigest(str(doc), seed & MASK))
-    return draws(base + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return draws(base + np.arange(first, first + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def text_pieces(text: str) -> Iterator[str]:
+    """``text`` in pieces of about ``PIECE`` characters; no chunk crosses their ends."""
+    at = 0
+    while len(text) - at > PIECE and (found := PIECE_END.search(text, at + PIECE)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text
 
 
 def part(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -302,8 +314,8 @@ class Chunks:
         """``Pieces.segment`` for each chunk with its key: all ids, and how many each has."""
         if self.size.used > self.limit:
             self.clear()
-        if new := dict.fromkeys(parts).keys() - self.number.keys():
-            self.add(list(new))
+        if new := [c for c in dict.fromkeys(parts) if c not in self.number]:
+            self.add(new)
         limit = int(dropout * 2**64)
         number = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
         first, size = self.ids_at.all[number], self.ids_at.all[number + 1] - self.ids_at.all[number]
@@ -348,17 +360,28 @@ def encoder(path: str, dropout: float, seed: int):
     held, chunks = _loaded["chunks", path], pieces.chunks
 
     def run(texts: list, docs: list) -> list[bytes]:
-        parts, keys, ends = [], [np.empty(0, np.uint64)], [0]
-        for text, doc in zip(texts, docs):
-            own = chunks(" " + text) if text else []
-            parts += own
-            keys.append(occurrence_keys(doc, len(own), seed))
-            ends.append(len(parts))
-        keys, ids, size = np.concatenate(keys), [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
-        for i in range(0, len(parts), SLICE):
-            for x, got in zip((ids, size), held.segment(parts[i : i + SLICE], keys[i : i + SLICE], dropout)):
+        parts, keys, ends = [], [], [0]
+        ids, size = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+
+        def settle() -> None:
+            for x, got in zip((ids, size), held.segment(parts, np.concatenate(keys), dropout)):
                 x.append(got)
-        ids, at = np.concatenate(ids).astype("<i4"), np.cumsum(np.concatenate(size))[ends].tolist()
+            parts.clear()
+            keys.clear()
+
+        for text, doc in zip(texts, docs):
+            n = 0
+            for piece in text_pieces(" " + text) if text else ():
+                own = chunks(piece)
+                parts += own
+                keys.append(occurrence_keys(doc, len(own), seed, n))
+                n += len(own)
+                if len(parts) >= SLICE:
+                    settle()
+            ends.append(ends[-1] + n)
+        if parts:
+            settle()
+        ids, at = np.concatenate(ids).astype("<i4", copy=False), np.cumsum(np.concatenate(size))[ends].tolist()
         return [ids[a:z].tobytes() for a, z in zip(at, at[1:])]
 
     return run
@@ -376,17 +399,17 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, pieces = encoder(model, dropout, seed), load(model)
-        for b in batches:
-            for at in range(0, b.num_rows, ROWS):
-                key, texts = b.column(0).slice(at, ROWS), b.column(1).slice(at, ROWS).to_pylist()
-                part = enc(texts, key.to_pylist())
-                if digest:
-                    same = [pieces.decode(np.frombuffer(p, "<i4")) == (t or "") for p, t in zip(part, texts)]
-                    cols = [pa.array([len(p) // 4 for p in part], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in part]), pa.array(same)]
-                else:
-                    ends = np.cumsum([0] + [len(p) // 4 for p in part]).astype(np.int32)
-                    cols = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), "<i4")))]
-                yield pa.RecordBatch.from_arrays([key, *cols], names=out.names)
+        for b in sliced(batches, ROWS):
+            key, texts = b.column(0), b.column(1).to_pylist()
+            part = enc(texts, key.to_pylist())
+            if digest:
+                same = [pieces.decode(np.frombuffer(p, "<i4")) == (t or "") for p, t in zip(part, texts)]
+                cols = [pa.array([len(p) // 4 for p in part], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in part]), pa.array(same)]
+            else:
+                ends = np.cumsum([0] + [len(p) // 4 for p in part]).astype(np.int32)
+                cols = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), "<i4")))]
+            yield pa.RecordBatch.from_arrays([key, *cols], names=out.names)
+        give_back()
 
     src = docs.select(F.col(id_col).alias(id_col), F.col(text).alias("_text"))
     out = T.StructType([src.schema[0]])

@@ -3,10 +3,12 @@
 import random
 import re
 import textwrap
+import tracemalloc
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -244,6 +246,35 @@ def test_every_occurrence_is_drawn_anew():
             assert subword.encoder(subword.MODEL, rate, 3)([t], [5])[0] == (b"".join(p.segment(c, rate, k) for c, k in zip(parts, subword.occurrence_keys(5, len(parts), 3).tolist())) if t else b"")
 
 
+def test_memory_of_long_texts(monkeypatch):
+    """The working set doesn't grow with the texts of a call: long ones are cut into chunks piece by piece, to the same ids."""
+    enc = subword.encoder(subword.MODEL, 0.1, 7)
+    texts = ["  international understanding, 12 \n of naïve development" * 3000] * 20
+    enc(texts[:1], [0])
+    tracemalloc.start()
+    got = enc(texts, list(range(20)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * sum(map(len, got)) + 16e6
+    p = subword.load(subword.MODEL)
+    for t in [*ODD, *texts[:1]]:
+        whole = p.chunks(" " + t)
+        for size in (1, 7, 300) if len(t) < 5000 else (300,):
+            monkeypatch.setattr(subword, "PIECE", size)
+            assert [c for x in subword.text_pieces(" " + t) for c in p.chunks(x)] == whole
+    monkeypatch.setattr(subword, "SLICE", 50)
+    assert enc(texts[:2], [0, 1]) == got[:2]
+
+
+def test_sliced_by_bytes():
+    from millrace.llm.common import sliced
+
+    texts = ["a" * 30, None, "", "b" * 100, "é" * 20, *["c"] * 9]
+    b = pa.RecordBatch.from_arrays([pa.array(range(14)), pa.array(texts)], names=["id", "text"])
+    got = [x.column(1).to_pylist() for x in sliced([b, b.slice(0, 0)], 6, 60)]
+    assert sum(got, []) == texts and [len(x) for x in got] == [3, 1, 6, 4]
+
+
 def test_skipped_merges_follow_the_rate():
     p = subword.load(subword.MODEL)
     words = ["information", "international", "understanding", "development"]
