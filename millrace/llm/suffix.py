@@ -6,14 +6,17 @@ occurs once hold no repeat.  Equal segments are pre-aggregated: all but the earl
 meets by anchor hash in tasks that build a suffix array of their segments in two stages: suffixes smaller than
 their successors are sorted directly, the others are induced by scanning the buckets; adjacent common prefixes of 100
 bytes and more then give the classes of equal windows, of which all but the earliest are repeats.  An anchor of very
-many segments is sorted in parts; the windows that are the earliest of their part are sorted once more, dealt out by what
-they hold.
+many segments is sorted in parts; the windows that are the earliest of their part stay together in runs, which are parted by
+the anchor's place in a window, step by step, and meet by the bytes that all windows of a range of places share, until few
+enough do so to be sorted together.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,15 @@ ARRAY = 1 << 21
 #: Segments of one anchor hash that are sorted together; an anchor of more (a very common passage's edges) has so many parts
 #: that each has about as many.
 HOT = 1000
+#: Widths of the ranges of anchor places by which runs of windows of common anchors are parted; at 1 a row is one window.
+STEPS = (32, 8, 2, 1)
 #: Common anchors that are broadcast (8 bytes each); more of them are joined by a shuffle.
 LISTED = 1 << 20
 #: Parts of a very common key.
 SALTS = 1024
 NULL_ID = -(1 << 63)
+#: The bits of a gram's hash that give way to its place.
+LOW = (1 << 28) - 1
 
 
 def words_at(text: np.ndarray, order: str = "<") -> np.ndarray:
@@ -171,13 +178,8 @@ def repeats(parts: list[bytes], doc: np.ndarray, pos: np.ndarray) -> list[tuple[
     return list(zip(segment[edge][keep].tolist(), offset[edge][keep].tolist(), length[keep].tolist()))
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Segments of ``texts``: ``(text, start, windows, anchor hash)``; ties of the smallest hash go to the left."""
-    size = np.array([len(t) for t in texts], np.int64)
-    buf = np.frombuffer(b"".join([*texts, bytes(GRAM + 8)]), np.uint8)
-    total = int(size.sum())
-    if total < WIDTH:
-        return tuple(np.empty(0, np.int64) for _ in range(4))
+def gram_hashes(buf: np.ndarray, total: int) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes at each place of the first ``total`` bytes; ``buf`` has eight more at least."""
     w = words_at(buf)
     h = w[: total - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
@@ -187,7 +189,26 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     h += w[16 : total - GRAM + 17] * np.uint64(0x165667B19E3779F9)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(30)
-    low = np.uint64((1 << 28) - 1)
+    return h
+
+
+def anchor_places(parts: list[bytes]) -> list[int]:
+    """Where the anchor of each part's first window begins in it."""
+    buf = np.frombuffer(b"".join([*parts, bytes(GRAM + 8)]), np.uint8)
+    size = np.array([len(p) for p in parts], np.int64)
+    h = gram_hashes(buf, int(size.sum())) & ~np.uint64(LOW)
+    return h[(np.cumsum(size) - size)[:, None] + np.arange(SPAN)].argmin(1).tolist()
+
+
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Segments of ``texts``: ``(text, start, windows, anchor hash)``; ties of the smallest hash go to the left."""
+    size = np.array([len(t) for t in texts], np.int64)
+    buf = np.frombuffer(b"".join([*texts, bytes(GRAM + 8)]), np.uint8)
+    total = int(size.sum())
+    if total < WIDTH:
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    h = gram_hashes(buf, total)
+    low = np.uint64(LOW)
     least = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     have = 1
     while have * 2 <= SPAN:
@@ -266,6 +287,7 @@ def _chunk(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 SORTED = T.StructType(RUN.fields[:]).add("bytes", "binary")
+RANGE = T.StructType().add("key", "long").add("sfp", "long").add("id", "long").add("tie", "long").add("pos", "integer").add("n", "integer").add("bytes", "binary")
 WINDOW = T.StructType().add("key", "long").add("part", "long").add("hot", "boolean").add("id", "long").add("tie", "long").add("pos", "integer").add("bytes", "binary")
 
 
@@ -280,17 +302,29 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _batch(WINDOW, list(zip(*rows)))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of windows ``(id, tie, pos, n, bytes)`` -> a row per window, dealt out by a hash of its bytes."""
+def _parted(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Runs of windows ``(id, tie, pos, n, bytes)`` -> a row per run and range of ``width`` places of the anchor in a window.
+
+    Equal windows have their anchor at one place, so they are in one range; ``key`` is a hash of the bytes that all windows
+    of the range share, ``sfp`` one of all bytes of the row's windows.
+    """
+    digest = xxhash.xxh3_64_intdigest
     for b in batches:
         for i in range(0, b.num_rows, 200):
             rows = []
-            for key, tie, pos, n, body in zip(*(c.slice(i, 200).to_pylist() for c in b.columns)):
-                for x in range(n):
-                    window = body[x : x + WIDTH]
-                    rows.append((xxhash.xxh3_64_intdigest(window) - (1 << 63), 0, False, key, tie, pos + x, window))
+            cols = [c.slice(i, 200).to_pylist() for c in b.columns]
+            for key, tie, pos, n, body, place in zip(*cols, anchor_places(cols[4])):
+                at = 0
+                while at < n:
+                    least = (place - at) // width * width
+                    most = min(least + width, SPAN) - 1
+                    to = min(n, place - least + 1)
+                    own = body[at : to + WIDTH - 1]
+                    shared = body[place - least : place - most + WIDTH]
+                    rows.append((digest(shared) - (1 << 63), digest(own, 1) - (1 << 63), key, tie, pos + at, to - at, own))
+                    at = to
             if rows:
-                yield _batch(WINDOW, list(zip(*rows)))
+                yield _batch(RANGE, list(zip(*rows)))
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,6 +335,10 @@ def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def solve(rows: list) -> pa.RecordBatch:
+        many = Counter(r[:2] for r in rows)
+        rows = [r for r in rows if r[2] or many[r[:2]] > 1]
+        if not rows:
+            return _batch(SORTED, [[]] * 5)
         docs = sorted({(r[3], r[4]) for r in rows})
         rank = {d: i for i, d in enumerate(docs)}
         found = repeats([r[6] for r in rows], np.array([rank[r[3], r[4]] for r in rows]), np.array([r[5] for r in rows], np.int64))
@@ -361,6 +399,28 @@ def _earliest(rows: DataFrame, *key: str) -> DataFrame:
     return rows.withColumn("dup", F.col("later") | (F.rank().over(Window.partitionBy(*key, "among").orderBy(*place)) > 1)).drop("salt", "later", "among")
 
 
+def _refined(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs of windows of common anchors -> runs that are repeats as a whole, and groups to be sorted.
+
+    A row is parted into at most four at each step.  Rows that are equal as a whole are settled; where at most ``HOT`` unlike ones
+    share a key, they are a group; only the others go on.  In the last step the rows of a key are equal.
+    """
+    equal, groups = [], []
+    for width in STEPS:
+        parted = written(_earliest(rows.mapInArrow(partial(_parted, width=width), RANGE), "key", "sfp"), "parted")
+        equal.append(parted.filter("dup").select("id", "tie", "pos", "n"))
+        rows = parted.filter("NOT dup")
+        common = written(rows.groupBy("key").count().filter(F.col("count") > HOT).select("key"), "common")
+        n = common.count() if width > 1 else 0
+        common = F.broadcast(common) if n <= LISTED else common
+        group = rows.join(common, "key", "left_anti") if n else rows
+        groups.append(group.select("key", F.lit(0).cast("long").alias("part"), F.lit(False).alias("hot"), "id", "tie", "pos", "bytes"))
+        if not n:
+            break
+        rows = rows.join(common, "key", "left_semi").select("id", "tie", "pos", "n", "bytes")
+    return reduce(DataFrame.unionByName, equal), reduce(DataFrame.unionByName, groups)
+
+
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row: ``id, n_bytes, n_removed, n_spans, kept_sha256, removed array<struct<start, end>>``.
 
@@ -378,7 +438,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
     found = one.mapInArrow(_segments, SEGMENT)
     common = written(found.filter("NOT dup").groupBy("mh").count().filter(F.col("count") > HOT).select("mh", F.ceil(F.col("count") / HOT).alias("parts")), "common")
-    common = F.broadcast(common) if common.count() <= LISTED else common
+    n_common = common.count()
+    common = F.broadcast(common) if n_common <= LISTED else common
     # Rows of a common anchor pass the windows under keys of their own.
     seg = found.join(common, "mh", "left").withColumn("hot", F.expr("parts IS NOT NULL AND NOT dup")).withColumn("key", F.expr("CASE WHEN hot THEN xxhash64(id, tie, pos) ELSE mh END"))
     by_string, by_anchor = Window.partitionBy("key", "sfp").orderBy("id", "tie", "pos"), Window.partitionBy("key")
@@ -394,10 +455,10 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = lambda rows: rows.repartition(parts, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_sort_groups, SORTED)
     first = written(grouped(open_.mapInArrow(_cut_out, WINDOW)), "sorted")
-    second = grouped(first.filter("bytes IS NOT NULL").mapInArrow(_windows, WINDOW))
-    runs = seg.filter("dup").select("id", "tie", "pos", "n")
-    for df in (first.filter("bytes IS NULL"), second):
-        runs = runs.unionByName(df.select("id", "tie", "pos", "n"))
+    runs = seg.filter("dup").select("id", "tie", "pos", "n").unionByName(first.filter("bytes IS NULL").select("id", "tie", "pos", "n"))
+    if n_common:
+        equal, groups = _refined(first.filter("bytes IS NOT NULL"))
+        runs = runs.unionByName(equal).unionByName(grouped(groups).select("id", "tie", "pos", "n"))
     runs = runs.groupBy("id", "tie").agg(F.collect_list(F.struct("pos", "n")).alias("runs")).select(F.col("id").alias("i"), F.col("tie").alias("t"), "runs")
     full = src.join(runs, (F.col("id") == F.col("i")) & (F.col("tie") == F.col("t")), "left").select("id", "text", "runs")
     out = full.mapInArrow(_finish, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start: bigint, end: bigint>>")

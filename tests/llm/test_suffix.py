@@ -64,6 +64,40 @@ def test_passage_in_every_document(spark, monkeypatch):
     assert got == brute([(i, t.encode()) for i, t in docs]) and sum(n > 0 for _, n, _, _ in got.values()) == 239
 
 
+@pytest.mark.parametrize("hot", [3, 8])
+def test_edges_of_a_common_passage(spark, monkeypatch, hot):
+    """Surroundings that differ at every distance from the passage, and classes of equal windows larger than what is sorted together."""
+    monkeypatch.setattr(S, "HOT", hot)
+    rnd = random.Random(3)
+    some = lambda n: "".join(rnd.choice("ab") for _ in range(n))
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(110))
+    docs = [(i, some(90)[: rnd.randint(0, 90)] + passage[: rnd.choice([40, 70, 110])] + some(90)) for i in range(300)]
+    steps = []
+    monkeypatch.setattr(S, "written", lambda df, name, f=S.written: (steps.append((name, out := f(df, name))), out)[1])
+    assert result(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)) == brute([(i, t.encode()) for i, t in docs])
+    runs = [df.filter("bytes IS NOT NULL").count() for name, df in steps if name == "sorted"]
+    rows = [df.count() for name, df in steps if name == "parted"]
+    assert len(rows) > 1 and all(n <= 4 * before for before, n in zip(runs + rows, rows))
+
+
+def test_parted_runs_meet_by_shared_bytes():
+    """Rows are ranges of places, not windows: at most three a run at first; equal windows have equal keys at every width."""
+    rnd = random.Random(4)
+    some = lambda n: bytes(rnd.choice(b"abcdefgh ") for _ in range(n))
+    passage = some(60)
+    texts = [some(80) + passage + some(80) for _ in range(100)] + [b"x" * 300]
+    text, start, n, _ = S.anchors(texts)
+    runs = [(t, 0, a, k, texts[t][a : a + k + 99]) for t, a, k in zip(text.tolist(), start.tolist(), n.tolist())]
+    batch = S._batch(S.SORTED, list(zip(*runs)))
+    for width in S.STEPS:
+        rows = [r for b in S._parted([batch], width) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert len(rows) <= sum(-(-k // width) + 1 for *_, k, _ in runs) and sum(r[5] for r in rows) == sum(n)
+        keys = {}
+        for key, _, _, _, _, k, body in rows:
+            for x in range(k):
+                assert keys.setdefault(body[x : x + 100], key) == key
+
+
 def test_edges(spark):
     rnd = random.Random(1)
     long = "".join(rnd.choice("abcdef") for _ in range(60_000)) + "c" * 3000
